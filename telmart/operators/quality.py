@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from telmart.functions.casts import to_moment, to_number
 from telmart.operators.joins import unmatched_keys
+from telmart.operators.shape import accepted
 
 MAX_REASON_LENGTH = 1000
 SKIP = "skip"
@@ -68,7 +69,7 @@ def _violation(rules: RuleSet, name: str, kind: str) -> tuple[Column, str]:
         number = to_number(value)
         return (number < low) | (number > high), f"{name} must be between {low} and {high}, "
     passes, wording = FORMATS[kind.removeprefix("format:")]
-    return ~passes(value), f"{name} {wording}, "
+    return value.isNotNull() & ~passes(value), f"{name} {wording}, "
 
 
 def add_rejection_reason(df: DataFrame, rules: RuleSet, missing: str = SKIP) -> DataFrame:
@@ -106,7 +107,7 @@ def add_rejection_reason(df: DataFrame, rules: RuleSet, missing: str = SKIP) ->
 
 def split_by_quality(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected) halves of a validated frame; a null flag counts as valid."""
-    return df.filter("is_rejected is false or is_rejected is null"), df.filter("is_rejected")
+    return accepted(df), df.filter("is_rejected")
 
 
 def rejection_report(df: DataFrame, *group_by: str) -> DataFrame:

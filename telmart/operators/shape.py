@@ -80,8 +80,11 @@ def project_with_defaults(df: DataFrame, specs: Sequence[Projected]) -> DataFram
 def accepted(df: DataFrame) -> DataFrame:
     """Rows not known to be rejected: the flag is false or null.
 
-    Written as two plain comparisons because this form is pushed into the Parquet scan.
+    On a stored table this is written as two plain comparisons, a form that is pushed
+    into the Parquet scan. A flag just computed is never null and needs one.
     """
+    if not df.schema["is_rejected"].nullable:
+        return df.filter("not is_rejected")
     return df.filter("is_rejected is false or is_rejected is null")
 
 

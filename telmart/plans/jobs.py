@@ -34,12 +34,15 @@ class Layout:
 
     ``database`` prefixes table names ('' for none); ``table_root``, when given, is the
     folder below which new tables are stored, else the catalog's warehouse decides.
+    Facts are partitioned by their date key, so a run touches the partitions of its own
+    days only and date filters prune; empty ``fact_partitions`` leaves them whole.
     """
 
     bronze_root: str = ""
     database: str = ""
     table_root: str | None = None
     table_format: str = "parquet"
+    fact_partitions: tuple[str, ...] = ("date_sk",)
 
     def table(self, name: str) -> str:
         return f"{self.database}.{name}" if self.database else name
@@ -192,7 +195,7 @@ def build_facts(
             publish_jdbc(fact, model.table, jdbc, key_name)
             return
         publish_new_rows(
-            fact, layout.table(model.table), key_name, ["date_sk"],
+            fact, layout.table(model.table), key_name, layout.fact_partitions,
             layout.table_format, layout.path(model.table),
         )
 

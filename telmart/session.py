@@ -11,11 +11,13 @@ from pyspark.sql import SparkSession
 
 # Adaptive execution sizes shuffle partitions, splits skewed ones and turns joins
 # into broadcasts from measured sizes; dynamic overwrite replaces only the
-# partitions a write touches.
+# partitions a write touches. Generated methods above 8000 bytes of bytecode are not
+# compiled by HotSpot; with the limit, Spark splits wide projections instead.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
