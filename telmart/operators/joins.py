@@ -1,10 +1,10 @@
 """Dimension lookups that stay balanced when keys are skewed.
 
 A dimension is broadcast only once its size has been measured (or is fixed by
-construction). A larger one is joined in two parts: fact rows whose key is frequent
-meet a broadcast of just the dimension rows of those keys and are never shuffled;
-all other rows take an ordinary shuffle join, in which no key is frequent any more.
-Both parts together are exactly the plain join.
+construction). A larger one is joined by a shuffle in which frequent keys are salted:
+their fact rows are spread over all partitions and the few dimension rows they need are
+repeated for every salt. All other keys, and the rest of the dimension, shuffle as
+usual. Which keys count as frequent changes where rows are joined, never the result.
 """
 
 from __future__ import annotations
@@ -19,8 +19,14 @@ from pyspark.sql import types as T
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 # A key is frequent when it may hold this share of the rows; at most 1/share keys are.
 FREQUENT_SHARE = 0.001
+# Bound of the repeated dimension rows of frequent keys, over all salts.
+MAX_REPEATED_ROWS = 50_000_000
+
+SALTS_PER_PARTITION = 4
 
 _KEY = "__lookup_key"
+_SALT = "__lookup_salt"
+_SIDE_SALT = "__lookup_side_salt"
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -36,14 +42,35 @@ def measured_bytes(df: DataFrame) -> int:
     return int(total or 0)
 
 
-def frequent_keys(df: DataFrame, key: str, share: float = FREQUENT_SHARE) -> list:
-    """Superset of the non-null keys that hold at least ``share`` of the rows.
+def _fits(side: DataFrame, max_bytes: int) -> bool:
+    return max_bytes > 0 and measured_bytes(side) <= max_bytes
+
+
+def frequent_keys(
+    df: DataFrame, keys: Sequence[str], share: float = FREQUENT_SHARE
+) -> dict[str, list]:
+    """Per column the non-null values that hold at least about ``share`` of the rows.
 
-    One pass of a bounded sketch; the list has at most about ``1 / share`` entries. It
-    steers only where rows are joined, never which rows come out.
+    One pass of Spark's top-k sketch for all columns: its memory does not grow with the
+    data, nothing but the sketches is shuffled, and each list has at most ``1 / share``
+    entries.
     """
-    found = df.select(key).filter(F.col(key).isNotNull()).freqItems([key], share).first()
-    return list(found[0] or []) if found else []
+    names = list(dict.fromkeys(keys))
+    most = round(1 / share)
+    sketches = [F.expr(f"approx_top_k(`{k}`, {most}, {10 * most})").alias(k) for k in names]
+    found = df.agg(F.count(F.lit(1)).alias("__rows"), *sketches).first()
+    least = share * found["__rows"]
+    return {
+        k: [top["item"] for top in found[k] if top["item"] is not None and top["count"] >= least]
+        for k in names
+    }
+
+
+def _salts(df: DataFrame) -> int:
+    """A few salts per shuffle partition, so a frequent key fills all of them evenly."""
+    conf = df.sparkSession.conf
+    initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return SALTS_PER_PARTITION * int(initial or conf.get("spark.sql.shuffle.partitions"))
 
 
 def _attributes(dim: DataFrame, dim_key: str, columns: Sequence[str] | None, prefix: str):
@@ -64,12 +91,15 @@ def lookup_join(
     condition: Column | None = None,
     fixed_size: bool = False,
     max_bytes: int = MAX_BROADCAST_BYTES,
+    frequent: Sequence | None = None,
 ) -> DataFrame:
     """Add dimension columns (named ``<prefix><column>``) to a fact.
 
     ``condition`` may further restrict matches, naming fact columns and prefixed
     dimension columns. ``fixed_size`` says that the dimension's size is bounded by
     construction (a calendar, the minutes of a day), so it needs no measuring.
+    ``max_bytes=0`` rules a broadcast out. ``frequent`` gives the fact's frequent keys
+    when the caller has looked for them already.
     """
     if how not in ("left", "inner"):
         raise ValueError("a lookup is a left or an inner join")
@@ -80,25 +110,28 @@ def lookup_join(
     on = F.col(fact_key) == F.col(_KEY)
     if condition is not None:
         on = on & condition
-
-    def joined(rows: DataFrame, other: DataFrame) -> DataFrame:
-        return rows.join(other, on, how).drop(_KEY)
-
-    if fixed_size or measured_bytes(side) <= max_bytes:
-        return joined(fact, F.broadcast(side))
-
-    hot = frequent_keys(fact, fact_key)
-    hot_side = side.filter(F.col(_KEY).isin(hot)) if hot else side.filter("false")
-    if hot and measured_bytes(hot_side) > MAX_BROADCAST_BYTES:
-        # The frequent keys alone have too many dimension rows (a non-unique
-        # dimension); adaptive execution splits the skewed partitions instead.
-        return joined(fact, side)
+    if fixed_size or _fits(side, max_bytes):
+        return fact.join(F.broadcast(side), on, how).drop(_KEY)
+
+    hot = frequent_keys(fact, [fact_key])[fact_key] if frequent is None else list(frequent)
+    salts = _salts(fact)
+    if hot and side.filter(F.col(_KEY).isin(hot)).count() * salts > MAX_REPEATED_ROWS:
+        # A dimension with very many rows per frequent key; there adaptive execution
+        # splits the skewed partitions.
+        hot = []
+    # The salt hashes the row, so a recomputed row goes where it went before. Null keys
+    # match nothing and are spread as well.
+    hashed = [f.name for f in fact.schema.fields if not isinstance(f.dataType, T.MapType)]
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]), F.lit(salts)).cast("int")
     key = F.col(fact_key)
-    # Null keys match nothing; kept with the hot part, they are not shuffled either.
     is_hot = (key.isNull() | key.isin(hot)) if hot else key.isNull()
-    return joined(fact.filter(is_hot), F.broadcast(hot_side)).unionByName(
-        joined(fact.filter(~is_hot), side)
-    )
+    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    only_zero = F.array(F.lit(0))
+    repeats = F.when(F.col(_KEY).isin(hot), every_salt).otherwise(only_zero) if hot else only_zero
+    salted = fact.withColumn(_SALT, F.when(is_hot, spread).otherwise(0))
+    repeated = side.withColumn(_SIDE_SALT, F.explode(repeats))
+    on = on & (F.col(_SALT) == F.col(_SIDE_SALT))
+    return salted.join(repeated, on, how).drop(_KEY, _SALT, _SIDE_SALT)
 
 
 def unmatched_keys(keyed: DataFrame, key: str, dim: DataFrame, dim_key: str) -> DataFrame:
@@ -117,31 +150,51 @@ def with_time(fact: DataFrame, dim_time: DataFrame, columns=None, **options) ->
     return lookup_join(fact, dim_time, "time_sk", "time_key", columns, "time_", **options)
 
 
-def _roles(fact: DataFrame, key_suffix: str, single: str) -> list[tuple[str, str]]:
-    """(fact column, prefix) of the roles a fact plays for a dimension."""
-    pairs = [(f"{side}_{key_suffix}", f"{side}_") for side in ("from", "to")]
-    present = [(c, p) for c, p in pairs if c in fact.columns]
-    return present or [(single, "")]
+def _lookup_roles(
+    fact: DataFrame,
+    dim: DataFrame,
+    dim_key: str,
+    columns: Sequence[str] | None,
+    key_suffix: str,
+    noun: str,
+    fixed_size: bool = False,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+    keys_from: DataFrame | None = None,
+    **options,
+) -> DataFrame:
+    """Look a dimension up once per role: from_ and to_, or the one key a fact has.
+
+    The dimension is measured, and frequent keys are looked for, once for all roles.
+    ``keys_from`` is a cheaper frame with the same keys to look in, such as the stored
+    fact to which earlier lookups have been added.
+    """
+    roles = [(f"{r}_{key_suffix}", f"{r}_") for r in ("from", "to")]
+    roles = [(k, p) for k, p in roles if k in fact.columns] or [(key_suffix, "")]
+    small = fixed_size or _fits(_attributes(dim, dim_key, columns, ""), max_bytes)
+    keys = [k for k, _ in roles]
+    hot = {} if small else frequent_keys(fact if keys_from is None else keys_from, keys)
+    for key, prefix in roles:
+        fact = lookup_join(
+            fact, dim, key, dim_key, columns, f"{prefix}{noun}_",
+            fixed_size=small, max_bytes=0, frequent=hot.get(key), **options,
+        )
+    return fact
 
 
 def with_users(fact: DataFrame, dim_user: DataFrame, columns=None, **options) -> DataFrame:
     """Current user attributes for the caller and the called party, or the one customer."""
     current = dim_user.filter("is_current")
-    for key, prefix in _roles(fact, "phone_number", "phone_number"):
-        fact = lookup_join(fact, current, key, "phone_number", columns, f"{prefix}user_", **options)
-    return fact
+    return _lookup_roles(
+        fact, current, "phone_number", columns, "phone_number", "user", **options
+    )
 
 
 def with_devices(fact: DataFrame, dim_device: DataFrame, columns=None, **options) -> DataFrame:
-    for key, prefix in _roles(fact, "tac", "tac"):
-        fact = lookup_join(fact, dim_device, key, "tac", columns, f"{prefix}device_", **options)
-    return fact
+    return _lookup_roles(fact, dim_device, "tac", columns, "tac", "device", **options)
 
 
 def with_cell_sites(fact: DataFrame, dim_cell: DataFrame, columns=None, **options) -> DataFrame:
-    for key, prefix in _roles(fact, "cell_site", "cell_site"):
-        fact = lookup_join(fact, dim_cell, key, "cell_id", columns, f"{prefix}cell_", **options)
-    return fact
+    return _lookup_roles(fact, dim_cell, "cell_id", columns, "cell_site", "cell", **options)
 
 
 def with_agent(fact: DataFrame, dim_agent: DataFrame, columns=None, **options) -> DataFrame:

@@ -79,11 +79,14 @@ def bronze_to_silver(
     hours: Sequence[str] | None = None,
     multi_line: bool = True,
     purge: bool = False,
+    gather: bool = False,
 ) -> None:
     """One run of one event type.
 
     Raw files are read once, into the run's archive partition; silver rows and the
-    manifest both come from there. Repeating a run replaces its partitions.
+    manifest both come from there. Repeating a run replaces its partitions. Nothing is
+    shuffled; a run over many landing days (a backfill) should ``gather`` its silver
+    rows by day, which keeps the number of files down.
     """
     model = SILVER_MODELS[event_type]
     bronze = read_bronze(
@@ -97,7 +100,7 @@ def bronze_to_silver(
     silver = with_partition_day(validate(snapshot, event_type))
     write_table(
         silver, layout.table(model.table), OVERWRITE, ["landing_day", "run_id"],
-        layout.table_format, layout.path(model.table),
+        layout.table_format, layout.path(model.table), gather,
     )
     if purge:
         purge_bronze(run_manifest(snapshot))
@@ -192,7 +195,7 @@ def build_facts(
             raise LookupError(f"silver table {model.source} is missing")
         fact = build_fact(silver, name, time_mode, key_name)
         if jdbc is not None:
-            publish_jdbc(fact, model.table, jdbc, key_name)
+            publish_jdbc(fact, model.table, jdbc, key_name, "date_sk")
             return
         publish_new_rows(
             fact, layout.table(model.table), key_name, layout.fact_partitions,

@@ -32,17 +32,19 @@ def write_table(
     partition_by: Sequence[str] = (),
     table_format: str = "parquet",
     path: str | None = None,
+    gather: bool = True,
 ) -> None:
     """Create the table when absent; else append, or replace the partitions present in ``df``.
 
     Columns are matched by name. Formats other than parquet, such as iceberg, go through
-    the catalog's own ``writeTo``.
+    the catalog's own ``writeTo``. ``gather=False`` saves the shuffle that gathers the
+    rows of a partition, for rows that lie in one or few partitions anyway.
     """
     spark = df.sparkSession
     exists = spark.catalog.tableExists(name)
     if exists:
         df = df.select(*spark.table(name).columns)
-    rows = balanced_for_write(df, partition_by)
+    rows = balanced_for_write(df, partition_by) if gather else df
     if table_format != "parquet":
         writer = rows.writeTo(name)
         if not exists:
@@ -69,23 +71,22 @@ def write_table(
     spark.catalog.refreshTable(name)
 
 
-def new_rows(
-    df: DataFrame, existing: DataFrame, key: str, partition_col: str | None = None
-) -> DataFrame:
+def touched_partitions(df: DataFrame, column: str) -> list | None:
+    """Partition values a batch holds; None when there are too many to name."""
+    found = df.select(column).distinct().limit(MAX_NAMED_PARTITIONS + 1).collect()
+    return [row[0] for row in found] if len(found) <= MAX_NAMED_PARTITIONS else None
+
+
+def new_rows(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose key ``existing`` does not hold yet, one per key.
 
     The batch is reduced to one row per key and the table to its distinct keys, each
     inside its tasks first: copies of one event cannot pile up in the anti join, which
-    reuses the partitioning by key. With ``partition_col`` only the table partitions
-    the batch touches are scanned.
+    reuses the partitioning by key.
     """
-    known = existing.select(key, *([partition_col] if partition_col else []))
-    if partition_col:
-        touched = df.select(partition_col).distinct().limit(MAX_NAMED_PARTITIONS + 1).collect()
-        if len(touched) <= MAX_NAMED_PARTITIONS:
-            known = known.filter(F.col(partition_col).isin([r[0] for r in touched]))
     batch = first_row_per_key(df, [key])
-    return batch.join(known.select(key).distinct(), key, "left_anti").select(*df.columns)
+    known = existing.select(key).distinct()
+    return batch.join(known, key, "left_anti").select(*df.columns)
 
 
 def publish_new_rows(
@@ -98,11 +99,17 @@ def publish_new_rows(
 ) -> None:
     """Append only unseen keys, so publishing a batch again changes nothing.
 
-    Keys must determine the partition (fact keys do: they hash the event's timestamp).
+    Keys must determine the partition (fact keys do: they hash the event's timestamp), so
+    only the table partitions that the batch touches are scanned for them.
     """
     spark = df.sparkSession
+    touched = touched_partitions(df, partition_by[0]) if partition_by else None
     if spark.catalog.tableExists(name):
-        rows = new_rows(df, spark.table(name), key, partition_by[0] if partition_by else None)
+        existing = spark.table(name)
+        if touched is not None:
+            existing = existing.filter(F.col(partition_by[0]).isin(touched))
+        rows = new_rows(df, existing, key)
     else:
         rows = first_row_per_key(df, [key])
-    write_table(rows, name, APPEND, partition_by, table_format, path)
+    gather = touched is None or len(touched) > 1
+    write_table(rows, name, APPEND, partition_by, table_format, path, gather)
