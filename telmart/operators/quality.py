@@ -90,6 +90,8 @@ def add_rejection_reason(df: DataFrame, rules: RuleSet, missing: str = SKIP) ->
             continue
         condition, message = _violation(rules, name, kind)
         reasons.append(F.when(condition, message))
+        if kind == "required" and name in rules.numeric:
+            continue  # a null fails the numeric rule too, which decides the flag
         violated.append(F.coalesce(condition, F.lit(False)))
     if not reasons:
         return df.select(

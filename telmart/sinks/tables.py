@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telmart.operators.dedup import first_row_per_key
@@ -25,6 +26,21 @@ def balanced_for_write(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Replace touched partitions only, whatever the session's own setting.
+
+    An insert by table name takes the mode from the session and not from the writer.
+    """
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def write_table(
     df: DataFrame,
     name: str,
@@ -65,7 +81,8 @@ def write_table(
         return
     writer = rows.write
     if mode == OVERWRITE:
-        writer.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+        with _dynamic_overwrite(spark):
+            writer.insertInto(name, overwrite=True)
     else:
         writer.insertInto(name)
     spark.catalog.refreshTable(name)

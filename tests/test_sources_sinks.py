@@ -87,6 +87,20 @@ def test_table_writes(spark, name):
     assert rows_of(read_table(spark, name).select("p", "v")) == [("a", 1), ("b", 2), ("b", 2)]
 
 
+def test_overwrite_spares_other_partitions_in_any_session(spark, name):
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "static")
+    try:
+        df = spark.createDataFrame([("a", 1), ("b", 2)], "p string, v int")
+        tables.write_table(df, name, partition_by=["p"])
+        tables.write_table(df.filter("p = 'a'"), name, tables.OVERWRITE, ["p"])
+        assert spark.table(name).count() == 2
+        assert spark.conf.get(setting) == "static"
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_other_formats_use_the_catalog_writer(spark):
     df = mock.MagicMock()
     catalog = df.sparkSession.catalog
