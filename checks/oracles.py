@@ -552,6 +552,7 @@ ORACLES: dict[str, str] = {
             from information_schema.columns where table_name = '{t}'"""
         for t in ("orders", "lineitem", "customer")
     ),
+    "sample_rows": "select least(count(*), 5) as n_rows from orders",
     "schema_drift": """
         select distinct 'payment' as event_type, column_name, drift from orders,
             (values ('invoice_number', 'missing'), ('new_field', 'unexpected')) v(column_name, drift)""",
@@ -682,6 +683,9 @@ ORACLES: dict[str, str] = {
         select distinct d as event_date, h as event_hour, 1 as n_files, 1 as n_archived,
             '/archive/support/' || replace(d, '-', '') || '/' || h as folder
         from events, (values ('2025-01-01', '03'), ('2025-01-01', '04'), ('2025-01-02', '03')) v(d, h)""",
+    "purge_by_manifest": """
+        select '2025-01-02' as event_date, event_type as channel, count(*) as n_rows
+        from events group by 2""",
     "idempotent_publish": f"""
         select date_sk, count(*) as n_rows, round(sum(amount), 2) as sum_amount
         from ({_CALLS}) group by 1""",

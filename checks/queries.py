@@ -35,9 +35,20 @@ from telmart.plans.jobs import Layout, build_dims, build_facts, load_seed_dims,
 from telmart.plans.silver import normalise, to_silver
 from telmart.schemas import drift_report, observed_fields
 from telmart.scratch import scratch_path
-from telmart.sinks.archive import archive_snapshot, archived_location, run_manifest
+from telmart.sinks.archive import (
+    archive_snapshot,
+    archived_location,
+    purge_bronze,
+    run_manifest,
+)
 from telmart.sinks.jdbc import publishable
-from telmart.sinks.tables import OVERWRITE, balanced_for_write, publish_new_rows, write_table
+from telmart.sinks.tables import (
+    OVERWRITE,
+    balanced_for_write,
+    publish_new_rows,
+    write_by_quality,
+    write_table,
+)
 from telmart.sources.bronze import read_bronze
 from telmart.sources.seeds import read_seed
 from telmart.sources.tables import publish_view, read_table
@@ -282,11 +293,14 @@ def rejection_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def valid_reject_split(spark: SparkSession, sf: str) -> DataFrame:
-    valid, rejected = quality.split_by_quality(silver(spark, sf, "payment"))
-    sides = valid.select(F.lit("valid").alias("side"), "amount").unionByName(
-        rejected.select(F.lit("rejected").alias("side"), "amount")
-    )
-    return sides.groupBy("side").agg(
+    """Both outputs of one write, read back."""
+    path = scratch_path(spark, "payments")
+    write_by_quality(silver(spark, sf, "payment"), path)
+    sides = [
+        spark.read.parquet(f"{path}/quality={side}").select(F.lit(side).alias("side"), "amount")
+        for side in ("valid", "rejected")
+    ]
+    return sides[0].unionByName(sides[1]).groupBy("side").agg(
         F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("amount"), 2).alias("sum_amount")
     )
 
@@ -353,6 +367,15 @@ def profile_tables(spark: SparkSession, sf: str) -> DataFrame:
     return profile.select("table_name", "position", "column_name", "row_count")
 
 
+def sample_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Five rows to look at, whichever they are; here, how many and that they are real."""
+    orders = b.table(spark, sf, "orders")
+    sample = quality.sample_rows(orders.select("o_orderkey"))
+    return orders.join(F.broadcast(sample), "o_orderkey", "left_semi").agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+
+
 def schema_drift(spark: SparkSession, sf: str) -> DataFrame:
     raw = b.raw_payments(spark, sf).withColumn("new_field", F.lit(1))
     lines = raw.drop("invoice_number").select(
@@ -580,7 +603,8 @@ def _scd_changes(spark: SparkSession, sf: str) -> DataFrame:
         "o_orderkey as seq",
     )
     known = b.table(spark, sf, "customer").selectExpr("c_custkey as user_id", "c_mktsegment")
-    return orders.join(known, "user_id", "left").selectExpr(
+    wide = joins.lookup_join(orders, known, "user_id", "user_id")
+    return wide.selectExpr(
         "user_id", "coalesce(stated, c_mktsegment, 'NEW') as plan_type", "effective_from", "seq"
     )
 
@@ -668,6 +692,17 @@ def manifest(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def purge_by_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Only the files of the run are deleted; those of the other day stay."""
+    root = scratch_path(spark, "landing")
+    for day in ("2025-01-01", "2025-01-02"):
+        b.raw_support(spark, sf).write.json(f"{root}/support/{day}/03")
+    folder = f"{root}/support"
+    run = read_bronze(spark, folder, "support", dates=["2025-01-01"], multi_line=False)
+    purge_bronze(run_manifest(run))
+    return _counted(read_bronze(spark, folder, "support", multi_line=False), "event_date", "channel")
+
+
 def idempotent_publish(spark: SparkSession, sf: str) -> DataFrame:
     """Half a fact, then all of it, then all of it again: every row once."""
     name = _new_name("t_fact")
@@ -768,6 +803,7 @@ QUERIES: dict[str, Query] = {
     "ri_orphans": ri_orphans,
     "integrity_report": integrity_report,
     "profile_tables": profile_tables,
+    "sample_rows": sample_rows,
     "schema_drift": schema_drift,
     "dim_user": dim_user,
     "dim_device": dim_device,
@@ -802,6 +838,7 @@ QUERIES: dict[str, Query] = {
     "short_call_flag": short_calls,
     "archive_snapshot": archive,
     "run_manifest": manifest,
+    "purge_by_manifest": purge_by_manifest,
     "idempotent_publish": idempotent_publish,
     "stream_silver": stream_silver_events,
     "stream_routing": stream_routing,

@@ -119,8 +119,10 @@ def rejection_report(df: DataFrame, *group_by: str) -> DataFrame:
     runs on a handful of rows per group instead of on every rejected row.
     """
     groups = [F.col(g) for g in group_by]
+    # The flag is the cheaper test: it is there before the text is built.
+    rejected = "is_rejected" if "is_rejected" in df.columns else "rejection_reason is not null"
     texts = (
-        df.filter("rejection_reason is not null")
+        df.filter(rejected)
         .groupBy(*groups, "rejection_reason")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -88,6 +88,13 @@ def write_table(
     spark.catalog.refreshTable(name)
 
 
+def write_by_quality(validated: DataFrame, path: str, mode: str = APPEND) -> None:
+    """Valid and rejected rows in one pass, below quality=valid and quality=rejected."""
+    side = F.when(F.col("is_rejected"), "rejected").otherwise("valid")
+    rows = validated.withColumn("quality", side)
+    rows.write.mode(mode).partitionBy("quality").parquet(path)
+
+
 def touched_partitions(df: DataFrame, column: str) -> list | None:
     """Partition values a batch holds; None when there are too many to name."""
     found = df.select(column).distinct().limit(MAX_NAMED_PARTITIONS + 1).collect()
