@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EARTH_RADIUS_KM = 6371.0
-
 # Fixed values.
+EARTH_RADIUS_KM = 6371.0
 SHORT_CALL_MARKER = "WANGIRI_FRAUD"
 SHORT_CALL_SECONDS = 30
 TAC_LENGTH = 8
+HOUR_FACTORS = {(8, 18): 1.3, (19, 23): 1.5, (0, 6): 0.3}
+WEEKEND_FACTOR = 1.4
+SUMMER_MONTHS, SUMMER_FACTOR = (6, 8), 1.2
+SEPTEMBER_FACTOR, SEPTEMBER_NIGHT_FACTOR = 1.6, 1.5
+SEPTEMBER_NIGHT_HOURS = ((20, 23), (0, 3))
+AGE_LIMITS = {"<18": 18, "18-29": 30, "30-44": 45, "45-59": 60}
+OLDEST_GROUP, UNKNOWN_GROUP = "60+", "unknown"
 
 
 def tac_of(imei: Column) -> Column:
@@ -32,18 +40,22 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
 def seasonal_multiplier(moment: Column, decimals: int | None = 2) -> Column:
     """Traffic multiplier by hour, weekend and month."""
     hour, month = F.hour(moment), F.month(moment)
-    by_hour = (
-        F.when(hour.between(8, 18), 1.3)
-        .when(hour.between(19, 23), 1.5)
-        .when(hour.between(0, 6), 0.3)
-        .otherwise(1.0)
+
+    def factor(condition: Column, value: float) -> Column:
+        return F.when(condition, value).otherwise(1.0)
+
+    by_hour = F.coalesce(
+        *[F.when(hour.between(*hours), value) for hours, value in HOUR_FACTORS.items()], F.lit(1.0)
+    )
+    september = month == 9
+    night = reduce(lambda a, b: a | b, [hour.between(*h) for h in SEPTEMBER_NIGHT_HOURS])
+    product = (
+        by_hour
+        * factor(F.weekday(moment) >= 5, WEEKEND_FACTOR)
+        * factor(september, SEPTEMBER_FACTOR)
+        * factor(september & night, SEPTEMBER_NIGHT_FACTOR)
+        * factor(month.between(*SUMMER_MONTHS), SUMMER_FACTOR)
     )
-    by_weekday = F.when(F.weekday(moment) >= 5, 1.4).otherwise(1.0)
-    late = hour.between(20, 23) | hour.between(0, 3)
-    by_month = F.when(month == 9, 1.6).otherwise(1.0)
-    by_late_month = F.when((month == 9) & late, 1.5).otherwise(1.0)
-    by_summer = F.when(month.between(6, 8), 1.2).otherwise(1.0)
-    product = by_hour * by_weekday * by_month * by_late_month * by_summer
     return product if decimals is None else F.round(product, decimals)
 
 
@@ -57,14 +69,9 @@ def age_group(age: Column) -> Column:
     """Age bucket of a whole number given as text or number; anything else is 'unknown'."""
     text = age.cast("string")
     years = F.when(text.rlike("^-?[0-9]+$"), text.try_cast("int"))
-    return (
-        F.when(years < 18, "<18")
-        .when(years < 30, "18-29")
-        .when(years < 45, "30-44")
-        .when(years < 60, "45-59")
-        .when(years.isNotNull(), "60+")
-        .otherwise("unknown")
-    )
+    groups = [F.when(years < limit, name) for name, limit in AGE_LIMITS.items()]
+    oldest = F.when(years.isNotNull(), OLDEST_GROUP)
+    return F.coalesce(*groups, oldest, F.lit(UNKNOWN_GROUP))
 
 
 def period_of_day(hour: Column) -> Column:

@@ -119,10 +119,12 @@ def lookup_join(
         # A dimension with very many rows per frequent key; there adaptive execution
         # splits the skewed partitions.
         hot = []
-    # The salt hashes the row, so a recomputed row goes where it went before. Null keys
-    # match nothing and are spread as well.
-    hashed = [f.name for f in fact.schema.fields if not isinstance(f.dataType, T.MapType)]
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]), F.lit(salts)).cast("int")
+    # The salt hashes the row and its partition: copies of one row spread out as well, and
+    # a recomputed row goes where it went before. Null keys match nothing and are spread.
+    nested = (T.StructType, T.ArrayType, T.MapType)
+    hashed = [F.col(f"`{f.name}`") for f in fact.schema.fields if not isinstance(f.dataType, nested)]
+    row_hash = F.xxhash64(F.spark_partition_id(), *hashed)
+    spread = F.pmod(row_hash, F.lit(salts)).cast("int")
     key = F.col(fact_key)
     is_hot = (key.isNull() | key.isin(hot)) if hot else key.isNull()
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))

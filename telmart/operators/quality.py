@@ -13,7 +13,19 @@ from telmart.functions.casts import to_moment, to_number
 from telmart.operators.joins import unmatched_keys
 from telmart.operators.shape import accepted
 
+# Wording of the messages and the length at which they are cut.
 MAX_REASON_LENGTH = 1000
+MESSAGES = {
+    "required": "{column} come with null value, ",
+    "numeric": "{column} must be numeric, ",
+    "positive": "{column} must be positive, ",
+    "between": "{column} must be between {low} and {high}, ",
+}
+
+# Additions of this library.
+MESSAGES["non_negative"] = "{column} must not be negative, "
+MESSAGES["format"] = "{column} {wording}, "
+
 SKIP = "skip"
 REJECT = "reject"
 
@@ -49,27 +61,32 @@ class RuleSet:
         named += [(c, "positive") for c in self.positive]
         named += [(c, "between") for c in self.between]
         named += [(c, "non_negative") for c in self.non_negative]
-        named += [(c, f"format:{kind}") for c, kind in self.formats.items()]
+        named += [(c, "format") for c in self.formats]
         return named
 
 
 def _violation(rules: RuleSet, name: str, kind: str) -> tuple[Column, str]:
     """(condition that is true on a violation, message)."""
     value = F.col(f"`{name}`")
+    number = to_number(value)
+    details = {}
     if kind == "required":
-        return value.isNull(), f"{name} come with null value, "
-    if kind == "numeric":
-        return to_number(value).isNull(), f"{name} must be numeric, "
-    if kind == "positive":
-        return to_number(value) <= 0, f"{name} must be positive, "
-    if kind == "non_negative":
-        return to_number(value) < 0, f"{name} must not be negative, "
-    if kind == "between":
+        broken = value.isNull()
+    elif kind == "numeric":
+        broken = number.isNull()
+    elif kind == "positive":
+        broken = number <= 0
+    elif kind == "non_negative":
+        broken = number < 0
+    elif kind == "between":
         low, high = rules.between[name]
-        number = to_number(value)
-        return (number < low) | (number > high), f"{name} must be between {low} and {high}, "
-    passes, wording = FORMATS[kind.removeprefix("format:")]
-    return value.isNotNull() & ~passes(value), f"{name} {wording}, "
+        broken = (number < low) | (number > high)
+        details = {"low": low, "high": high}
+    else:
+        passes, wording = FORMATS[rules.formats[name]]
+        broken = value.isNotNull() & ~passes(value)
+        details = {"wording": wording}
+    return broken, MESSAGES[kind].format(column=name, **details)
 
 
 def add_rejection_reason(df: DataFrame, rules: RuleSet, missing: str = SKIP) -> DataFrame:
@@ -85,7 +102,7 @@ def add_rejection_reason(df: DataFrame, rules: RuleSet, missing: str = SKIP) ->
     for name, kind in rules.checks():
         if name not in df.columns:
             if missing == REJECT and kind == "required":
-                reasons.append(F.lit(f"{name} come with null value, "))
+                reasons.append(F.lit(MESSAGES["required"].format(column=name)))
                 violated.append(F.lit(True))
             continue
         condition, message = _violation(rules, name, kind)

@@ -32,6 +32,7 @@ def _same(*names: str) -> tuple[tuple[str, str], ...]:
     return tuple((n, n) for n in names)
 
 
+# Columns of the hashed dimensions and the parts of their keys.
 DIM_MODELS = {
     "cell_site": DimModel(
         "dim_cell_site", "cell_site", "cell_sk", ("cell_id", "city"),

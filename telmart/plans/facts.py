@@ -25,7 +25,7 @@ LEGACY_KEY_NAME = "trasnaction_sk"  # fixed value: the spelling older warehouses
 
 @dataclass(frozen=True)
 class FactModel:
-    """``columns`` in table order, a None standing for the timestamp and a pair for a TAC."""
+    """``columns`` in table order; computed ones (timestamp, TACs) by name alone."""
 
     table: str
     source: str
@@ -66,6 +66,7 @@ def _key(parts: Sequence[str], id_column: str) -> tuple[str, ...]:
     return tuple(p.format(id=id_column) for p in parts)
 
 
+# Names, order, sources and defaults of the columns, and the parts of the keys.
 FACT_MODELS = {
     "calls": FactModel(
         "fact_calls",

@@ -22,7 +22,7 @@ class SilverModel:
     rules: RuleSet
 
 
-# The shipped models. A rule on a column that the batch lacks is skipped; support
+# Structs and rules of every event type, in message order. A rule on a column that the batch lacks is skipped; support
 # events, for one, have no status. Scores are listed as numeric although they are
 # optional, so a support event without a score is rejected.
 SILVER_MODELS = {

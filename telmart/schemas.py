@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 EVENT_TYPES = ("call", "sms", "payment", "recharge", "support")
 
+# Fields of the raw events.
 _PARTY = "struct<phone_number:string,cell_site:string,imei:string>"
 _BILLING = "struct<amount:double,currency:string>"
 _QOS = "struct<mos_score:double,jitter_ms:double,packet_loss_percent:double,codec:string>"
@@ -56,7 +57,7 @@ EVENT_DDL = {
     ),
 }
 
-# Fields each raw event type is expected to carry (the drift contract).
+# Fields each raw event type is expected to carry (the drift contract).
 EXPECTED_FIELDS = {
     "call": (
         "event_type", "sid", "timestamp", "from", "to", "status", "call_duration_seconds",
@@ -83,6 +84,7 @@ EXPECTED_FIELDS = {
     ),
 }
 
+# Columns of the seed files.
 SEED_DDL = {
     "cell_site": "cell_id string, city string, site_name string, latitude double, longitude double",
     "user": (
