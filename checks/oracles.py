@@ -321,9 +321,19 @@ DIM_AGENT = """
         from supplier)"""
 
 
+_WHOLE = ("latency_ms", "wait_time_seconds")
+
+
+def _sum(column: str) -> str:
+    """Rounded sum; sums of whole numbers stay 64 bit wide."""
+    if column in _WHOLE:
+        return f"cast(sum({column}) as bigint)"
+    return f"round(sum({column}), 2)"
+
+
 def _daily(name: str, sums: list[str], group_by: list[str]) -> str:
     groups = ", ".join(["date_sk", *group_by])
-    measures = ", ".join(f"round(sum({s}), 2) as sum_{s}" for s in sums)
+    measures = ", ".join(f"{_sum(s)} as sum_{s}" for s in sums)
     return f"select {groups}, count(*) as n_rows, {measures} from ({fact_sql(name)}) group by {groups}"
 
 
@@ -451,7 +461,7 @@ ORACLES: dict[str, str] = {
         select strftime("timestamp", '%Y-%m-%d') as date_date, strftime("timestamp", '%Y') as date_year,
             case when hour("timestamp") < 12 then 'AM' else 'PM' end as time_am_pm,
             count(*) as n_rows, round(sum(amount), 2) as sum_amount,
-            sum(call_duration_seconds) as sum_call_duration_seconds,
+            cast(sum(call_duration_seconds) as bigint) as sum_call_duration_seconds,
             round(avg(call_duration_seconds), 2) as avg_call_duration_seconds
         from ({_CALLS}) group by 1, 2, 3""",
     "bronze_scan": f"""
@@ -613,7 +623,7 @@ ORACLES: dict[str, str] = {
         group by 1, 2""",
     "support_by_agent": f"""
         select d.department as agent_department, d.status as agent_status, count(*) as n_rows,
-            round(sum(wait_time_seconds), 2) as sum_wait_time_seconds,
+            cast(sum(wait_time_seconds) as bigint) as sum_wait_time_seconds,
             round(avg(resolution_time_seconds), 2) as avg_resolution_time_seconds
         from ({fact_sql('support')}) f left join ({DIM_AGENT}) d on f.agent_id = d.agent_id
         group by 1, 2""",
@@ -628,7 +638,7 @@ ORACLES: dict[str, str] = {
     "drill_across": f"""
         with p as (select date_sk, count(*) as n, round(sum(amount), 2) as s
                    from ({fact_sql('payment')}) group by 1),
-        u as (select date_sk, count(*) as n, sum(wait_time_seconds) as s
+        u as (select date_sk, count(*) as n, cast(sum(wait_time_seconds) as bigint) as s
               from ({fact_sql('support')}) group by 1)
         select coalesce(p.date_sk, u.date_sk) as date_sk, p.n as payment_n_rows,
             p.s as payment_sum_amount, u.n as support_n_rows, u.s as support_sum_amount
@@ -680,7 +690,8 @@ ORACLES: dict[str, str] = {
         select run_id, event_type as channel, count(*) as n_rows
         from events, (values ('2025010100'), ('2025010101')) r(run_id) group by 1, 2""",
     "run_manifest": """
-        select distinct d as event_date, h as event_hour, 1 as n_files, 1 as n_archived,
+        select distinct d as event_date, h as event_hour, cast(1 as bigint) as n_files,
+            cast(1 as bigint) as n_archived,
             '/archive/support/' || replace(d, '-', '') || '/' || h as folder
         from events, (values ('2025-01-01', '03'), ('2025-01-01', '04'), ('2025-01-02', '03')) v(d, h)""",
     "purge_by_manifest": """
@@ -707,6 +718,6 @@ ORACLES: dict[str, str] = {
                 ("agent", DIM_AGENT),
             )
         ]
-        + ["2557 as dim_date", "1440 as dim_time"]
+        + ["cast(2557 as bigint) as dim_date", "cast(1440 as bigint) as dim_time"]
     ),
 }
