@@ -3,8 +3,8 @@
     silver  --bronze ROOT --run-id ID [event types]
     seeds   agent=FILE user=FILE ...
     dims    [--from DAY --to DAY]
-    facts   [calls payment ...]
-    publish
+    facts   [calls payment ...] [--runs ID ...]
+    publish [--runs ID ...]
     profile TABLE ...
 """
 
@@ -31,6 +31,7 @@ def _arguments(argv: list[str]) -> argparse.Namespace:
     parser.add_argument("--table-root", default=None)
     parser.add_argument("--format", default="parquet", dest="table_format")
     parser.add_argument("--run-id", default=datetime.now(timezone.utc).strftime("%Y%m%d%H"))
+    parser.add_argument("--runs", nargs="*", default=None, help="only the silver rows of these runs")
     parser.add_argument("--dates", nargs="*", default=None)
     parser.add_argument("--hours", nargs="*", default=None)
     parser.add_argument("--json-lines", action="store_true", help="raw files hold JSON lines")
@@ -61,9 +62,13 @@ def run(spark, arguments: argparse.Namespace):
         return jobs.build_dims(spark, layout, (arguments.first_day, arguments.last_day))
     if arguments.job == "facts":
         options = jdbc_options_from_env() if arguments.jdbc else None
-        return jobs.build_facts(spark, layout, names or None, jdbc=options)
+        return jobs.build_facts(
+            spark, layout, names or None, jdbc=options, run_ids=arguments.runs
+        )
     if arguments.job == "publish":
-        return jobs.publish_silver(spark, layout, jdbc_options_from_env())
+        return jobs.publish_silver(
+            spark, layout, jdbc_options_from_env(), run_ids=arguments.runs
+        )
     found = {n: read_table(spark, layout.table(n)) for n in names}
     return profile_tables({n: df for n, df in found.items() if df is not None})
 

@@ -29,17 +29,22 @@ _SALT = "__lookup_salt"
 _SIDE_SALT = "__lookup_side_salt"
 
 
+def _column_bytes(field: T.StructField) -> Column:
+    """Bytes of one value: 16 for its slot, plus the content of variable-length types."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+        content = F.octet_length(F.to_json(F.struct(column)))
+    elif isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        content = F.octet_length(column)
+    else:
+        return F.lit(16)
+    return F.coalesce(content, F.lit(0)) + 16
+
+
 def measured_bytes(df: DataFrame) -> int:
-    """Size of a frame from its row count and the exact bytes of its text columns."""
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    flat = sum(16 for f in df.schema.fields if not isinstance(f.dataType, T.StringType))
-    text_bytes = reduce(
-        lambda a, b: a + b,
-        [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) + 16 for c in texts],
-        F.lit(flat + 16),
-    )
-    total = df.agg(F.sum(text_bytes.cast("bigint")).alias("size")).first()["size"]
-    return int(total or 0)
+    """Size of a frame: every row's slots and the exact bytes of its text and nested values."""
+    row = reduce(lambda a, b: a + b, [_column_bytes(f) for f in df.schema.fields], F.lit(16))
+    return int(df.agg(F.sum(row.cast("bigint")).alias("size")).first()["size"] or 0)
 
 
 def _fits(side: DataFrame, max_bytes: int) -> bool:

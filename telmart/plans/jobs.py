@@ -7,15 +7,17 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from telmart.functions.keys import MINUTE_OF_DAY
+from telmart.operators.scd import scd2_merge
 from telmart.plans.dims import DIM_MODELS, build_dim, build_dim_date, build_dim_time
 from telmart.plans.facts import FACT_MODELS, KEY_NAME, build_fact
 from telmart.plans.silver import SILVER_MODELS, normalise, validate, with_partition_day
 from telmart.schemas import EVENT_TYPES
 from telmart.sinks.archive import archive_snapshot, purge_bronze, run_manifest
 from telmart.sinks.jdbc import SILVER_TARGETS, append_jdbc, publish_jdbc, publishable
-from telmart.sinks.tables import OVERWRITE, publish_new_rows, write_table
+from telmart.sinks.tables import OVERWRITE, publish_new_rows, replace_table, write_table
 from telmart.sources.bronze import read_bronze
 from telmart.sources.seeds import read_seed
 from telmart.sources.tables import read_table
@@ -122,6 +124,15 @@ def run_silver(
     )
 
 
+def _silver_rows(
+    spark: SparkSession, layout: Layout, table: str, run_ids: Sequence[str] | None
+) -> DataFrame:
+    silver = read_table(spark, layout.table(table))
+    if silver is None:
+        raise LookupError(f"silver table {table} is missing")
+    return silver if run_ids is None else silver.filter(F.col("run_id").isin(list(run_ids)))
+
+
 def load_seed_dims(
     spark: SparkSession,
     layout: Layout,
@@ -173,6 +184,23 @@ def build_dims(
     return run_steps(spark, steps, on_error)
 
 
+def merge_dim(
+    spark: SparkSession,
+    layout: Layout,
+    table: str,
+    changes: DataFrame,
+    keys: Sequence[str],
+    tracked: Sequence[str],
+    order_by: Sequence[str] = (),
+) -> None:
+    """Merge changes into a stored dimension as new versions (SCD type 2)."""
+    stored = read_table(spark, layout.table(table))
+    if stored is None:
+        raise LookupError(f"dimension {table} is missing")
+    merged = scd2_merge(stored, changes, keys, tracked, order_by=order_by)
+    replace_table(merged, layout.table(table), layout.table_format)
+
+
 def build_facts(
     spark: SparkSession,
     layout: Layout,
@@ -181,8 +209,13 @@ def build_facts(
     time_mode: str = MINUTE_OF_DAY,
     key_name: str = KEY_NAME,
     jdbc: Mapping[str, str] | None = None,
+    run_ids: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Publish some or all facts, idempotently, to gold tables or a JDBC warehouse."""
+    """Publish some or all facts, idempotently, to gold tables or a JDBC warehouse.
+
+    ``run_ids`` limits the work to the silver partitions of those runs, as an hourly job
+    should; without it all of silver is read and only what is missing is added.
+    """
     chosen = list(FACT_MODELS) if names is None else [n.lower() for n in names]
     unknown = [n for n in chosen if n not in FACT_MODELS]
     if unknown:
@@ -190,9 +223,7 @@ def build_facts(
 
     def load(name: str) -> None:
         model = FACT_MODELS[name]
-        silver = read_table(spark, layout.table(model.source))
-        if silver is None:
-            raise LookupError(f"silver table {model.source} is missing")
+        silver = _silver_rows(spark, layout, model.source, run_ids)
         fact = build_fact(silver, name, time_mode, key_name)
         if jdbc is not None:
             publish_jdbc(fact, model.table, jdbc, key_name, "date_sk")
@@ -212,13 +243,12 @@ def publish_silver(
     targets: Mapping[str, str] = SILVER_TARGETS,
     on_error: str = RAISE,
     append: Callable[[DataFrame, str, Mapping[str, str]], None] = append_jdbc,
+    run_ids: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Copy the accepted rows of the silver tables to the warehouse."""
+    """Copy the accepted rows of the silver tables, or of some runs, to the warehouse."""
 
     def copy(source: str, target: str) -> None:
-        silver = read_table(spark, layout.table(source))
-        if silver is None:
-            raise LookupError(f"silver table {source} is missing")
+        silver = _silver_rows(spark, layout, source, run_ids)
         append(publishable(silver), target, jdbc)
 
     return run_steps(

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telmart.operators.dedup import first_row_per_key
+from telmart.scratch import shared_root
 
 APPEND = "append"
 OVERWRITE = "overwrite"
@@ -59,7 +60,11 @@ def write_table(
     spark = df.sparkSession
     exists = spark.catalog.tableExists(name)
     if exists:
-        df = df.select(*spark.table(name).columns)
+        known = spark.table(name).columns
+        extra = [c for c in df.columns if c not in known]
+        if extra:
+            raise ValueError(f"table {name} has no columns {extra}")
+        df = df.select(*known)
     rows = balanced_for_write(df, partition_by) if gather else df
     if table_format != "parquet":
         writer = rows.writeTo(name)
@@ -88,6 +93,16 @@ def write_table(
     spark.catalog.refreshTable(name)
 
 
+def replace_table(df: DataFrame, name: str, table_format: str = "parquet") -> None:
+    """Replace all rows of an unpartitioned table, also by rows computed from itself.
+
+    The new rows are checkpointed to the shared folder first: the table is not read while
+    it is rewritten, and a complete copy exists should the write break off.
+    """
+    shared_root(df.sparkSession)
+    write_table(df.checkpoint(), name, OVERWRITE, (), table_format)
+
+
 def write_by_quality(validated: DataFrame, path: str, mode: str = APPEND) -> None:
     """Valid and rejected rows in one pass, below quality=valid and quality=rejected."""
     side = F.when(F.col("is_rejected"), "rejected").otherwise("valid")

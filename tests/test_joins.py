@@ -55,6 +55,13 @@ def test_inner_lookup(calls, users):
         assert found.count() == plain.count()
 
 
+def test_measured_size_counts_nested_and_text_bytes(spark):
+    base = joins.measured_bytes(spark.sql("select 1 as i"))
+    assert joins.measured_bytes(spark.sql("select 1 as i, repeat('x', 1000) as s")) >= base + 1000
+    assert joins.measured_bytes(spark.sql("select 1 as i, array_repeat('x', 1000) as a")) > base + 1000
+    assert joins.measured_bytes(spark.sql("select 1 as i where false")) == 0
+
+
 def test_frequent_keys_are_the_hot_ones(calls):
     found = joins.frequent_keys(calls, ["from_phone_number", "to_phone_number"], 0.05)
     assert found["from_phone_number"] == ["hot"]
@@ -80,6 +87,24 @@ def test_hot_key_is_spread_over_the_shuffle(spark, calls, users):
     assert len(sizes) == 16 and max(sizes) < 1000
 
 
+def test_copies_of_one_row_are_spread(spark, users):
+    copies = spark.range(0, 4000, 1, 16).selectExpr("'hot' as from_phone_number")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        wide = joins.lookup_join(
+            copies, users.filter("is_current"), "from_phone_number", "phone_number", ["city"], "u_",
+            max_bytes=0,
+        )
+        sizes = [r["count"] for r in wide.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sum(sizes) == 4000 and max(sizes) < 2000
+
+
 def test_lookups_scan_the_fact_once(spark, calls, users, tmp_path):
     calls.write.parquet(str(tmp_path / "f"))
     users.write.parquet(str(tmp_path / "d"))

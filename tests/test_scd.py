@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+import pytest
+
 from telmart.operators.scd import scd1_upsert, scd2_merge
+from telmart.plans.jobs import Layout, merge_dim
+from telmart.sinks.tables import write_table
 from tests.conftest import rows_of
 
 DIM = "id int, plan string, city string, effective_from string, effective_to string, is_current boolean"
@@ -65,3 +69,13 @@ def test_scd1(spark):
     ]
     strict = scd1_upsert(old, new, ["id"], ["seq"], keep_old_when_null=False)
     assert (1, "Q", None) in rows_of(strict)
+
+
+def test_stored_dimension_is_merged_in_place(spark, name):
+    write_table(dim(spark), name)
+    for _ in range(2):
+        merge_dim(spark, Layout(), name, changes(spark), ["id"], ["plan"])
+        stored = spark.table(name)
+        assert stored.count() == 7 and stored.filter("is_current").count() == 5
+    with pytest.raises(LookupError):
+        merge_dim(spark, Layout(), f"{name}_x", changes(spark), ["id"], ["plan"])

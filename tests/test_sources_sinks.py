@@ -101,10 +101,17 @@ def test_overwrite_spares_other_partitions_in_any_session(spark, name):
         spark.conf.set(setting, before)
 
 
+def test_unknown_columns_are_not_dropped(spark, name):
+    tables.write_table(spark.sql("select 1 as a"), name)
+    with pytest.raises(ValueError, match="new"):
+        tables.write_table(spark.sql("select 1 as a, 2 as new"), name)
+
+
 def test_other_formats_use_the_catalog_writer(spark):
     df = mock.MagicMock()
     catalog = df.sparkSession.catalog
     catalog.tableExists.return_value = False
+    df.columns = df.sparkSession.table.return_value.columns = ["a"]
     tables.write_table(df, "c.t", table_format="iceberg")
     df.writeTo.return_value.using.return_value.create.assert_called_once()
     catalog.tableExists.return_value = True
@@ -266,6 +273,14 @@ def test_rerun_replaces_its_own_rows(spark, tmp_path, name):
         jobs.bronze_to_silver(spark, layout, "call", run)
     counts = rows_of(spark.table(f"{name}.calls").groupBy("run_id").count())
     assert counts == [("2025050613", 2), ("2025050614", 2)]
+    # A fact build of one run reads only its silver partition.
+    silver = jobs._silver_rows(spark, layout, "calls", ["2025050614"])
+    plan = silver._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_id" in plan and silver.count() == 2
+    jobs.build_facts(spark, layout, ["calls"], run_ids=["2025050699"])
+    assert spark.table(f"{name}.fact_calls").count() == 0
+    jobs.build_facts(spark, layout, ["calls"], run_ids=["2025050614"])
+    assert spark.table(f"{name}.fact_calls").count() == 1
 
 
 def test_bronze_to_silver_does_not_shuffle(spark):
