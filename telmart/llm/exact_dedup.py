@@ -94,7 +94,9 @@ def mark_duplicates(
         .agg(F.max(id_col).alias("__keep"), F.count(F.lit(1)).alias("__size"))
         .where("__size > 1")
     )
-    return rows.join(groups, "__hash", "left").select(
+    # Rows that are alone have no hash; a key of their own keeps them off a common task.
+    alone = F.xxhash64(F.monotonically_increasing_id()).cast("string")
+    return rows.withColumn("__hash", F.coalesce("__hash", alone)).join(groups, "__hash", "left").select(
         id_col,
         *carry,
         F.coalesce("__keep", id_col).alias("keep_id"),

@@ -7,15 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telmart.llm import exact_dedup, language_id, mixing, simhash
-from telmart.llm.common import held_out, read
+from telmart.llm import (
+    exact_dedup,
+    itq_dedup,
+    language_id,
+    maxent_lm,
+    mixing,
+    quality,
+    secret_ledger,
+    simhash,
+    toxicity,
+)
+from telmart.llm.common import bounded_sample, held_out, learnable, read
 from telmart.llm.digests import token_digests
+from telmart.scratch import scratch_path
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(read(spark, sf_dir, "documents"))
 
 
+def op2_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq_dedup.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     # The digest column is the query's own; the operator hashes survivors only.
@@ -23,6 +38,43 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(docs.withColumn("text_sha256", digest), carry=["text_sha256"])
 
 
+def _labelled(spark: SparkSession, sf_dir: str, label: str, sample_rows: int) -> DataFrame:
+    """Documents outside the held-out fold with their label, about ``sample_rows`` at most.
+
+    Labels are thinned first, so that the side that is broadcast has a size bound. Of
+    several labels of one document the largest counts.
+    """
+    labels = read(spark, sf_dir, "labels").where(learnable() & F.col(label).isNotNull())
+    labels = labels.groupBy("doc_id").agg(F.max(label).alias("label"))
+    drawn = bounded_sample(labels, "doc_id", sample_rows)
+    return read(spark, sf_dir, "documents").join(F.broadcast(drawn), "doc_id")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit(_labelled(spark, sf_dir, "toxic", toxicity.SAMPLE_ROWS))
+    answers = toxicity.classify(docs, model)
+    return answers.select("doc_id", held_out().alias("held_out"), "score", "predicted", "flagged")
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    # A ledger of this run's own: every blob of the table is unseen.
+    ledger = secret_ledger.update_ledger(docs, scratch_path(spark, "ledger"))
+    found = F.col("found")
+
+    def base(*kinds: str):
+        return F.filter(found, lambda s: s["kind"].isin(*kinds))
+
+    spans = secret_ledger.findings(docs, ledger)
+    return spans.select(
+        "doc_id",
+        *(F.size(base(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.sha2(secret_ledger.spans_text(base("assign", "access", "hex")), 256).alias("base_sha256"),
+        secret_ledger.spans_text(found).alias("spans"),
+    )
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     answers = language_id.identify(docs, language_id.fit_learnable(docs))
@@ -33,16 +85,34 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.mark_near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    answers = quality.classify(docs, quality.fit(_labelled(spark, sf_dir, "quality", quality.SAMPLE_ROWS)))
+    return answers.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read(spark, sf_dir, "documents"))
 
 
+def op10_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    answers = maxent_lm.score(docs, maxent_lm.fit(maxent_lm.learnable_docs(docs)))
+    held = held_out(folds=maxent_lm.HELD_OUT_FOLDS).alias("held_out")
+    return answers.select("doc_id", held, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_itq": op2_itq,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_toxicity": op4_toxicity,
+    "op5_secrets": op5_secrets,
     "op6_language_id": op6_language_id,
     "op7_simhash": op7_simhash,
+    "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
+    "op10_maxent_lm": op10_maxent_lm,
 }
 
 ORACLES: dict[str, str] = {
