@@ -23,13 +23,13 @@ from pyspark.sql import functions as F
 
 from telmart.llm.common import bounded_sample
 
-SAMPLE_ROWS = 6_000
+SAMPLE_ROWS = 8_000
 BUCKETS = 1 << 17  # bucket 0 is for padding
 PREFIX_BYTES = 4
 DIMENSIONS = 16
 WIDTHS = (1, 2, 3)
 FILTERS = 8  # of each width
-EPOCHS = 8
+EPOCHS = 10
 BATCH = 32
 RATE = 0.05
 VALIDATION_SHARE = 0.25
@@ -96,7 +96,7 @@ class TextCnn:
     def new(cls) -> TextCnn:
         random = np.random.default_rng(SEED)
         draw = lambda *shape: random.standard_normal(shape).astype(np.float32)
-        embedding = draw(BUCKETS, DIMENSIONS) * 0.3
+        embedding = draw(BUCKETS, DIMENSIONS) * 0.03
         embedding[0] = 0
         banks = [[draw(DIMENSIONS, FILTERS) * (0.5 / np.sqrt(w)) for _ in range(w)] for w in WIDTHS]
         return cls(embedding, banks, np.zeros(len(WIDTHS) * FILTERS, np.float32), draw(len(WIDTHS) * FILTERS) * 0.1, 0.0)
