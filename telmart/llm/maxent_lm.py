@@ -275,32 +275,37 @@ class Task:
                 seen += len(classes)
         return tables - self.weights.tables, seen
 
+    def logs(self, numbers, symbols, starts) -> np.ndarray:
+        """log10 probability of every token; for words not there, log10(count + 1) is lacking."""
+        tables = self.weights.tables
+        out = np.empty(len(numbers))
+        for part, contexts, classes in self.pieces(numbers, symbols, starts):
+            chance = _softmax(tables[0], contexts, self.weights.class_bias)
+            log = np.log10(np.maximum(chance[np.arange(len(classes)), classes], 1e-30), dtype=np.float64)
+            inside = np.flatnonzero(classes < FREQUENT_CLASSES)
+            own = classes[inside]
+            chance = _softmax(tables[1], word_rows(contexts[inside], own), self.weights.word_bias[own])
+            place = numbers[part][inside] % CLASS_WORDS
+            log[inside] += np.log10(np.maximum(chance[np.arange(len(own)), place], 1e-30), dtype=np.float64)
+            outside = np.flatnonzero(classes >= FREQUENT_CLASSES)
+            log[outside] -= self.log_shares[classes[outside]]
+            known = outside[numbers[part][outside] >= 0]
+            log[known] += self.log_counts[numbers[part][known]]
+            out[part] = log
+        return out
+
     def score(self, texts) -> Iterator[tuple]:
-        """Per text: tokens, those in the lookup table, their base and model sums, and the words not there.
+        """Per text: tokens, those in the lookup table, base and model sums, and the words not there.
 
         The sums lack log10(count + 1) of words not there, and nothing else.
         """
-        tables = self.weights.tables
         base_share = math.log10(self.vocab.total + self.vocab.distinct + 1)
         for numbers, symbols, starts, lacking in self.batches(texts):
-            logs = np.empty(len(numbers))
-            for part, contexts, classes in self.pieces(numbers, symbols, starts):
-                chance = _softmax(tables[0], contexts, self.weights.class_bias)
-                log = np.log10(np.maximum(chance[np.arange(len(classes)), classes], 1e-30), dtype=np.float64)
-                inside = np.flatnonzero(classes < FREQUENT_CLASSES)
-                own = classes[inside]
-                chance = _softmax(tables[1], word_rows(contexts[inside], own), self.weights.word_bias[own])
-                log[inside] += np.log10(np.maximum(chance[np.arange(len(own)), numbers[part][inside] % CLASS_WORDS], 1e-30), dtype=np.float64)
-                outside = np.flatnonzero(classes >= FREQUENT_CLASSES)
-                log[outside] -= self.log_shares[classes[outside]]
-                known = outside[numbers[part][outside] >= 0]
-                log[known] += self.log_counts[numbers[part][known]]
-                logs[part] = log
-            there = numbers >= 0
-            base = np.where(there, self.log_counts[np.maximum(numbers, 0)] if len(self.log_counts) else 0.0, 0.0) - base_share
-            sums = [np.add.reduceat(v, starts) for v in (there.astype(np.int64), base, logs)]
-            sizes = np.diff(np.append(starts, len(numbers)))
-            yield from zip(sizes, *sums, lacking)
+            there, base = numbers >= 0, np.zeros(len(numbers))
+            base[there] = self.log_counts[numbers[there]]
+            logs = self.logs(numbers, symbols, starts)
+            sums = [np.add.reduceat(v, starts) for v in (there.astype(np.int64), base - base_share, logs)]
+            yield from zip(np.diff(np.append(starts, len(numbers))), *sums, lacking)
 
 
 @dataclass

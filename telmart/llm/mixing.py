@@ -55,9 +55,11 @@ def source_targets(
         F.sum("source_size").over(all_rows) - F.coalesce(F.sum("limit").over(before), F.lit(0))
     ) / (F.sum("weight").over(all_rows) - F.coalesce(F.sum("weight").over(before), F.lit(0)))
     levelled = limited.withColumn("level", level)
-    # The level holds from the first source, by limit, that does not reach its own.
-    holds = F.min(F.when(F.col("level") * F.col("weight") <= F.col("limit"), F.struct(F.col("limit") / F.col("weight"), F.col("level")))).over(all_rows)
-    target = F.least(holds["level"] * F.col("weight"), F.col("limit").cast("double"))
+    # The level holds from the first source, by limit, that does not reach its own limit; of
+    # sources with equal limits that is the one with the highest level.
+    ratio, level = F.col("limit") / F.col("weight"), F.col("level")
+    holds = F.min(F.when(level * F.col("weight") <= F.col("limit"), F.struct(ratio, -level))).over(all_rows)
+    target = F.least(-holds["col2"] * F.col("weight"), F.col("limit").cast("double"))
     offset = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(SEED), F.coalesce("source", F.lit("")))), 1, 8), 16, 10)
     return levelled.select(
         "source",

@@ -89,7 +89,7 @@ def train(texts: list[np.ndarray], labels: np.ndarray, cost: float = COST, epoch
         norm = np.sqrt((values**2).sum())
         rows.append(values / norm if norm else values)
     sign = np.where(labels > 0, 1.0, -1.0)
-    share = np.clip(np.mean(labels > 0), 1e-3, 1 - 1e-3)
+    share = np.clip(np.mean(labels > 0), 1e-3, 1 - 1e-3) if len(labels) else 0.5
     limit = np.where(labels > 0, cost / (2 * share), cost / (2 * (1 - share)))
     squared = np.array([v @ v for v in rows]) + 1.0  # 1 for the constant
     alpha, weights, constant = np.zeros(len(texts)), np.zeros(BUCKETS), 0.0

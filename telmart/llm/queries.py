@@ -141,8 +141,8 @@ ORACLES: dict[str, str] = {
             from sources
             window below as (order by 3 * source_size / weight, source nulls last
                              rows between unbounded preceding and 1 preceding)),
-        held as (select arg_min(level, 3 * source_size / weight) as level from levels
-                 where level * weight <= cap),
+        held as (select level from levels where level * weight <= cap
+                 order by 3 * source_size / weight, level desc limit 1),
         targets as (
             select source, source_size,
                    least(held.level * weight, cap::double) as target,
