@@ -8,8 +8,7 @@ Model. The most frequent words have classes of ``CLASS_WORDS`` each; all other w
 or not, fall into classes by a hash of their last bytes. The next word's probability is
 that of its class times that of the word in it. A class's, and a frequent word's, is a
 softmax over sums of weights of the context's features: the word before, the two before,
-and two skip features (second and third word before), each hashed to a row of the weight
-tables. In the other classes words have their smoothed relative frequency, with one share
+and a skip feature (the second word before), each hashed to a row of the weight tables. In the other classes words have their smoothed relative frequency, with one share
 for all unknown words. So a text's probabilities are proper, and longer histories differ.
 
 Training. In each round the tasks take AdaGrad steps in numpy on a part of the training
@@ -27,6 +26,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -38,11 +38,10 @@ from telmart.llm.common import fold, runs, stored, words
 LOOKUP_WORDS = 1 << 17
 LOOKUP_BYTES = 48  # longer words are always joined
 CLASS_WORDS = 64
-FREQUENT_CLASSES = 24
-OTHER_CLASSES = 40
+FREQUENT_CLASSES = 16
+OTHER_CLASSES = 16
 CLASSES = FREQUENT_CLASSES + OTHER_CLASSES
 ROWS = 1 << 13  # of each weight table
-FEATURES = 4
 ROUNDS = 3
 RATE = 0.25
 BATCH = 1 << 13
@@ -146,22 +145,22 @@ class Batcher:
 
     def read(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Lookup number of every token (-1: not there), its symbol, and the words not there."""
-        numbers = np.fromiter((self.get(w, -1) for w in found), np.int64, len(found))
+        numbers = np.fromiter(map(self.get, found, repeat(-1)), np.int64, len(found))
         symbols, missing = numbers.copy(), np.flatnonzero(numbers < 0)
         lacking = [found[k] for k in missing]
         symbols[missing] = [self.size + other_class(w) for w in lacking]
         return numbers, symbols, lacking
 
     def contexts(self, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Rows of the features before every token: FEATURES columns."""
+        """Rows of the features before every token, a column each."""
         before = []
-        for back in (1, 2, 3):
+        for back in (1, 2):
             shifted = np.concatenate([np.full(back, 1 << 40), symbols[:-back]])[: len(symbols)]
             for k in range(back):
                 shifted[starts[starts + k < len(symbols)] + k] = 1 << 40  # before the text
             before.append(shifted)
-        one, two, three = before
-        hashed = [_hash(one, salt=1), _hash(one, two, salt=2), _hash(two, salt=3), _hash(three, salt=4)]
+        one, two = before
+        hashed = [_hash(one, salt=1), _hash(one, two, salt=2), _hash(two, salt=3)]
         return np.stack([(h >> np.uint64(40)).astype(np.int64) % ROWS for h in hashed], axis=1)
 
     def classes(self, numbers: np.ndarray, symbols: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -184,7 +183,7 @@ def word_rows(rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
 class Weights:
     """Class and word tables (a row per hashed feature), and a bias for each class and word."""
 
-    tables: np.ndarray  # 2 x ROWS x 64
+    tables: list[np.ndarray]  # ROWS x CLASSES and ROWS x CLASS_WORDS
     class_bias: np.ndarray
     word_bias: np.ndarray
 
@@ -201,10 +200,17 @@ class Weights:
             word_bias = np.log(words / np.maximum(words.sum(axis=1, keepdims=True), 1)).astype(np.float32)
         empty = np.float32(-1e9)  # a class or place without words has probability zero
         return cls(
-            np.zeros((2, ROWS, CLASS_WORDS), np.float32), np.where(np.isfinite(class_bias), class_bias, empty),
+            [np.zeros((ROWS, CLASSES), np.float32), np.zeros((ROWS, CLASS_WORDS), np.float32)],
+            np.where(np.isfinite(class_bias), class_bias, empty),
             np.where(np.isfinite(word_bias), word_bias, empty),
         )
 
+    def moved(self, change: np.ndarray) -> Weights:
+        """The weights after a change of the tables."""
+        parts = np.split(change, [self.tables[0].size])
+        tables = [t + p.reshape(t.shape) for t, p in zip(self.tables, parts)]
+        return Weights(tables, self.class_bias, self.word_bias)
+
 
 def _softmax(table: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
     logits = bias + table[rows[:, 0]]
@@ -216,6 +222,19 @@ def _softmax(table: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarra
     return logits
 
 
+def _row_sums(rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of consecutive rows: short runs all at once, row by row; long ones one at a time."""
+    total, size, done = rows[starts], np.diff(np.append(starts, len(rows))), 1
+    pending = np.flatnonzero(size > done)
+    while len(pending) and done < 16:
+        total[pending] += rows[starts[pending] + done]
+        done += 1
+        pending = pending[size[pending] > done]
+    for k in pending:
+        total[k] += rows[starts[k] + done : starts[k] + size[k]].sum(axis=0)
+    return total
+
+
 def _step(table: np.ndarray, squares: np.ndarray, rows: np.ndarray, bias: np.ndarray, target: np.ndarray) -> None:
     """One AdaGrad step of a table towards the targets."""
     gradient = _softmax(table, rows, bias)
@@ -224,7 +243,7 @@ def _step(table: np.ndarray, squares: np.ndarray, rows: np.ndarray, bias: np.nda
     order = np.argsort(flat, kind="stable")
     ranked = flat[order]
     starts = np.concatenate([[0], np.flatnonzero(np.diff(ranked)) + 1])
-    total = np.add.reduceat(gradient[order // rows.shape[1]], starts, axis=0)
+    total = _row_sums(gradient[order // rows.shape[1]], starts)
     where = ranked[starts]
     squares[where] += np.mean(total**2, axis=1)
     table[where] -= (RATE / np.sqrt(squares[where]))[:, None] * total
@@ -262,9 +281,9 @@ class Task:
             yield part, contexts[part], classes[part]
 
     def learn(self, texts) -> tuple[np.ndarray, int]:
-        """Change of the tables after one pass over the texts, and its tokens."""
-        tables = self.weights.tables.copy()
-        squares, seen = np.full(tables.shape[:2], 1.0, np.float32), 0
+        """Change of the tables, one after the other, in a pass over the texts, and its tokens."""
+        tables = [t.copy() for t in self.weights.tables]
+        squares, seen = [np.ones(ROWS, np.float32) for _ in tables], 0
         for numbers, symbols, starts, _ in self.batches(texts):
             for part, contexts, classes in self.pieces(numbers, symbols, starts):
                 _step(tables[0], squares[0], contexts, self.weights.class_bias, classes)
@@ -273,7 +292,7 @@ class Task:
                     own = classes[inside]
                     _step(tables[1], squares[1], word_rows(contexts[inside], own), self.weights.word_bias[own], numbers[part][inside] % CLASS_WORDS)
                 seen += len(classes)
-        return tables - self.weights.tables, seen
+        return np.concatenate([(new - old).ravel() for new, old in zip(tables, self.weights.tables)]), seen
 
     def logs(self, numbers, symbols, starts) -> np.ndarray:
         """log10 probability of every token; for words not there, log10(count + 1) is lacking."""
@@ -344,13 +363,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds:
             task = Task(*sent.value)
             change, size = task.learn(t for batch in batches for t in batch["text"])
             if size:
-                parts = np.array_split(change.ravel(), _PARTS)
+                parts = np.array_split(change, _PARTS)
                 yield pd.DataFrame({"part": range(_PARTS), "size": size, "change": [p.tobytes() for p in parts]})
 
         part = docs.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(rounds)) == number)
         change = _summed(part.select(F.col(text_col).alias("text")).mapInPandas(learn, "part int, size long, change binary"))
         if len(change):
-            weights = Weights(weights.tables + change.reshape(weights.tables.shape), weights.class_bias, weights.word_bias)
+            weights = weights.moved(change)
         sent.unpersist()
     return Model(vocab, weights, counts)
 
