@@ -22,6 +22,7 @@ import base64
 from collections.abc import Iterator
 from functools import cached_property
 
+import numpy as np
 import pandas as pd
 import regex
 import tiktoken
@@ -70,7 +71,7 @@ class Codec:
 
 
 def plain(ids) -> list[int]:
-    """Ids as a list: Arrow brings arrays, a function just before brings lists."""
+    """Ids of one text as a list."""
     return ids if isinstance(ids, list) else ids.tolist()
 
 
@@ -131,7 +132,8 @@ def long_pieces(
 
 def _ids(codec: Codec, text: Column) -> Column:
     def encode(texts: pd.Series) -> pd.Series:
-        return pd.Series([codec.encode(t) for t in texts])
+        # Four bytes an id: lists of a whole batch would take ten times as much.
+        return pd.Series([np.array(codec.encode(t), np.int32) for t in texts], dtype=object)
 
     return F.pandas_udf(encode, ArrayType(IntegerType()))(text)
 
