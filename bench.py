@@ -102,7 +102,7 @@ def main() -> None:
     def role_playing(**options):
         calls = fact_of("calls")
         wide = joins.with_users(calls, dim_of("user"), ["plan_type", "city"], **options)
-        wide = joins.with_cell_sites(wide, dim_of("cell_site"), ["city"], keys_from=calls)
+        wide = joins.with_cell_sites(wide, dim_of("cell_site"), ["city"], keys_from=calls, **options)
         consume(
             daily_measures(
                 wide, ["from_user_plan_type", "to_user_plan_type", "to_cell_city"], sums=["amount"]

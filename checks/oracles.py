@@ -378,30 +378,49 @@ _SCD_LATEST = """
     left join customer c on o.user_id = c.c_custkey
     qualify row_number() over (partition by user_id order by day desc, seq desc) = 1"""
 
-_SCD2 = f"""
-    with cur as ({_SCD_OPEN}), chg as ({_SCD_LATEST}),
-    m as (
-        select coalesce(cur.user_id, chg.user_id) as user_id, cur.plan_type as old_plan,
-            chg.plan_type as new_plan, cur.city, day,
-            cur.user_id is not null as had, chg.user_id is not null as got
-        from cur full outer join chg on cur.user_id = chg.user_id)
-    select user_id, old_plan as plan_type, city, '1998-01-01' as effective_from,
-        '9999-12-31' as effective_to, true as is_current
-    from m where had and (not got or old_plan = new_plan)
-    union all
-    select user_id, new_plan, null, day, '9999-12-31', true from m where not had
-    union all
-    select user_id, old_plan, city, '1998-01-01', day, false
-    from m where had and got and old_plan <> new_plan and day > '1998-01-01'
-    union all
-    select user_id, new_plan, city, day, '9999-12-31', true
-    from m where had and got and old_plan <> new_plan and day > '1998-01-01'
-    union all
-    select user_id, new_plan, city, '1998-01-01', '9999-12-31', true
-    from m where had and got and old_plan <> new_plan and day <= '1998-01-01'
-    union all
-    select c_custkey, 'OLD', 'C0', '1990-01-01', '1998-01-01', false
-    from customer where c_custkey % 5 = 0"""
+_SCD_CHANGES = """
+    select user_id, coalesce(stated, c_mktsegment, 'NEW') as plan_type, day, seq from (
+        select case when o_custkey % 10 = 0 then o_custkey + 1000000000 else o_custkey end as user_id,
+            case when o_custkey % 4 = 0 then null else o_orderpriority end as stated,
+            strftime(o_orderdate, '%Y-%m-%d') as day, o_orderkey as seq
+        from orders) o
+    left join customer c on o.user_id = c.c_custkey"""
+
+
+def scd2_sql(late: str = "false") -> str:
+    """Version chains over all changes; ``late`` adds a change in 1994 for those users."""
+    return f"""
+    with changes as ({_SCD_CHANGES}),
+    daily as (
+        select user_id, plan_type, day from changes
+        qualify row_number() over (partition by user_id, day order by seq desc, plan_type desc) = 1
+        union all
+        select c_custkey, 'LATE', '1994-05-05' from customer where {late}),
+    states as (
+        select c_custkey as user_id, 'OLD' as plan_type, 'C0' as city, '1990-01-01' as day,
+            '1998-01-01' as until, 0 as fresh from customer where c_custkey % 5 = 0
+        union all
+        select user_id, plan_type, city, '1998-01-01', '9999-12-31', 0 from ({_SCD_OPEN})
+        union all
+        select user_id, plan_type, null, day, '9999-12-31', 1 from daily),
+    placed as (
+        select *, max(fresh) over (partition by user_id) as touched,
+            coalesce(last_value(city ignore nulls) over so_far, first_value(city ignore nulls) over rest) as known,
+            row_number() over (partition by user_id, day order by fresh desc) as nth
+        from states
+        window so_far as (partition by user_id order by day, fresh rows between unbounded preceding and current row),
+            rest as (partition by user_id order by day, fresh rows between current row and unbounded following)),
+    versions as (
+        select * from placed where touched = 0 or nth = 1
+        qualify touched = 0 or lag(plan_type) over (partition by user_id order by day) is distinct from plan_type)
+    select user_id, plan_type, known as city, day as effective_from,
+        case when touched = 1 then least(until, lead(day, 1, '9999-12-31') over chain) else until end as effective_to,
+        until = '9999-12-31' and (touched = 0 or lead(day) over chain is null) as is_current
+    from versions
+    window chain as (partition by user_id order by day)"""
+
+
+_SCD2 = scd2_sql()
 
 _VERSIONS = f"""
     select phone_number, plan_type || '-' || no as plan_type, city, lo, hi
@@ -523,6 +542,16 @@ ORACLES: dict[str, str] = {
             select event_type, unnest(string_split(rejection_reason, ', ')) as reason
             from ({silver_sql('call')}) where is_rejected)
         where reason <> '' group by 1, 2""",
+    "rejection_report_many_rules": """
+        select o_orderstatus,
+            'a_rather_long_column_name_' || lpad(cast(i as varchar), 2, '0') || ' come with null value' as reason,
+            count(*) as n_rows
+        from orders, range(40) t(i) where o_orderkey % 3 = 0 group by 1, 2""",
+    "lookup_duplicate_dim_rows": """
+        select kind, c_mktsegment, count(*) as n_rows, round(sum(o_totalprice), 2) as sum_price
+        from orders left join (select c_custkey, least(c_mktsegment, 'ZZZ') as c_mktsegment from customer)
+            on o_custkey = c_custkey, (values ('measured'), ('shuffled')) v(kind)
+        group by 1, 2""",
     "valid_reject_split": f"""
         select case when is_rejected then 'rejected' else 'valid' end as side, count(*) as n_rows,
             round(sum(amount), 2) as sum_amount
@@ -656,6 +685,9 @@ ORACLES: dict[str, str] = {
         from ({_SCD_OPEN}) o full outer join ({_SCD_LATEST}) n on o.user_id = n.user_id""",
     "scd2_merge": _SCD2,
     "scd2_merge_again": _SCD2,
+    "scd2_replay_old_batch": _SCD2,
+    "scd2_late_change": scd2_sql("c_custkey % 3 = 0"),
+    "scd2_stored_merge": _SCD2,
     "call_distance": f"""
         select from_cell_site, count(km) as n_known, round(sum(km), 2) as sum_km,
             round(max(km), 4) as max_km
@@ -690,8 +722,7 @@ ORACLES: dict[str, str] = {
         select run_id, event_type as channel, count(*) as n_rows
         from events, (values ('2025010100'), ('2025010101')) r(run_id) group by 1, 2""",
     "run_manifest": """
-        select distinct d as event_date, h as event_hour, cast(1 as bigint) as n_files,
-            cast(1 as bigint) as n_archived,
+        select distinct d as event_date, h as event_hour, true as all_apart,
             '/archive/support/' || replace(d, '-', '') || '/' || h as folder
         from events, (values ('2025-01-01', '03'), ('2025-01-01', '04'), ('2025-01-02', '03')) v(d, h)""",
     "purge_by_manifest": """

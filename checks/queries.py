@@ -31,7 +31,14 @@ from telmart.plans.dims import (
     build_user_seed,
 )
 from telmart.plans.facts import LEGACY_KEY_NAME, build_fact
-from telmart.plans.jobs import Layout, build_dims, build_facts, load_seed_dims, run_silver
+from telmart.plans.jobs import (
+    Layout,
+    build_dims,
+    build_facts,
+    load_seed_dims,
+    merge_dim,
+    run_silver,
+)
 from telmart.plans.silver import normalise, to_silver
 from telmart.schemas import drift_report, observed_fields
 from telmart.scratch import scratch_path
@@ -292,6 +299,35 @@ def rejection_report(spark: SparkSession, sf: str) -> DataFrame:
     return quality.rejection_report(silver(spark, sf, "call"), "event_type")
 
 
+def rejection_report_many_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Forty long column names, all null in a third of the rows: texts far over their limit."""
+    orders = b.table(spark, sf, "orders")
+    names = [f"a_rather_long_column_name_{i:02d}" for i in range(40)]
+    wide = orders.select(
+        "o_orderstatus",
+        *[F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey")).alias(c) for c in names],
+    )
+    rules = quality.RuleSet(required=tuple(names))
+    checked = quality.add_rejection_reason(wide, rules, keep_rules=True)
+    return quality.rejection_report(checked, "o_orderstatus")
+
+
+def lookup_duplicate_dim_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """A dimension with two rows per key: no fact row is doubled, by either kind of join."""
+    facts = b.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    customers = b.table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    doubled = customers.unionAll(customers.withColumn("c_mktsegment", F.lit("ZZZ")))
+    sides = [
+        joins.lookup_join(facts, doubled, "o_custkey", "c_custkey", max_bytes=size).select(
+            F.lit(label).alias("kind"), "*"
+        )
+        for label, size in (("measured", joins.MAX_BROADCAST_BYTES), ("shuffled", 0))
+    ]
+    return sides[0].unionAll(sides[1]).groupBy("kind", "c_mktsegment").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("o_totalprice"), 2).alias("sum_price")
+    )
+
+
 def valid_reject_split(spark: SparkSession, sf: str) -> DataFrame:
     """Both outputs of one write, read back."""
     path = scratch_path(spark, "payments")
@@ -629,6 +665,40 @@ def scd2_again(spark: SparkSession, sf: str) -> DataFrame:
     return scd2_merge(merged, changes, ["user_id"], ["plan_type"], order_by=["seq"])
 
 
+def scd2_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches in order of time, then the first one again: no later version is lost."""
+    changes = _scd_changes(spark, sf)
+    batches = [
+        changes.filter("effective_from < '1996-01-01'"),
+        changes.filter("effective_from between '1996-01-01' and '1997-12-31'"),
+        changes.filter("effective_from > '1997-12-31'"),
+    ]
+    merged = _scd_dim(spark, sf)
+    for batch in [*batches, batches[0]]:
+        merged = scd2_merge(merged, batch, ["user_id"], ["plan_type"], order_by=["seq"])
+    return merged
+
+
+def scd2_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes of 1994 that arrive after all others slot into history."""
+    merged = scd2_merge(
+        _scd_dim(spark, sf), _scd_changes(spark, sf), ["user_id"], ["plan_type"], order_by=["seq"]
+    )
+    late = b.table(spark, sf, "customer").filter("c_custkey % 3 = 0").selectExpr(
+        "c_custkey as user_id", "'LATE' as plan_type", "'1994-05-05' as effective_from"
+    )
+    return scd2_merge(merged, late, ["user_id"], ["plan_type"])
+
+
+def scd2_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored dimension, merged in place twice."""
+    name = _new_name("t_dim_user")
+    write_table(_scd_dim(spark, sf), name, path=scratch_path(spark, name))
+    for _ in range(2):
+        merge_dim(spark, Layout(), name, _scd_changes(spark, sf), ["user_id"], ["plan_type"], ["seq"])
+    return read_table(spark, name)
+
+
 # --- enrichment -------------------------------------------------------------------
 
 
@@ -682,12 +752,12 @@ def manifest(spark: SparkSession, sf: str) -> DataFrame:
     """Files of a run, and where they are archived; counted per folder."""
     root = scratch_path(spark, "landing")
     for day, hour in (("2025-01-01", "03"), ("2025-01-01", "04"), ("2025-01-02", "03")):
-        b.raw_support(spark, sf).coalesce(1).write.json(f"{root}/support/{day}/{hour}")
+        b.raw_support(spark, sf).write.json(f"{root}/support/{day}/{hour}")
     bronze = read_bronze(spark, f"{root}/support", "support", multi_line=False)
     files = archived_location(run_manifest(bronze), "/archive", "support", "2025-09-09")
     return files.groupBy("event_date", "event_hour").agg(
-        F.count(F.lit(1)).alias("n_files"),
-        F.countDistinct("archived_file").alias("n_archived"),
+        # How many files a write makes is Spark's choice; none may share a target.
+        (F.count(F.lit(1)) == F.countDistinct("archived_file")).alias("all_apart"),
         F.min(F.regexp_extract("archived_file", "^(.*)/", 1)).alias("folder"),
     )
 
@@ -794,6 +864,8 @@ QUERIES: dict[str, Query] = {
     "format_rules": format_rules,
     "strict_schema_rules": strict_schema_rules,
     "rejection_report": rejection_report,
+    "rejection_report_many_rules": rejection_report_many_rules,
+    "lookup_duplicate_dim_rows": lookup_duplicate_dim_rows,
     "valid_reject_split": valid_reject_split,
     "accept_filter": lambda spark, sf: shape.accepted(_flagged(spark, sf)),
     "accept_strict": lambda spark, sf: shape.strictly_accepted(_flagged(spark, sf)),
@@ -833,6 +905,9 @@ QUERIES: dict[str, Query] = {
     "scd1_upsert": scd1,
     "scd2_merge": scd2,
     "scd2_merge_again": scd2_again,
+    "scd2_replay_old_batch": scd2_replay,
+    "scd2_late_change": scd2_late,
+    "scd2_stored_merge": scd2_stored,
     "call_distance": call_distance,
     "seasonal_multiplier": seasonal,
     "short_call_flag": short_calls,

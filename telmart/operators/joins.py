@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from telmart.operators.dedup import first_row_per_key
+
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 # A key is frequent when it may hold this share of the rows; at most 1/share keys are.
 FREQUENT_SHARE = 0.001
@@ -100,7 +102,9 @@ def lookup_join(
 ) -> DataFrame:
     """Add dimension columns (named ``<prefix><column>``) to a fact.
 
-    ``condition`` may further restrict matches, naming fact columns and prefixed
+    Of several dimension rows with one key the first in the order of the columns asked for
+    is taken, so every fact row stays one row (and its sums right). ``condition`` lifts
+    that, as it may tell such rows apart: it may further restrict matches, naming fact columns and prefixed
     dimension columns. ``fixed_size`` says that the dimension's size is bounded by
     construction (a calendar, the minutes of a day), so it needs no measuring.
     ``max_bytes=0`` rules a broadcast out. ``frequent`` gives the fact's frequent keys
@@ -109,6 +113,9 @@ def lookup_join(
     if how not in ("left", "inner"):
         raise ValueError("a lookup is a left or an inner join")
     side = _attributes(dim, dim_key, columns, prefix)
+    if condition is None and not fixed_size:
+        # One row per key, whatever the dimension holds: a lookup never multiplies facts.
+        side = first_row_per_key(side, [_KEY])
     clash = set(side.columns) & set(fact.columns)
     if clash:
         raise ValueError(f"lookup would repeat columns {sorted(clash)}; give a prefix")
@@ -177,6 +184,8 @@ def _lookup_roles(
     """
     roles = [(f"{r}_{key_suffix}", f"{r}_") for r in ("from", "to")]
     roles = [(k, p) for k, p in roles if k in fact.columns] or [(key_suffix, "")]
+    names = columns if columns is not None else [c for c in dim.columns if c != dim_key]
+    dim = first_row_per_key(dim.select(dim_key, *[c for c in names if c != dim_key]), [dim_key])
     small = fixed_size or _fits(_attributes(dim, dim_key, columns, ""), max_bytes)
     keys = [k for k, _ in roles]
     hot = {} if small else frequent_keys(fact if keys_from is None else keys_from, keys)
@@ -225,12 +234,15 @@ def with_user_as_of(
     prefix: str = "user_",
     **options,
 ) -> DataFrame:
-    """User attributes valid at the fact's moment: effective_from <= moment < effective_to."""
+    """User attributes valid at the fact's moment: effective_from <= moment < effective_to.
+
+    A bound that is null is open.
+    """
     bounds = ["effective_from", "effective_to"]
     names = [*columns, *[b for b in bounds if b not in columns]]
-    at = F.col(moment)
-    valid = (at >= F.col(f"{prefix}effective_from").try_cast("timestamp_ntz")) & (
-        at < F.col(f"{prefix}effective_to").try_cast("timestamp_ntz")
+    at, since, until = F.col(moment), F.col(f"{prefix}effective_from"), F.col(f"{prefix}effective_to")
+    valid = (since.isNull() | (at >= since.try_cast("timestamp_ntz"))) & (
+        until.isNull() | (at < until.try_cast("timestamp_ntz"))
     )
     wide = lookup_join(
         fact, dim_user, fact_key, "phone_number", names, prefix, condition=valid, **options

@@ -89,9 +89,18 @@ def _violation(rules: RuleSet, name: str, kind: str) -> tuple[Column, str]:
     return broken, MESSAGES[kind].format(column=name, **details)
 
 
-def add_rejection_reason(df: DataFrame, rules: RuleSet, missing: str = SKIP) -> DataFrame:
+RULES_COLUMN = "rejection_rules"
+CUT_REASON = "(cut)"
+
+
+def add_rejection_reason(
+    df: DataFrame, rules: RuleSet, missing: str = SKIP, keep_rules: bool = False
+) -> DataFrame:
     """Add ``rejection_reason`` (null when clean) and ``is_rejected``.
 
+    The text is cut at ``MAX_REASON_LENGTH``, as its contract says. ``keep_rules`` adds
+    ``rejection_rules``, the array of all violated rules, which is never cut.
+
     All messages form one expression, so the plan gets one projection however many
     rules there are. ``is_rejected`` is derived from the conditions rather than from
     the text: a plan that keeps only the flag never builds the text. A rule on an
@@ -111,16 +120,20 @@ def add_rejection_reason(df: DataFrame, rules: RuleSet, missing: str = SKIP) ->
             continue  # a null fails the numeric rule too, which decides the flag
         violated.append(F.coalesce(condition, F.lit(False)))
     if not reasons:
+        nothing = [F.array().cast("array<string>").alias(RULES_COLUMN)] if keep_rules else []
         return df.select(
             "*",
             F.lit(None).cast("string").alias("rejection_reason"),
             F.lit(False).alias("is_rejected"),
+            *nothing,
         )
     text = F.substring(F.concat_ws("", *reasons), 1, MAX_REASON_LENGTH)
+    names = F.transform(F.array_compact(F.array(*reasons)), lambda r: F.rtrim(r, F.lit(", ")))
     return df.select(
         "*",
         F.nullif(text, F.lit("")).alias("rejection_reason"),
         reduce(lambda a, b: a | b, violated).alias("is_rejected"),
+        *([names.alias(RULES_COLUMN)] if keep_rules else []),
     )
 
 
@@ -132,20 +145,26 @@ def split_by_quality(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 def rejection_report(df: DataFrame, *group_by: str) -> DataFrame:
     """Rows per group and single reason.
 
-    Whole reason texts are counted first: there are few distinct ones, so the explode
-    runs on a handful of rows per group instead of on every rejected row.
+    Reasons are those of ``rejection_rules`` where the frame has them. Without, they are
+    parsed from the texts; a text at its length limit may have been cut, so its last part
+    is counted as ``CUT_REASON`` instead of passing for a reason.
+
+    Whole lists are counted first: there are few distinct ones, so the explode runs on a
+    handful of rows per group instead of on every rejected row.
     """
     groups = [F.col(g) for g in group_by]
     # The flag is the cheaper test: it is there before the text is built.
     rejected = "is_rejected" if "is_rejected" in df.columns else "rejection_reason is not null"
-    texts = (
-        df.filter(rejected)
-        .groupBy(*groups, "rejection_reason")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    singles = texts.select(
-        *groups, F.explode(F.split("rejection_reason", ", ")).alias("reason"), "n"
-    ).filter("reason <> ''")
+    source = RULES_COLUMN if RULES_COLUMN in df.columns else "rejection_reason"
+    lists = df.filter(rejected).groupBy(*groups, source).agg(F.count(F.lit(1)).alias("n"))
+    reasons = F.col(source)
+    if source != RULES_COLUMN:
+        # Texts end with a separator unless they were cut.
+        parts = F.split(source, ", ")
+        whole = F.slice(parts, 1, F.size(parts) - 1)
+        cut = F.length(source) >= MAX_REASON_LENGTH
+        reasons = F.when(cut, F.concat(whole, F.array(F.lit(CUT_REASON)))).otherwise(parts)
+    singles = lists.select(*groups, F.explode(reasons).alias("reason"), "n").filter("reason <> ''")
     return singles.groupBy(*groups, "reason").agg(F.sum("n").alias("n_rows"))
 
 
@@ -160,17 +179,37 @@ def orphan_keys(fact: DataFrame, key: str, dim: DataFrame, dim_key: str) -> Data
 
 
 def integrity_report(fact: DataFrame, links: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Per link column: how many keys and rows have no dimension row."""
-    parts = []
-    for key, (dim, dim_key) in links.items():
-        orphans = orphan_keys(fact, key, dim, dim_key)
-        parts.append(
-            orphans.agg(
-                F.count(F.lit(1)).alias("orphan_keys"),
-                F.coalesce(F.sum("n_rows"), F.lit(0)).alias("orphan_rows"),
-            ).select(F.lit(key).alias("link"), "orphan_keys", "orphan_rows")
-        )
-    return reduce(DataFrame.unionByName, parts)
+    """Per link column: how many keys and rows have no dimension row.
+
+    The fact is scanned once: its keys are unfolded by link and counted, in the tasks
+    first, and one anti join with the keys of all dimensions finds the orphans.
+    """
+    keys = F.array(
+        *[F.struct(F.lit(k).alias("link"), F.col(k).cast("string").alias("key")) for k in links]
+    )
+    counts = (
+        fact.select(F.inline(keys))
+        .filter("key is not null and key <> ''")
+        .groupBy("link", "key")
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+    )
+    known = reduce(
+        DataFrame.unionAll,
+        [
+            dim.select(F.lit(k).alias("link"), F.col(dim_key).cast("string").alias("key"))
+            for k, (dim, dim_key) in links.items()
+        ],
+    ).distinct()
+    orphans = counts.join(known, ["link", "key"], "left_anti").groupBy("link").agg(
+        F.count(F.lit(1)).alias("orphan_keys"), F.sum("n_rows").alias("orphan_rows")
+    )
+    names = fact.sparkSession.createDataFrame([(k,) for k in links], "link string")
+    zero = F.lit(0).cast("long")
+    return names.join(orphans, "link", "left").select(
+        "link",
+        F.coalesce("orphan_keys", zero).alias("orphan_keys"),
+        F.coalesce("orphan_rows", zero).alias("orphan_rows"),
+    )
 
 
 def profile_table(df: DataFrame) -> DataFrame:

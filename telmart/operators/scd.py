@@ -1,11 +1,11 @@
-"""Slowly changing dimension merges as joins (no MERGE INTO needed)."""
+"""Slowly changing dimension merges (no MERGE INTO needed)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from telmart.operators.dedup import last_row_per_key
@@ -59,75 +59,88 @@ def scd2_merge(
     effective: str = "effective_from",
     order_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Close the open version of every changed key and open a new one.
+    """Insert changes into the version chains of their keys.
 
     ``dim`` carries effective_from, effective_to and is_current. ``changes`` carries the
     keys, the tracked attributes, optionally other attributes, and the day ``effective``
-    from which they hold. A batch brings one state per key; of several the latest counts
-    (``order_by`` adds columns that order changes of one day).
-
-    * unseen key: a first version opens;
-    * no tracked attribute differs: the open version stays;
-    * a later day: the open version ends on it and a new one starts;
-    * the same day or an earlier one: a correction of the open version, in place.
-
-    Running a batch again therefore changes nothing. One join yields all versions of a
-    key as an array that is unfolded in place; closed versions pass by unjoined.
+    from which they hold; a batch may bring any number of changes per key, in any order.
+    Of several changes of one key and day the latest counts (``order_by`` orders them).
+
+    Stored versions and changes of a touched key form one chain in order of their days:
+
+    * a change on the day a version starts corrects that version;
+    * a change between two days slots into history: the version before it ends on its
+      day, and it ends where the next one starts;
+    * a state with the same tracked attributes as the one before it is no version;
+    * the last version is open, unless it is a stored one that was closed already;
+    * a start that is null counts as the earliest day.
+
+    So running a batch again, however old, changes nothing. Attributes the changes lack are
+    those of the stored version before them (or else the first one after). Versions of
+    other keys stay as they are. One shuffle by key; changes are reduced to one a key and
+    day first, so a chain has at most as many rows as there are days.
     """
-    current = dim.filter("is_current")
-    history = dim.filter("is_current is null or not is_current")
-    attributes = [
-        c
-        for c in dim.columns
-        if c not in keys and c not in ("effective_from", "effective_to", "is_current")
-    ]
+    start_type, end_type = dim.schema["effective_from"].dataType, dim.schema["effective_to"].dataType
+    attributes = [c for c in dim.columns if c not in (*keys, "effective_from", "effective_to", "is_current")]
     given = [c for c in attributes if c in changes.columns]
     ordered = changes.select(*dict.fromkeys([*keys, *given, effective, *order_by]))
-    latest = last_row_per_key(ordered, keys, [effective, *order_by])
-    both = _both_sides(current, latest, keys)
-
-    old, new = F.col("__old"), F.col("__new")
-    start_type = dim.schema["effective_from"].dataType
-    end_type = dim.schema["effective_to"].dataType
-    since = new.getField(effective)
-    differs = reduce(
-        lambda a, b: a | b,
-        [~new.getField(c).eqNullSafe(old.getField(c)) for c in tracked],
+    daily = last_row_per_key(ordered, [*keys, effective], order_by)
+    new = daily.select(
+        *[F.col(c).cast(dim.schema[c].dataType).alias(c) for c in keys],
+        *[
+            (F.col(c) if c in given else F.lit(None)).cast(dim.schema[c].dataType).alias(c)
+            for c in attributes
+        ],
+        F.col(effective).cast(start_type).alias("effective_from"),
+        F.lit(OPEN_END).cast(end_type).alias("effective_to"),
+        F.lit(True).alias("is_current"),
+        F.lit(True).alias("__new"),
+    )
+    rows = dim.withColumn("__new", F.lit(False)).unionByName(new)
+    chain = W.partitionBy(*keys).orderBy(F.col("effective_from").asc_nulls_first(), "__new")
+    whole = chain.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    after = chain.rowsBetween(0, W.unboundedFollowing)
+    stored = F.when(~F.col("__new"), F.struct(*attributes))
+    nearest = F.coalesce(
+        F.last(stored, ignorenulls=True).over(chain), F.first(stored, ignorenulls=True).over(after)
     )
-    later = since.cast(start_type) > old.getField("effective_from")
-
-    def version(attribute_source, start: Column, end: Column, is_current: bool) -> Column:
-        values = {
-            "effective_from": start.cast(start_type),
-            "effective_to": end.cast(end_type),
-            "is_current": F.lit(is_current),
-        }
-        for c in attributes:
-            values[c] = attribute_source(c)
-        for c in keys:
-            values[c] = F.col(c)
-        return F.struct(
-            *[values[c].cast(dim.schema[c].dataType).alias(c) for c in dim.columns]
-        )
-
-    def of_old(c: str) -> Column:
-        return old.getField(c)
-
-    def of_new(c: str) -> Column:
-        return new.getField(c) if c in given else old.getField(c)
-
-    open_end = F.lit(OPEN_END)
-    as_is = version(of_old, old.getField("effective_from"), old.getField("effective_to"), True)
-    closed = version(of_old, old.getField("effective_from"), since, False)
-    opened = version(of_new, since, open_end, True)
-    corrected = version(
-        of_new, old.getField("effective_from"), old.getField("effective_to"), True
+    # A stored end counts where a gap follows; else it is just the next version's start.
+    later = chain.rowsBetween(1, W.unboundedFollowing)
+    next_stored = F.first(F.when(~F.col("__new"), F.struct("effective_from")), ignorenulls=True).over(later)
+    open_end = F.lit(OPEN_END).cast(end_type)
+    gap = F.coalesce(F.col("effective_to") < next_stored.getField("effective_from"), F.lit(False))
+    ended = next_stored.isNull() & ~F.coalesce("is_current", F.lit(False))
+    rows = rows.withColumns({
+        "__until": F.when(gap | ended, F.coalesce("effective_to", open_end)).otherwise(open_end),
+        "__touched": F.max("__new").over(whole),
+        "__nearest": nearest,
+        "__replaced": F.coalesce(
+            F.lead(F.struct("effective_from")).over(chain) == F.struct("effective_from"), F.lit(False)
+        ),
+    }).filter("not __touched or not __replaced")
+    carried = {
+        c: F.when(F.col("__new"), F.col("__nearest").getField(c)).otherwise(F.col(c))
+        for c in attributes
+        if c not in given
+    }
+    rows = rows.withColumns(carried)
+    before = F.lag(F.struct("__until", F.struct(*tracked).alias("state"))).over(chain)
+    same = before.getField("state").eqNullSafe(F.struct(*tracked)) & before.isNotNull()
+    unbroken = before.getField("__until") >= F.coalesce(F.col("effective_from").cast(end_type), open_end)
+    rows = rows.withColumn("__same", F.coalesce(same & unbroken, F.lit(False))).filter(
+        "not __touched or not __same"
     )
-    versions = (
-        F.when(new.isNull(), F.array(as_is))
-        .when(old.isNull(), F.array(opened))
-        .when(~differs, F.array(as_is))
-        .when(later, F.array(closed, opened))
-        .otherwise(F.array(corrected))
+    following = F.lead(F.struct("effective_from")).over(chain)
+    end = F.least("__until", following.getField("effective_from").cast(end_type))
+    return rows.withColumns({
+        "__end": F.when(F.col("__touched"), end).otherwise(F.col("effective_to")),
+        "__current": F.when(
+            F.col("__touched"), following.isNull() & (F.col("__until") == open_end)
+        ).otherwise(F.col("is_current")),
+    }).select(
+        *[
+            {"effective_to": F.col("__end"), "is_current": F.col("__current")}
+            .get(c, F.col(c)).cast(dim.schema[c].dataType).alias(c)
+            for c in dim.columns
+        ]
     )
-    return both.select(F.inline(versions)).unionByName(history.select(*dim.columns))
