@@ -28,10 +28,10 @@ import regex
 import tiktoken
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
 
 CHUNK_CHARS = 1 << 15
 OVERLAP_CHARS = 1 << 10
+_ROWS = 256  # encoded before they are handed on
 _UNSURE = 4  # characters at the end of a chunk whose boundaries are not trusted
 
 
@@ -70,11 +70,6 @@ class Codec:
         return [p for p in starts if p and not text[p - 1].isspace()]
 
 
-def plain(ids) -> list[int]:
-    """Ids of one text as a list."""
-    return ids if isinstance(ids, list) else ids.tolist()
-
-
 def _is_long(text: Column, chunk_chars: int) -> Column:
     return F.coalesce(F.length(text) > chunk_chars, F.lit(False))
 
@@ -130,12 +125,20 @@ def long_pieces(
     )
 
 
-def _ids(codec: Codec, text: Column) -> Column:
-    def encode(texts: pd.Series) -> pd.Series:
-        # Four bytes an id: lists of a whole batch would take ten times as much.
-        return pd.Series([np.array(codec.encode(t), np.int32) for t in texts], dtype=object)
+def _with_ids(texts: DataFrame, codec: Codec) -> DataFrame:
+    """Replace column text by ids. Not a column function: Spark would encode once per use of it."""
+    others = [f for f in texts.schema.fields if f.name != "text"]
+    ddl = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in others), "ids array<int>"])
+
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for start in range(0, len(batch), _ROWS):
+                part = batch.iloc[start : start + _ROWS]
+                # Four bytes an id: lists would take ten times as much.
+                ids = [np.array(codec.encode(t), np.int32) for t in part["text"]]
+                yield part.drop(columns="text").assign(ids=pd.Series(ids, part.index, dtype=object))
 
-    return F.pandas_udf(encode, ArrayType(IntegerType()))(text)
+    return texts.mapInPandas(encode, ddl)
 
 
 def encode(
@@ -147,25 +150,27 @@ def encode(
     Long texts that repeat an id must repeat the text too; each such row gets its ids.
     Other columns are not looked at.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    short = rows.where(~_is_long(F.col("text"), chunk_chars)).select("id", _ids(codec, F.col("text")).alias("ids"))
+    # Ids are text on their way through pandas, which has no integers beside nulls.
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    short = _with_ids(rows.where(~_is_long(F.col("text"), chunk_chars)), codec)
     long = rows.where(_is_long(F.col("text"), chunk_chars))
     keyed = long.select("text", "id", F.sha2("text", 256).alias("key"))
     texts = keyed.dropDuplicates(["key"])
     pieces = long_pieces(texts, "key", "text", codec, chunk_chars, overlap_chars)
-    encoded = pieces.select("key", "piece", _ids(codec, F.col("text")).alias("ids"))
+    encoded = _with_ids(pieces.select("key", "piece", "text"), codec)
     whole = encoded.groupBy("key").agg(
         F.flatten(
             F.transform(F.array_sort(F.collect_list(F.struct("piece", "ids"))), lambda x: x["ids"])
         ).alias("ids")
     )
-    return short.unionAll(keyed.select("id", "key").join(whole, "key").select("id", "ids")).withColumnRenamed("id", id_col)
+    every = short.unionAll(keyed.select("id", "key").join(whole, "key").select("id", "ids"))
+    return every.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), "ids")
 
 
 def decode(encoded: DataFrame, codec: Codec, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
     """Add the bytes that the ids stand for; null ids give null."""
 
     def joined(ids: pd.Series) -> pd.Series:
-        return pd.Series([None if i is None else codec.decode(plain(i)) for i in ids])
+        return pd.Series([None if i is None else codec.decode(i.tolist()) for i in ids])
 
     return encoded.withColumn(to, F.pandas_udf(joined, "binary")(ids_col))

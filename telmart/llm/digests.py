@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telmart.llm.byte_bpe import CHUNK_CHARS, OVERLAP_CHARS, Codec, decode, encode, plain
+from telmart.llm.byte_bpe import CHUNK_CHARS, OVERLAP_CHARS, Codec, encode
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 
@@ -24,15 +24,19 @@ def token_digests(docs: DataFrame, chunk_chars: int = CHUNK_CHARS, overlap_chars
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row of ``docs``."""
     ranks = codec()
 
-    def digest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         name = [str(i) for i in range(len(ranks.ranks.splitlines()))].__getitem__
-        for ids in batches:
-            yield pd.Series([sha256(" ".join(map(name, plain(i))).encode()).hexdigest() for i in ids])
-
-    tokens = decode(encode(docs, ranks, chunk_chars=chunk_chars, overlap_chars=overlap_chars), ranks)
-    return tokens.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.pandas_udf(digest, "string")("ids").alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        for batch in batches:
+            rows = []
+            for key, ids in zip(batch["doc_id"], batch["ids"]):
+                plain = ids.tolist()
+                text = " ".join(map(name, plain)).encode()
+                rows.append((key, len(plain), sha256(text).hexdigest(), sha256(ranks.decode(plain)).hexdigest()))
+            yield pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    tokens = encode(docs, ranks, chunk_chars=chunk_chars, overlap_chars=overlap_chars)
+    # Ids are text on their way through pandas, which has no integers beside nulls.
+    digests = tokens.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
+        digest, "doc_id string, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
+    return digests.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))

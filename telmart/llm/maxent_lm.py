@@ -388,10 +388,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             found = list(task.score(batch["text"]))
             yield pd.DataFrame(found, columns=["n_tokens", "n_known", "base", "logs", "lacking"]).assign(id=batch["id"].to_numpy())
 
-    kind = docs.schema[id_col].dataType.simpleString()
+    # Ids are text on their way through pandas, which has no integers beside nulls.
     partial = stored(
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        .mapInPandas(rows, f"id {kind}, n_tokens long, n_known long, base double, logs double, lacking array<binary>")
+        docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
+        .mapInPandas(rows, "id string, n_tokens long, n_known long, base double, logs double, lacking array<binary>")
         .withColumn("row", F.monotonically_increasing_id()),
         "partial",
     )
@@ -403,7 +403,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     )
     more, zero = F.coalesce("logs_more", F.lit(0.0)), F.lit(0)
     return partial.join(joined, "row", "left").select(
-        F.col("id").alias(id_col),
+        F.col("id").cast(docs.schema[id_col].dataType).alias(id_col),
         "n_tokens",
         (F.col("n_known") + F.coalesce("more", zero)).alias("n_known"),
         F.lit(model.vocab.total).cast("long").alias("train_tokens"),
