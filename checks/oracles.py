@@ -487,6 +487,22 @@ ORACLES: dict[str, str] = {
         select event_date, event_hour, count(*) as n_rows, count(*) as n_with_file,
             round(sum(try_cast(amount as double)), 2) as sum_amount
         from ({_FOLDERS}) group by 1, 2""",
+    "bronze_scan_multiline": """
+        select '2025-01-01' as event_date, event_type as channel, count(*) as n_rows from events group by 2""",
+    "silver_two_runs_no_duplicates": """
+        select case when event_id % 7 = 0 then 'r1' else 'r2' end as run_id, event_type as channel,
+            count(*) as n_rows, count(distinct event_id) as n_events
+        from events group by 1, 2""",
+    "archive_same_run_twice": """
+        select layer, event_type as channel, count(*) as n_rows, count(distinct event_id) as n_events
+        from events, (values ('archive'), ('silver')) v(layer) group by 1, 2""",
+    "raw_archive_then_purge": """
+        select event_type as channel, count(*) as n_rows, count(distinct event_id) as n_lines from events group by 1
+        union all select 'no json', 1, 1""",
+    "silver_malformed_lines": """
+        select case when event_id % 10 = 0 then 40 end as kept_chars, count(*) as n_rows,
+            (select count(*) from events where event_id % 10 = 0) as n_rejected
+        from events group by 1""",
     "bronze_scan_one_day": f"""
         select event_date, event_hour, count(*) as n_rows from ({_FOLDERS})
         where event_date = '2025-01-02' group by 1, 2""",

@@ -144,6 +144,96 @@ def bronze_scan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def bronze_scan_multiline(spark: SparkSession, sf: str) -> DataFrame:
+    """Arrays, pretty-printed objects and JSON lines side by side, each file read whole."""
+    root = scratch_path(spark, "landing")
+    events = b.raw_support(spark, sf).withColumn("value", F.to_json(F.struct("*")))
+    number = F.substring("sid", 3, 20).cast("bigint")
+    kinds = {
+        "lines": events.filter(number % 4 < 2).select("value"),
+        "array": events.filter(number % 4 >= 2)
+        .groupBy(F.pmod(number, F.lit(64)).alias("file"))
+        .agg(F.array_join(F.collect_list("value"), ",\n").alias("items"))
+        .select("file", F.concat(F.lit("[\n"), "items", F.lit("\n]")).alias("value")),
+    }
+    kinds["lines"].write.text(f"{root}/support/2025-01-01/03/lines")
+    kinds["array"].write.partitionBy("file").text(f"{root}/support/2025-01-01/03/array")
+    bronze = read_bronze(spark, f"{root}/support", "support", keep_malformed=True)
+    return _counted(bronze.filter("malformed_text is null"), "event_date", "channel")
+
+
+def _lake(spark: SparkSession) -> tuple[Layout, str]:
+    root, tables = scratch_path(spark, "landing"), scratch_path(spark, "tables")
+    database = _new_name("lake")
+    spark.sql(f"create database {database} location '{tables}'")
+    return Layout(root, database, tables, fact_partitions=()), root
+
+
+def _land_support(spark: SparkSession, sf: str, folder: str, condition: str) -> None:
+    b.raw_support(spark, sf).filter(condition).write.mode("append").json(folder)
+
+
+def _silver_counts(spark: SparkSession, layout: Layout) -> DataFrame:
+    silver = spark.table(layout.table("support"))
+    return silver.groupBy("run_id", "channel").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("sid").alias("n_events")
+    )
+
+
+def silver_two_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """A run, the same again, more files, a second run, and that one again."""
+    layout, root = _lake(spark)
+    folder = f"{root}/support/2025-03-01/07"
+    for half, run_id in (("call_back_requested", "r1"), ("not call_back_requested", "r2")):
+        _land_support(spark, sf, folder, half)
+        for _ in range(2):
+            run_silver(spark, layout, run_id, ["support"], on_error="raise", multi_line=False)
+    return _silver_counts(spark, layout)
+
+
+def archive_same_run_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """Half the events, purged, then the other half under the same run id, purged: all are there."""
+    layout, root = _lake(spark)
+    folder = f"{root}/support/2025-03-01/07"
+    for half in ("call_back_requested", "not call_back_requested"):
+        _land_support(spark, sf, folder, half)
+        run_silver(spark, layout, "r1", ["support"], on_error="raise", multi_line=False, purge=True)
+    archived = spark.table(layout.table("support_archive")).select(F.lit("archive").alias("layer"), "channel", "sid")
+    silver = spark.table(layout.table("support")).select(F.lit("silver").alias("layer"), "channel", "sid")
+    return archived.unionAll(silver).groupBy("layer", "channel").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("sid").alias("n_events")
+    )
+
+
+def raw_archive_then_purge(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw files, with a line that is no JSON, word for word in the raw archive afterwards."""
+    layout, root = _lake(spark)
+    folder = f"{root}/support/2025-03-01/07"
+    _land_support(spark, sf, folder, "true")
+    spark.range(1).select(F.lit("no json").alias("value")).write.mode("append").text(folder)
+    run_silver(spark, layout, "r1", ["support"], on_error="raise", multi_line=False, purge=True)
+    kept = spark.read.option("recursiveFileLookup", True).text(layout.raw_archive_root())
+    channel = F.coalesce(F.get_json_object("value", "$.channel"), F.col("value"))
+    return kept.select(channel.alias("channel"), "value").groupBy("channel").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("value").alias("n_lines")
+    )
+
+
+def silver_malformed_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Every tenth event's line is cut: the archive keeps its text, silver rejects the row."""
+    layout, root = _lake(spark)
+    cut = b.raw_support(spark, sf).select(
+        F.to_json(F.struct("*")).alias("value"), F.substring("sid", 3, 20).cast("bigint").alias("n")
+    ).selectExpr("case when n % 10 = 0 then substr(value, 1, 40) else value end as value")
+    cut.write.text(f"{root}/support/2025-03-01/07")
+    run_silver(spark, layout, "r1", ["support"], on_error="raise", multi_line=False)
+    texts = spark.table(layout.table("support_archive")).groupBy(
+        F.length("malformed_text").alias("kept_chars")
+    ).agg(F.count(F.lit(1)).alias("n_rows"))
+    lost = spark.table(layout.table("support")).filter("sid is null and is_rejected").count()
+    return texts.withColumn("n_rejected", F.lit(lost))
+
+
 def bronze_scan_one_day(spark: SparkSession, sf: str) -> DataFrame:
     """Only the folders of one landing day are listed and read."""
     root = scratch_path(spark, "landing")
@@ -846,6 +936,11 @@ def lakehouse_run(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "star_daily": star_daily,
     "bronze_scan": bronze_scan,
+    "bronze_scan_multiline": bronze_scan_multiline,
+    "silver_two_runs_no_duplicates": silver_two_runs,
+    "archive_same_run_twice": archive_same_run_twice,
+    "raw_archive_then_purge": raw_archive_then_purge,
+    "silver_malformed_lines": silver_malformed_lines,
     "bronze_scan_one_day": bronze_scan_one_day,
     "seed_cell_site": seed_cell_site,
     "catalog_table": catalog_table,

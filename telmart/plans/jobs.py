@@ -15,10 +15,16 @@ from telmart.plans.dims import DIM_MODELS, build_dim, build_dim_date, build_dim_
 from telmart.plans.facts import FACT_MODELS, KEY_NAME, build_fact
 from telmart.plans.silver import SILVER_MODELS, normalise, validate, with_partition_day
 from telmart.schemas import EVENT_TYPES
-from telmart.sinks.archive import archive_snapshot, purge_bronze, run_manifest
+from telmart.sinks.archive import (
+    archive_files,
+    archive_snapshot,
+    archived_location,
+    purge_bronze,
+    run_manifest,
+)
 from telmart.sinks.jdbc import SILVER_TARGETS, append_jdbc, publish_jdbc, publishable
 from telmart.sinks.tables import OVERWRITE, publish_new_rows, replace_table, write_table
-from telmart.sources.bronze import read_bronze
+from telmart.sources.bronze import MALFORMED, read_bronze
 from telmart.sources.seeds import read_seed
 from telmart.sources.tables import read_table
 
@@ -45,6 +51,11 @@ class Layout:
     table_root: str | None = None
     table_format: str = "parquet"
     fact_partitions: tuple[str, ...] = ("date_sk",)
+    raw_archive: str = ""
+
+    def raw_archive_root(self) -> str:
+        """Where raw files are copied before a purge; beside the landing root by default."""
+        return self.raw_archive or f"{self.bronze_root.rstrip('/')}_archive"
 
     def table(self, name: str) -> str:
         return f"{self.database}.{name}" if self.database else name
@@ -68,7 +79,7 @@ def run_steps(
             log.error("%s failed: %s", name, error)
             if on_error == RAISE:
                 raise
-            outcome.append((name, "failed", str(error)[:1000]))
+            outcome.append((name, "failed", str(error)))
     return spark.createDataFrame(outcome, STATUS_DDL)
 
 
@@ -85,27 +96,33 @@ def bronze_to_silver(
 ) -> None:
     """One run of one event type.
 
-    Raw files are read once, into the run's archive partition; silver rows and the
-    manifest both come from there. Repeating a run replaces its partitions. Nothing is
-    shuffled; a run over many landing days (a backfill) should ``gather`` its silver
-    rows by day, which keeps the number of files down.
+    Raw files that no run has taken in yet are read once, into the run's archive partition,
+    with the text of records that are no JSON; silver rows and the manifest both come from
+    there. A run that is repeated takes in what landed meanwhile and derives all of its
+    silver rows anew, so it neither loses nor repeats events, and an event is in one run
+    only. ``purge`` copies the run's raw files below ``layout.raw_archive`` before it
+    deletes them. Rows are not shuffled; a run over many landing days (a backfill) should
+    ``gather`` its silver rows by day, which keeps the number of files down.
     """
     model = SILVER_MODELS[event_type]
     bronze = read_bronze(
-        spark, f"{layout.bronze_root.rstrip('/')}/{event_type}", event_type, dates, hours, multi_line
+        spark, f"{layout.bronze_root.rstrip('/')}/{event_type}", event_type, dates, hours, multi_line,
+        keep_malformed=True,
     )
     archive = f"{model.table}_archive"
     snapshot = archive_snapshot(
         normalise(bronze, event_type), layout.table(archive), run_id,
         layout.path(archive), layout.table_format,
     )
-    silver = with_partition_day(validate(snapshot, event_type))
+    silver = with_partition_day(validate(snapshot.drop(MALFORMED, "source_modified"), event_type))
     write_table(
         silver, layout.table(model.table), OVERWRITE, ["landing_day", "run_id"],
         layout.table_format, layout.path(model.table), gather,
     )
     if purge:
-        purge_bronze(run_manifest(snapshot))
+        files = run_manifest(snapshot)
+        archive_files(archived_location(files, layout.raw_archive_root(), event_type, run_id[:8]))
+        purge_bronze(files)
 
 
 def run_silver(

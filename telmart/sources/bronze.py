@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,19 +31,42 @@ def landing_paths(
 
 
 def with_lineage(scan: DataFrame) -> DataFrame:
-    """Add source_file, event_date and event_hour to a file scan.
+    """Add source_file, source_modified, event_date and event_hour to a file scan.
 
-    The two partition values come from the path and are '' when it has none.
+    The two partition values come from the path and are '' when it has none. The time of
+    the last change, in milliseconds, tells a file from a later one of the same name.
     """
     path = F.col("_metadata.file_path")
     return scan.select(
         "*",
         path.alias("source_file"),
+        F.unix_millis(F.col("_metadata.file_modification_time").cast("timestamp")).alias("source_modified"),
         F.regexp_extract(path, DATE_IN_PATH, 1).alias("event_date"),
         F.regexp_extract(path, HOUR_IN_PATH, 1).alias("event_hour"),
     )
 
 
+MALFORMED = "malformed_text"
+
+
+def file_records(text: str = "value") -> Column:
+    """JSON texts of the records in a whole file: an array's items, JSON lines, or one object.
+
+    A file that does not start an array and whose first line is an object by itself holds
+    lines; all of them are records, also those that are no JSON.
+    """
+    body = F.trim(F.col(text), F.lit(" \t\r\n\ufeff"))
+    lines = F.filter(F.split(body, r"\r?\n"), lambda line: F.trim(line) != "")
+    first = F.try_element_at(lines, F.lit(1))
+    items = F.from_json(body, T.ArrayType(T.StringType()))
+    return (
+        F.when(body == "", F.array().cast("array<string>"))
+        .when(body.startswith("[") & items.isNotNull(), items)
+        .when(first.rlike(r"^\s*\{.*\}\s*$") & F.json_object_keys(first).isNotNull(), lines)
+        .otherwise(F.array(body))
+    )
+
+
 def read_bronze(
     spark: SparkSession,
     root: str,
@@ -52,17 +75,33 @@ def read_bronze(
     hours: Sequence[str] | None = None,
     multi_line: bool = True,
     schema: T.StructType | None = None,
+    keep_malformed: bool = False,
 ) -> DataFrame:
     """Recursive scan of one event type below ``root``.
 
     ``multi_line=False`` reads JSON lines and lets Spark split large files; use it for
-    everything this library lands. ``multi_line=True`` takes files that each hold one
-    pretty-printed object or array, one task per file.
+    everything this library lands. ``multi_line=True`` reads each file whole, one task per
+    file, and takes arrays, pretty-printed objects and JSON lines alike, file by file; so
+    no layout loses records. A record that is no JSON becomes a row of nulls;
+    ``keep_malformed`` adds its text as ``malformed_text``.
     """
-    scan = (
-        spark.read.schema(schema or raw_schema(event_type))
-        .option("multiLine", multi_line)
-        .option("recursiveFileLookup", True)
-        .json(landing_paths(root, dates, hours))
+    wanted = schema or raw_schema(event_type)
+    marked = T.StructType([*wanted.fields, T.StructField(MALFORMED, T.StringType())])
+    paths = landing_paths(root, dates, hours)
+    if not multi_line:
+        reader = spark.read.schema(marked if keep_malformed else wanted)
+        scan = (
+            reader.option("recursiveFileLookup", True)
+            .option("columnNameOfCorruptRecord", MALFORMED)
+            .json(paths)
+        )
+        return with_lineage(scan)
+    files = with_lineage(
+        spark.read.option("recursiveFileLookup", True).text(paths, wholetext=True)
     )
-    return with_lineage(scan)
+    lineage = [c for c in files.columns if c != "value"]
+    options = {"columnNameOfCorruptRecord": MALFORMED}
+    records = files.select(F.explode(file_records()).alias("value"), *lineage)
+    parsed = records.select(F.from_json("value", marked, options).alias("record"), *lineage)
+    names = marked.names if keep_malformed else wanted.names
+    return parsed.select(*[F.col(f"record.`{c}`").alias(c) for c in names], *lineage)

@@ -67,7 +67,16 @@ def test_bronze_scan(spark, tmp_path):
 
 def test_json_lines_are_read_whole(spark, tmp_path):
     land(tmp_path, "s/2025-01-01/03", "a.json", *[event(SUPPORT, sid=f"SU{i}") for i in range(9)], lines=True)
-    assert read_bronze(spark, f"{tmp_path}/s", "support", multi_line=False).count() == 9
+    for multi_line in (False, True):
+        assert read_bronze(spark, f"{tmp_path}/s", "support", multi_line=multi_line).count() == 9
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_malformed_records_keep_their_text(spark, tmp_path, multi_line):
+    file = land(tmp_path, "s/2025-01-01/03", "a.json", event(SUPPORT), event(SUPPORT, sid="SU2"), lines=True)
+    file.write_text(file.read_text() + '\n{"sid": broken\n\n')
+    found = read_bronze(spark, f"{tmp_path}/s", "support", multi_line=multi_line, keep_malformed=True)
+    assert sorted(r["malformed_text"] or "" for r in found.collect()) == ["", "", '{"sid": broken']
 
 
 def test_seed_scan(spark, tmp_path):
@@ -162,7 +171,7 @@ def test_archive_and_manifest(spark, tmp_path, name):
         archive.archive_files(placed)
     kept = sorted(str(p.relative_to(tmp_path / "arch")) for p in (tmp_path / "arch").rglob("*.json"))
     assert kept[:2] == ["support/20250101/03/a.json", "support/20250101/04/a.json"]
-    assert len(kept) == 3 and kept[2].startswith("support/20250202/with")
+    assert len(kept) == 3 and kept[2].startswith("support/20250202/") and "/support/with" in kept[2]
     archive.purge_bronze(manifest, dates=["2025-01-01"], hours=["03"])
     left = sorted(p.name for p in (tmp_path / "support").rglob("*.json"))
     assert left == ["a.json", "late.json", "with space.json"]
@@ -267,22 +276,52 @@ def test_lakehouse_jobs(spark, tmp_path, name):
         jobs.run_steps(spark, {}, "ignore")
 
 
-def test_rerun_replaces_its_own_rows(spark, tmp_path, name):
+def test_events_are_in_one_run_only(spark, tmp_path, name):
     layout = small_lake(spark, tmp_path, name)
     for run in ("2025050613", "2025050613", "2025050614"):
         jobs.bronze_to_silver(spark, layout, "call", run)
-    counts = rows_of(spark.table(f"{name}.calls").groupBy("run_id").count())
-    assert counts == [("2025050613", 2), ("2025050614", 2)]
+    calls = spark.table(f"{name}.calls")
+    assert rows_of(calls.groupBy("run_id").count()) == [("2025050613", 2)]
+    land(tmp_path, "bronze/call/2025-05-06/14", "a.json", event(CALL, sid="CA9"))
+    jobs.bronze_to_silver(spark, layout, "call", "2025050614")
+    assert rows_of(spark.table(f"{name}.calls").groupBy("run_id").count()) == [("2025050613", 2), ("2025050614", 1)]
     # A fact build of one run reads only its silver partition.
     silver = jobs._silver_rows(spark, layout, "calls", ["2025050614"])
     plan = silver._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(run_id" in plan and silver.count() == 2
+    assert "PartitionFilters: [isnotnull(run_id" in plan and silver.count() == 1
     jobs.build_facts(spark, layout, ["calls"], run_ids=["2025050699"])
     assert spark.table(f"{name}.fact_calls").count() == 0
     jobs.build_facts(spark, layout, ["calls"], run_ids=["2025050614"])
     assert spark.table(f"{name}.fact_calls").count() == 1
 
 
+def test_a_purged_run_can_be_repeated(spark, tmp_path, name):
+    layout = small_lake(spark, tmp_path, name)
+    jobs.bronze_to_silver(spark, layout, "call", "2025050613", purge=True)
+    assert not list((tmp_path / "bronze/call").rglob("*.json"))
+    # The same file name again, with other content, and a line that is no JSON.
+    file = land(tmp_path, "bronze/call/2025-05-06/13", "a.json", event(CALL, sid="CA7"), lines=True)
+    file.write_text(file.read_text() + "\nnot json")
+    jobs.bronze_to_silver(spark, layout, "call", "2025050613", purge=True)
+    assert sorted(r[0] or "" for r in spark.table(f"{name}.calls").select("sid").collect()) == ["", "", "CA1", "CA7"]
+    archived = spark.table(f"{name}.calls_archive")
+    assert [r[0] for r in archived.select("malformed_text").collect() if r[0]] == ["not json"]
+    assert len(list((tmp_path / "bronze_archive").rglob("*.json"))) >= 1
+
+
+def test_archived_paths_do_not_collide(spark):
+    files = [
+        ("s3a://b/call/2025-01-01/03/x/a.json", "2025-01-01", "03"), ("s3a://b/call/2025-01-01/03/y/a.json", "2025-01-01", "03"),
+        ("s3a://b/call/p/a.json", "", ""), ("s3a://b/call/q/a.json", "", ""), ("s3a://b/call/2025-01-01/a.json", "2025-01-01", ""),
+    ]
+    frame = spark.createDataFrame(files, "source_file string, event_date string, event_hour string")
+    placed = archive.archived_location(frame, "/arch", "call", "2025-09-09")
+    assert [r["archived_file"] for r in placed.collect()] == [
+        "/arch/call/20250101/03/x/a.json", "/arch/call/20250101/03/y/a.json",
+        "/arch/call/20250909/b/call/p/a.json", "/arch/call/20250909/b/call/q/a.json", "/arch/call/20250101/a.json",
+    ]
+
+
 def test_bronze_to_silver_does_not_shuffle(spark):
     silver = to_silver(spark.createDataFrame([], raw_schema("sms")), "sms")
     assert "Exchange" not in silver._jdf.queryExecution().executedPlan().toString()
