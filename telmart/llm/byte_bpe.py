@@ -19,7 +19,8 @@ Decoding concatenates the tokens' bytes.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
@@ -125,46 +126,73 @@ def long_pieces(
     )
 
 
-def _with_ids(texts: DataFrame, codec: Codec) -> DataFrame:
-    """Replace column text by ids. Not a column function: Spark would encode once per use of it."""
-    others = [f for f in texts.schema.fields if f.name != "text"]
-    ddl = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in others), "ids array<int>"])
+@dataclass(frozen=True)
+class Outcome:
+    """What is handed on of a text's ids: columns, and their values for a list of ids."""
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    ddl: str
+    values: Callable[[Codec, list[int]], tuple]
+
+
+#: Four bytes an id: lists of a whole batch would take ten times as much.
+IDS = Outcome("ids array<int>", lambda codec, ids: (np.array(ids, np.int32),))
+
+
+def _of_texts(texts: DataFrame, codec: Codec, outcome: Outcome) -> DataFrame:
+    """Replace column text by the outcome of its ids.
+
+    Not a column function: Spark would encode once per use of such a column.
+    """
+    return _mapped(texts, "text", lambda text: outcome.values(codec, codec.encode(text)), outcome.ddl)
+
+
+def _of_ids(encoded: DataFrame, codec: Codec, outcome: Outcome) -> DataFrame:
+    return _mapped(encoded, "ids", lambda ids: outcome.values(codec, ids.tolist()), outcome.ddl)
+
+
+def _mapped(df: DataFrame, column: str, values: Callable, ddl: str) -> DataFrame:
+    """Replace a column by others, a few rows at a time."""
+    others = [f for f in df.schema.fields if f.name != column]
+    names = [part.split()[0] for part in ddl.split(", ")]
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for start in range(0, len(batch), _ROWS):
                 part = batch.iloc[start : start + _ROWS]
-                # Four bytes an id: lists would take ten times as much.
-                ids = [np.array(codec.encode(t), np.int32) for t in part["text"]]
-                yield part.drop(columns="text").assign(ids=pd.Series(ids, part.index, dtype=object))
+                made = zip(*map(values, part[column]))
+                more = {n: pd.Series(list(v), part.index, dtype=object) for n, v in zip(names, made)}
+                yield part.drop(columns=column).assign(**more)
 
-    return texts.mapInPandas(encode, ddl)
+    kept = [f"{f.name} {f.dataType.simpleString()}" for f in others]
+    return df.mapInPandas(rows, ", ".join([*kept, ddl]))
 
 
 def encode(
     docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col: str = "text",
-    chunk_chars: int = CHUNK_CHARS, overlap_chars: int = OVERLAP_CHARS,
+    chunk_chars: int = CHUNK_CHARS, overlap_chars: int = OVERLAP_CHARS, outcome: Outcome = IDS,
 ) -> DataFrame:
     """One row per row of ``docs``: the id and ``ids`` (array of int, empty for null or empty text).
 
-    Long texts that repeat an id must repeat the text too; each such row gets its ids.
-    Other columns are not looked at.
+    Another ``outcome`` gives its columns instead, without the ids ever leaving their task
+    unless the text is a long one. Repeated rows get equal answers; other columns are not
+    looked at.
     """
     # Ids are text on their way through pandas, which has no integers beside nulls.
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    short = _with_ids(rows.where(~_is_long(F.col("text"), chunk_chars)), codec)
+    short = _of_texts(rows.where(~_is_long(F.col("text"), chunk_chars)), codec, outcome)
     long = rows.where(_is_long(F.col("text"), chunk_chars))
     keyed = long.select("text", "id", F.sha2("text", 256).alias("key"))
     texts = keyed.dropDuplicates(["key"])
     pieces = long_pieces(texts, "key", "text", codec, chunk_chars, overlap_chars)
-    encoded = _with_ids(pieces.select("key", "piece", "text"), codec)
+    encoded = _of_texts(pieces.select("key", "piece", "text"), codec, IDS)
     whole = encoded.groupBy("key").agg(
         F.flatten(
             F.transform(F.array_sort(F.collect_list(F.struct("piece", "ids"))), lambda x: x["ids"])
         ).alias("ids")
     )
-    every = short.unionAll(keyed.select("id", "key").join(whole, "key").select("id", "ids"))
-    return every.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), "ids")
+    found = whole if outcome is IDS else _of_ids(whole, codec, outcome)
+    every = short.unionByName(keyed.select("id", "key").join(found, "key").drop("key"))
+    return every.withColumn("id", F.col("id").cast(docs.schema[id_col].dataType)).withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, codec: Codec, ids_col: str = "ids", to: str = "decoded") -> DataFrame:

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from hashlib import sha256
 
-import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from telmart.llm.byte_bpe import CHUNK_CHARS, OVERLAP_CHARS, Codec, encode
+from telmart.llm.byte_bpe import CHUNK_CHARS, OVERLAP_CHARS, Codec, Outcome, encode
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 
@@ -20,23 +17,14 @@ def codec() -> Codec:
     return Codec.from_file(public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
 
 
+def _digests(codec: Codec, ids: list[int]) -> tuple[int, str, str]:
+    named = " ".join(map(str, ids)).encode()
+    return len(ids), sha256(named).hexdigest(), sha256(codec.decode(ids)).hexdigest()
+
+
+DIGESTS = Outcome("n_tokens long, ids_sha256 string, decoded_sha256 string", _digests)
+
+
 def token_digests(docs: DataFrame, chunk_chars: int = CHUNK_CHARS, overlap_chars: int = OVERLAP_CHARS) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row of ``docs``."""
-    ranks = codec()
-
-    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        name = [str(i) for i in range(len(ranks.ranks.splitlines()))].__getitem__
-        for batch in batches:
-            rows = []
-            for key, ids in zip(batch["doc_id"], batch["ids"]):
-                plain = ids.tolist()
-                text = " ".join(map(name, plain)).encode()
-                rows.append((key, len(plain), sha256(text).hexdigest(), sha256(ranks.decode(plain)).hexdigest()))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    tokens = encode(docs, ranks, chunk_chars=chunk_chars, overlap_chars=overlap_chars)
-    # Ids are text on their way through pandas, which has no integers beside nulls.
-    digests = tokens.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(
-        digest, "doc_id string, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
-    return digests.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+    return encode(docs, codec(), chunk_chars=chunk_chars, overlap_chars=overlap_chars, outcome=DIGESTS)
