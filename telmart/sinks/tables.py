@@ -14,9 +14,6 @@ from telmart.scratch import shared_root
 APPEND = "append"
 OVERWRITE = "overwrite"
 
-# Up to this many partition values are named in the scan of the published table.
-MAX_NAMED_PARTITIONS = 10_000
-
 
 def balanced_for_write(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Gather each partition's rows into few files.
@@ -110,10 +107,9 @@ def write_by_quality(validated: DataFrame, path: str, mode: str = APPEND) -> Non
     rows.write.mode(mode).partitionBy("quality").parquet(path)
 
 
-def touched_partitions(df: DataFrame, column: str) -> list | None:
-    """Partition values a batch holds; None when there are too many to name."""
-    found = df.select(column).distinct().limit(MAX_NAMED_PARTITIONS + 1).collect()
-    return [row[0] for row in found] if len(found) <= MAX_NAMED_PARTITIONS else None
+def touched_partitions(df: DataFrame, column: str) -> list:
+    """Partition values a batch holds: one small value per folder that it will write to."""
+    return [row[0] for row in df.select(column).distinct().collect()]
 
 
 def new_rows(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
@@ -146,7 +142,9 @@ def publish_new_rows(
     if spark.catalog.tableExists(name):
         existing = spark.table(name)
         if touched is not None:
-            existing = existing.filter(F.col(partition_by[0]).isin(touched))
+            column = F.col(partition_by[0])
+            named = column.isin([v for v in touched if v is not None])
+            existing = existing.filter(named | column.isNull() if None in touched else named)
         rows = new_rows(df, existing, key)
     else:
         rows = first_row_per_key(df, [key])
