@@ -517,9 +517,10 @@ ORACLES: dict[str, str] = {
     "sql_view": f"""
         select customer as customer_phone, count(*) as n_rows, sum(coalesce(amount, 0)) as sum_amount
         from ({silver_sql('recharge')}) where is_rejected is not true group by 1""",
-    "stream_landing": f"""
-        select event_type, sid, "timestamp" from ({FLAT['payment']})
-        union all select event_type, sid, "timestamp" from ({FLAT['support']})""",
+    "stream_landing": " union all ".join(
+        f'select event_type, sid, "timestamp" from ({FLAT[kind]})'
+        for kind in ("call", "sms", "payment", "recharge", "support")
+    ),
     "stream_parse": f"""
         select sid, call_duration_seconds, amount, from_phone_number as key from ({FLAT['call']})""",
     "silver_calls": silver_sql("call"),

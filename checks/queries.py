@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +65,7 @@ from telmart.streaming.ingest import (
     message_key,
     parse_events,
     read_bronze_stream,
+    read_landed,
     route_by_type,
     stream_silver,
 )
@@ -294,25 +296,29 @@ def sql_view(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_landing(spark: SparkSession, sf: str) -> DataFrame:
-    """Payment and support payloads of one message stream, landed in folders and read back."""
+    """Payloads of all types in one message stream, landed in folders and read back.
+
+    A file that a failed attempt might have left is put beside the landed ones: it is not
+    in the commit log and must not be read.
+    """
     source, root = scratch_path(spark, "messages"), scratch_path(spark, "landing")
     arrival = F.timestamp_seconds(F.lit(1735700000) + F.length("value") % 7200)
-    for event_type in ("payment", "support"):
-        raw = b.RAW_EVENTS[event_type](spark, sf)
+    for event_type, events in b.RAW_EVENTS.items():
+        raw = events(spark, sf)
         payload = raw.select(F.to_json(F.struct(*raw.columns)).alias("value"))
         payload.withColumn("arrived_at", arrival).write.mode("append").parquet(source)
     schema = "value string, arrived_at timestamp"
     messages = spark.readStream.schema(schema).parquet(source)
     _run(land_messages(messages, root, scratch_path(spark, "checkpoint")))
-    landed = []
-    for event_type in ("payment", "support"):
-        folder = f"{root}/event_type={event_type}"
-        landed.append(
-            read_bronze(spark, folder, event_type, multi_line=False)
-            .filter("event_date <> '' and event_hour <> ''")
-            .select("event_type", "sid", "timestamp")
-        )
-    return landed[0].unionByName(landed[1])
+    leftover = b.raw_payments(spark, sf).select(F.to_json(F.struct("*")).alias("value"))
+    leftover.write.mode("append").text(f"{root}/event_type=payment/event_date=2025-01-01/event_hour=02")
+    landed = [
+        read_landed(spark, root, event_type)
+        .filter("event_date <> '' and event_hour <> ''")
+        .select("event_type", "sid", "timestamp")
+        for event_type in b.RAW_EVENTS
+    ]
+    return reduce(DataFrame.unionByName, landed)
 
 
 def stream_parse(spark: SparkSession, sf: str) -> DataFrame:

@@ -76,7 +76,7 @@ def run(spark, arguments: argparse.Namespace):
 def main(argv: list[str] | None = None) -> int:
     arguments = _arguments(sys.argv[1:] if argv is None else argv)
     outcome = run(get_spark(), arguments)
-    outcome.show(1000, truncate=False)
+    outcome.show(max(1, outcome.count()), truncate=False)
     failed = "status" in outcome.columns and not outcome.filter("status <> 'ok'").isEmpty()
     return 1 if failed else 0
 

@@ -57,6 +57,8 @@ def test_landing_layout(spark, tmp_path):
         assert rows_of(bronze.select("event_type", "event_date", "event_hour")) == [
             (event_type, "2025-01-01", "13")
         ] * n
+        landed = ingest.read_landed(spark, root, event_type)
+        assert landed.columns == bronze.columns and landed.count() == n
     unknown = spark.read.text(f"{root}/event_type=unknown/event_date=2025-01-01/event_hour=13")
     assert sorted(r["value"] for r in unknown.collect()) == sorted(payloads[2:])
 
