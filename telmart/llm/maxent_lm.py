@@ -8,7 +8,8 @@ Model. The most frequent words have classes of ``CLASS_WORDS`` each; all other w
 or not, fall into classes by a hash of their last bytes. The next word's probability is
 that of its class times that of the word in it. A class's, and a frequent word's, is a
 softmax over sums of weights of the context's features: the word before, the two before,
-and a skip feature (the second word before), each hashed to a row of the weight tables. In the other classes words have their smoothed relative frequency, with one share
+and two skip features (second and third word before), each hashed to a row of the weight
+tables. In the other classes words have their smoothed relative frequency, with one share
 for all unknown words. So a text's probabilities are proper, and longer histories differ.
 
 Training. In each round the tasks take AdaGrad steps in numpy on a part of the training
@@ -38,8 +39,8 @@ from telmart.llm.common import fold, runs, stored, words
 LOOKUP_WORDS = 1 << 17
 LOOKUP_BYTES = 48  # longer words are always joined
 CLASS_WORDS = 64
-FREQUENT_CLASSES = 16
-OTHER_CLASSES = 16
+FREQUENT_CLASSES = 24
+OTHER_CLASSES = 40
 CLASSES = FREQUENT_CLASSES + OTHER_CLASSES
 ROWS = 1 << 13  # of each weight table
 ROUNDS = 3
@@ -48,6 +49,8 @@ BATCH = 1 << 13
 HELD_OUT_FOLDS = 7
 END = b"\n"  # never a word
 _PARTS = 32  # pieces in which changes are added up
+_BLOCK = 1 << 10  # tokens whose logits are worked on at once
+_SHORT = 16  # rows up to which runs are summed side by side
 _COUNTED = 1 << 18  # distinct words a task holds before it hands them on
 
 
@@ -154,13 +157,13 @@ class Batcher:
     def contexts(self, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Rows of the features before every token, a column each."""
         before = []
-        for back in (1, 2):
+        for back in (1, 2, 3):
             shifted = np.concatenate([np.full(back, 1 << 40), symbols[:-back]])[: len(symbols)]
             for k in range(back):
                 shifted[starts[starts + k < len(symbols)] + k] = 1 << 40  # before the text
             before.append(shifted)
-        one, two = before
-        hashed = [_hash(one, salt=1), _hash(one, two, salt=2), _hash(two, salt=3)]
+        one, two, three = before
+        hashed = [_hash(one, salt=1), _hash(one, two, salt=2), _hash(two, salt=3), _hash(three, salt=4)]
         return np.stack([(h >> np.uint64(40)).astype(np.int64) % ROWS for h in hashed], axis=1)
 
     def classes(self, numbers: np.ndarray, symbols: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -212,41 +215,93 @@ class Weights:
         return Weights(tables, self.class_bias, self.word_bias)
 
 
-def _softmax(table: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    logits = bias + table[rows[:, 0]]
-    for k in range(1, rows.shape[1]):
-        logits += table[rows[:, k]]
-    logits -= logits.max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
-    return logits
-
-
-def _row_sums(rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Sums of consecutive rows: short runs all at once, row by row; long ones one at a time."""
-    total, size, done = rows[starts], np.diff(np.append(starts, len(rows))), 1
-    pending = np.flatnonzero(size > done)
-    while len(pending) and done < 16:
-        total[pending] += rows[starts[pending] + done]
-        done += 1
-        pending = pending[size[pending] > done]
-    for k in pending:
-        total[k] += rows[starts[k] + done : starts[k] + size[k]].sum(axis=0)
+def _exponentials(table: np.ndarray, rows: np.ndarray, bias: np.ndarray, own: np.ndarray | None) -> Iterator[tuple]:
+    """By blocks that fit the cache: place, logits, exponentials and their sums by row.
+
+    ``bias`` is one row, or a table of which ``own`` names each token's row. Arrays are used
+    again for the next block. Rows are only shifted to a maximum of 0 where a sum would leave
+    the range of float32.
+    """
+    ones = np.ones(table.shape[1], np.float32)
+    logits, powers = np.empty((2, min(_BLOCK, len(rows)), table.shape[1]), np.float32)
+    for at in range(0, len(rows), _BLOCK):
+        part = slice(at, min(at + _BLOCK, len(rows)))
+        mine, other = logits[: part.stop - at], powers[: part.stop - at]
+        np.take(table, rows[part, 0], axis=0, out=mine, mode="clip")
+        for k in range(1, rows.shape[1]):
+            mine += np.take(table, rows[part, k], axis=0, out=other, mode="clip")
+        mine += bias if own is None else np.take(bias, own[part], axis=0, out=other, mode="clip")
+        with np.errstate(over="ignore"):
+            sums = np.exp(mine, out=other) @ ones
+        if not (sums.min() > 1e-20 and sums.max() < 1e30):
+            mine -= mine.max(axis=1, keepdims=True)
+            sums = np.exp(mine, out=other) @ ones
+        yield part, mine, other, sums
+
+
+def _chances(table: np.ndarray, rows: np.ndarray, bias: np.ndarray, own: np.ndarray | None, target: np.ndarray) -> np.ndarray:
+    """log10 of the targets' probabilities, 1e-30 at least."""
+    out = np.empty(len(target))
+    for part, logits, _, sums in _exponentials(table, rows, bias, own):
+        out[part] = logits[np.arange(len(sums)), target[part]] - np.log(sums, dtype=np.float64)
+    return np.maximum(out / math.log(10), -30)
+
+
+class Scratch:
+    """float32 arrays that are used again: page faults of new ones cost more than the work in them."""
+
+    def __init__(self) -> None:
+        self.held: dict[str, np.ndarray] = {}
+
+    def rows(self, name: str, count: int, width: int) -> np.ndarray:
+        if name not in self.held or self.held[name].size < count * width:
+            self.held[name] = np.empty(max(count, BATCH) * width, np.float32)
+        return self.held[name][: count * width].reshape(count, width)
+
+
+def _row_sums(rows: np.ndarray, places: np.ndarray, starts: np.ndarray, size: np.ndarray, scratch: Scratch) -> np.ndarray:
+    """Sums of runs of ``rows[places]``, longest run first: short ones all at once, row by row; long ones one at a time."""
+    width = rows.shape[1]
+    total = scratch.rows("total", len(starts), width)
+    np.take(rows, places[starts], axis=0, out=total, mode="clip")
+    longer = np.searchsorted(-size, -np.arange(1, _SHORT + 1))  # runs of more than 1, 2, ... rows
+    for done in range(1, _SHORT):
+        pending = longer[done - 1]
+        if not pending:
+            break
+        more = scratch.rows("more", pending, width)
+        total[:pending] += np.take(rows, places[starts[:pending] + done], axis=0, out=more, mode="clip")
+    for k in range(longer[_SHORT - 1]):
+        run = places[starts[k] + _SHORT : starts[k] + size[k]]
+        more = scratch.rows("more", len(run), width)
+        total[k] += np.take(rows, run, axis=0, out=more, mode="clip").sum(axis=0)
     return total
 
 
-def _step(table: np.ndarray, squares: np.ndarray, rows: np.ndarray, bias: np.ndarray, target: np.ndarray) -> None:
+def _step(
+    table: np.ndarray, squares: np.ndarray, rows: np.ndarray, bias: np.ndarray, own: np.ndarray | None,
+    target: np.ndarray, scratch: Scratch,
+) -> None:
     """One AdaGrad step of a table towards the targets."""
-    gradient = _softmax(table, rows, bias)
+    gradient = scratch.rows("gradient", len(rows), table.shape[1])
+    for part, _, powers, sums in _exponentials(table, rows, bias, own):
+        np.multiply(powers, (1 / sums)[:, None], out=gradient[part])
     gradient[np.arange(len(target)), target] -= 1
-    flat = rows.ravel()
+    flat = rows.T.astype(np.uint16).ravel()  # sorted by radix; ROWS fits
     order = np.argsort(flat, kind="stable")
     ranked = flat[order]
     starts = np.concatenate([[0], np.flatnonzero(np.diff(ranked)) + 1])
-    total = _row_sums(gradient[order // rows.shape[1]], starts)
+    size = np.diff(np.append(starts, len(ranked)))
+    longest = np.argsort(-size, kind="stable")
+    starts, size = starts[longest], size[longest]
+    places = np.tile(np.arange(len(rows), dtype=np.int32), rows.shape[1])[order]
+    total = _row_sums(gradient, places, starts, size, scratch)
     where = ranked[starts]
-    squares[where] += np.mean(total**2, axis=1)
-    table[where] -= (RATE / np.sqrt(squares[where]))[:, None] * total
+    squares[where] += np.einsum("ij,ij->i", total, total) / total.shape[1]
+    total *= (RATE / np.sqrt(squares[where]))[:, None]
+    moved = np.take(table, where, axis=0, out=scratch.rows("more", len(where), table.shape[1]), mode="clip")
+    moved -= total
+    table[where] = moved
 
 
 class Task:
@@ -283,14 +338,15 @@ class Task:
     def learn(self, texts) -> tuple[np.ndarray, int]:
         """Change of the tables, one after the other, in a pass over the texts, and its tokens."""
         tables = [t.copy() for t in self.weights.tables]
-        squares, seen = [np.ones(ROWS, np.float32) for _ in tables], 0
+        squares, seen, scratch = [np.ones(ROWS, np.float32) for _ in tables], 0, Scratch()
         for numbers, symbols, starts, _ in self.batches(texts):
             for part, contexts, classes in self.pieces(numbers, symbols, starts):
-                _step(tables[0], squares[0], contexts, self.weights.class_bias, classes)
+                _step(tables[0], squares[0], contexts, self.weights.class_bias, None, classes, scratch)
                 inside = np.flatnonzero(classes < FREQUENT_CLASSES)
                 if len(inside):
                     own = classes[inside]
-                    _step(tables[1], squares[1], word_rows(contexts[inside], own), self.weights.word_bias[own], numbers[part][inside] % CLASS_WORDS)
+                    place = numbers[part][inside] % CLASS_WORDS
+                    _step(tables[1], squares[1], word_rows(contexts[inside], own), self.weights.word_bias, own, place, scratch)
                 seen += len(classes)
         return np.concatenate([(new - old).ravel() for new, old in zip(tables, self.weights.tables)]), seen
 
@@ -299,13 +355,11 @@ class Task:
         tables = self.weights.tables
         out = np.empty(len(numbers))
         for part, contexts, classes in self.pieces(numbers, symbols, starts):
-            chance = _softmax(tables[0], contexts, self.weights.class_bias)
-            log = np.log10(np.maximum(chance[np.arange(len(classes)), classes], 1e-30), dtype=np.float64)
+            log = _chances(tables[0], contexts, self.weights.class_bias, None, classes)
             inside = np.flatnonzero(classes < FREQUENT_CLASSES)
             own = classes[inside]
-            chance = _softmax(tables[1], word_rows(contexts[inside], own), self.weights.word_bias[own])
             place = numbers[part][inside] % CLASS_WORDS
-            log[inside] += np.log10(np.maximum(chance[np.arange(len(own)), place], 1e-30), dtype=np.float64)
+            log[inside] += _chances(tables[1], word_rows(contexts[inside], own), self.weights.word_bias, own, place)
             outside = np.flatnonzero(classes >= FREQUENT_CLASSES)
             log[outside] -= self.log_shares[classes[outside]]
             known = outside[numbers[part][outside] >= 0]

@@ -517,3 +517,36 @@ def test_lm_odd_rows(odd, none):
         assert all(r["n_tokens"] == 1 for r in rows if r["doc_id"] in (3, 4, 5))
         assert all(math.isfinite(r["score"]) and math.isfinite(r["base_score"]) for r in rows)
         assert maxent_lm.score(none, model).count() == 0
+
+
+def test_lm_context_reaches_three_words_back():
+    words = [b"w%d" % k for k in range(2_000)]
+    vocab = maxent_lm.Vocabulary(words, np.ones(2_000, np.int64), 2_000, 2_000, np.zeros(maxent_lm.CLASSES, np.int64), np.zeros(maxent_lm.CLASSES, np.int64))
+    batcher = maxent_lm.Batcher(vocab)
+    rows = []
+    for first in (b"w1", b"w2"):
+        _, symbols, _ = batcher.read([first, b"w3", b"w4", b"w5"])
+        rows.append(batcher.contexts(symbols, np.array([0]))[-1])
+    assert (rows[0] != rows[1]).sum() == 1
+    assert vocab.frequent == 1_536 and maxent_lm.OTHER_CLASSES == 40
+
+
+@pytest.mark.parametrize("shift", [0, 500])
+def test_lm_step_equals_plain_gradient(shift):
+    draw = np.random.default_rng(1)
+    table = draw.standard_normal((maxent_lm.ROWS, 8)).astype(np.float32) + np.float32(shift)
+    rows, target = draw.zipf(1.2, (3_000, 3)) % 50, draw.integers(0, 8, 3_000)
+    bias, own = draw.standard_normal((5, 8)).astype(np.float32), draw.integers(0, 5, 3_000)
+    logits = bias[own] + table[rows].sum(axis=1, dtype=np.float64)
+    chance = np.exp(logits - logits.max(axis=1, keepdims=True))
+    chance /= chance.sum(axis=1, keepdims=True)
+    found = maxent_lm._chances(table, rows, bias, own, target)
+    assert found == pytest.approx(np.maximum(np.log10(chance[np.arange(3_000), target]), -30), abs=1e-3)
+    chance[np.arange(3_000), target] -= 1
+    total = np.zeros(table.shape)
+    for k in range(3):
+        np.add.at(total, rows[:, k], chance)
+    want = table - total * (maxent_lm.RATE / np.sqrt(1 + (total**2).mean(axis=1)))[:, None]
+    squares = np.ones(maxent_lm.ROWS, np.float32)
+    maxent_lm._step(table, squares, rows, bias, own, target, maxent_lm.Scratch())
+    assert np.abs(table - want).max() < 2e-3
