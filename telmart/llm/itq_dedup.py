@@ -5,7 +5,8 @@
    bring the vectors close to the corners of a cube (alternating signs and Procrustes);
    the signs are balanced binary codes. Every vector is then encoded.
 3. The codes' substrings index hash tables. Vectors that share a substring meet in a
-   bucket; two at the threshold's angle miss all tables with at most ``MISS``.
+   bucket; there are as many tables as it takes for pairs at the threshold, made from
+   the sample and found in it, to miss all of them with at most ``MISS``.
 4. Within a bucket the original vectors are compared in double precision, in blocks. A
    pair counts in the first table in which it meets, so nothing is counted twice, and
    pairs leave the task only as counts and one connecting edge a vector.
@@ -37,7 +38,16 @@ MISS = 0.01
 BUCKET_LIMIT = 8_192
 ROUNDS = 50
 SEED = 7
+MOST_TABLES = 128
 _BLOCK = 1_024
+_PARTNERS = 4_096
+_PAIR_BLOCK = 256
+
+
+def _substrings(bits: np.ndarray, width: int) -> list[np.ndarray]:
+    """The bits of one rotation as numbers of ``width`` bits each."""
+    weights = 1 << np.arange(width)
+    return [bits[:, at : at + width] @ weights for at in range(0, bits.shape[1] - width + 1, width)]
 
 
 @dataclass
@@ -51,15 +61,8 @@ class Quantiser:
 
     def keys(self, vectors: np.ndarray) -> np.ndarray:
         """The substring of every table, one column each."""
-        bits = np.hstack([(vectors - self.mean) @ p > 0 for p in self.projections])
-        width = self.substring_bits
-        weights = 1 << np.arange(width)
-        per_rotation = self.projections[0].shape[1] // width
-        keys = [
-            bits[:, at : at + width] @ weights
-            for r, p in enumerate(self.projections)
-            for at in range(r * p.shape[1], r * p.shape[1] + per_rotation * width, width)
-        ]
+        centred = vectors - self.mean
+        keys = [k for p in self.projections for k in _substrings(centred @ p > 0, self.substring_bits)]
         return np.stack(keys[: self.tables], axis=1)
 
 
@@ -78,28 +81,70 @@ def stacked(arrays, dimensions: int) -> np.ndarray:
     return out
 
 
+def threshold_pairs(sample: np.ndarray, threshold: float, random: np.random.Generator) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs on which misses are measured, as (vectors, partners, weights).
+
+    Partners made at the threshold's cosine, off in any direction and off in directions in
+    which the sample itself varies; and the pairs within the sample that are linked, so that
+    dense clusters count by their pairs.
+    """
+    base = np.repeat(sample, math.ceil(_PARTNERS / len(sample)), axis=0)
+    values, axes = np.linalg.eigh(np.cov(sample.T, bias=True).reshape(sample.shape[1], -1))
+    out = []
+    for spread in (np.eye(sample.shape[1]), axes * np.sqrt(np.maximum(values, 0))):
+        off = random.standard_normal(base.shape) @ spread.T
+        off -= (off * base).sum(axis=1, keepdims=True) * base
+        length = np.linalg.norm(off, axis=1, keepdims=True)
+        some = length[:, 0] > 1e-9
+        partners = threshold * base[some] + math.sqrt(1 - threshold**2) * off[some] / length[some]
+        out.append((base[some], partners, np.ones(len(partners))))
+    first, second, weights = [], [], []
+    for at in range(0, len(sample), _PAIR_BLOCK):
+        a, b = np.nonzero(np.triu(sample[at : at + _PAIR_BLOCK] @ sample.T >= threshold, at + 1))
+        drawn = random.choice(len(a), min(len(a), _PARTNERS // 4), replace=False)
+        first.append(a[drawn] + at), second.append(b[drawn])
+        weights.append(np.full(len(drawn), len(a) / max(1, len(drawn))))
+    out.append((sample[np.concatenate(first)], sample[np.concatenate(second)], np.concatenate(weights)))
+    return [pairs for pairs in out if len(pairs[2])]
+
+
 def train(sample: np.ndarray, threshold: float = THRESHOLD, substring_bits: int = SUBSTRING_BITS,
           miss: float = MISS, rounds: int = ROUNDS) -> Quantiser:
-    """Learn rotations from unit vectors; as many tables as the miss rate asks for."""
+    """Learn rotations from unit vectors; tables are added until the measured misses are at most ``miss``.
+
+    Centring widens the angle between vectors that share a direction, so the angle alone
+    gives only the least number of tables. Where ``MOST_TABLES`` don't suffice substrings
+    are shortened, which makes buckets larger and loses nothing.
+    """
     dimensions = sample.shape[1]
-    width = min(substring_bits, dimensions)
-    flip = math.acos(threshold) / math.pi  # share of signs that differ at the threshold
-    hit = (1 - flip) ** width
-    tables = max(1, math.ceil(math.log(miss) / math.log(1 - hit)))
     mean = sample.mean(axis=0)
     centred = sample - mean
     _, axes = np.linalg.eigh(centred.T @ centred)
     projected = centred @ axes
     random = np.random.default_rng(SEED)
-    projections = []
-    for _ in range(math.ceil(tables / (dimensions // width))):
-        rotation, _ = np.linalg.qr(random.standard_normal((dimensions, dimensions)))
-        for _ in range(rounds):
-            signs = np.where(projected @ rotation > 0, 1.0, -1.0)
-            left, _, right = np.linalg.svd(signs.T @ projected)
-            rotation = right.T @ left.T
-        projections.append(axes @ rotation)
-    return Quantiser(mean, projections, width, tables)
+    pairs = [(a - mean, b - mean, w / w.sum()) for a, b, w in threshold_pairs(sample, threshold, np.random.default_rng(SEED))]
+    flip = math.acos(threshold) / math.pi  # share of signs that differ at the threshold
+    projections: list[np.ndarray] = []
+    for width in range(min(substring_bits, dimensions), 0, -1):
+        least = max(1, math.ceil(math.log(miss) / math.log(1 - (1 - flip) ** width)))
+        missed, tables, used = [np.ones(len(w), bool) for _, _, w in pairs], 0, 0
+        while tables < max(least, MOST_TABLES):
+            if used == len(projections):
+                rotation, _ = np.linalg.qr(random.standard_normal((dimensions, dimensions)))
+                for _ in range(rounds):
+                    signs = np.where(projected @ rotation > 0, 1.0, -1.0)
+                    left, _, right = np.linalg.svd(signs.T @ projected)
+                    rotation = right.T @ left.T
+                projections.append(axes @ rotation)
+            p, used = projections[used], used + 1
+            tables += dimensions // width
+            for m, (a, b, _) in zip(missed, pairs):
+                for k, n in zip(_substrings(a @ p > 0, width), _substrings(b @ p > 0, width)):
+                    m &= k != n
+            if tables >= least and all(w @ m <= miss for m, (_, _, w) in zip(missed, pairs)):
+                return Quantiser(mean, projections[:used], width, tables)
+    # One table that all vectors share.
+    return Quantiser(mean, [np.zeros((dimensions, 1))], 1, 1)
 
 
 def comparable(vector: str) -> Column:

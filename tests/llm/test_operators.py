@@ -336,6 +336,25 @@ def test_vectors_against_brute_force(spark, limit):
     assert all(r["kept"] == (r["component_id"] == r["vec_id"]) for r in found.values())
 
 
+@pytest.mark.parametrize("length, hot", [(0.0, 0), (0.7, 600), (0.9, 600)])
+def test_vectors_with_a_common_mean_meet(length, hot):
+    draw = np.random.default_rng(5)
+    shared = itq_dedup.unit(draw.standard_normal((1, 64)))
+    def near(base, cosine):
+        off = draw.standard_normal(base.shape)
+        off = itq_dedup.unit(off - (off * base).sum(axis=1, keepdims=True) * base)
+        return cosine * base + math.sqrt(1 - cosine**2) * off
+    base = near(np.repeat(shared, 3_000, axis=0), length)
+    cluster = near(np.repeat(base[:1], hot, axis=0), 0.978)
+    vectors = np.vstack([base, near(base, 0.953), cluster])
+    model = itq_dedup.train(vectors[::2], rounds=10)
+    keys = model.keys(vectors)
+    a, b = np.nonzero(np.triu(vectors @ vectors.T >= 0.95, 1))
+    planted = (keys[:3_000] == keys[3_000:6_000]).any(axis=1).mean()
+    assert planted >= 0.97 and (keys[a] == keys[b]).any(axis=1).mean() >= 0.97
+    assert model.tables == keys.shape[1]
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
