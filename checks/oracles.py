@@ -506,6 +506,10 @@ ORACLES: dict[str, str] = {
     "bronze_scan_one_day": f"""
         select event_date, event_hour, count(*) as n_rows from ({_FOLDERS})
         where event_date = '2025-01-02' group by 1, 2""",
+    "silver_malformed_first_line": """
+        select case when event_id % 10 = 0 then 40 end as kept_chars, count(*) as n_rows,
+            (select count(*) from events where event_id % 10 = 0) as n_rejected
+        from events group by 1""",
     "seed_cell_site": DIM_CELL_SITE,
     "catalog_table": """
         select o_orderstatus, 2 * count(*) as n_rows, cast(2 * sum(o_orderkey) as bigint) as sum_key

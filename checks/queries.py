@@ -221,14 +221,16 @@ def raw_archive_then_purge(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def silver_malformed_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Every tenth event's line is cut: the archive keeps its text, silver rejects the row."""
+def _silver_malformed(spark: SparkSession, sf: str, first: bool, **options) -> DataFrame:
     layout, root = _lake(spark)
     cut = b.raw_support(spark, sf).select(
         F.to_json(F.struct("*")).alias("value"), F.substring("sid", 3, 20).cast("bigint").alias("n")
-    ).selectExpr("case when n % 10 = 0 then substr(value, 1, 40) else value end as value")
+    )
+    if first:
+        cut = cut.sortWithinPartitions(F.expr("n % 10 <> 0"))
+    cut = cut.selectExpr("case when n % 10 = 0 then substr(value, 1, 40) else value end as value")
     cut.write.text(f"{root}/support/2025-03-01/07")
-    run_silver(spark, layout, "r1", ["support"], on_error="raise", multi_line=False)
+    run_silver(spark, layout, "r1", ["support"], on_error="raise", **options)
     texts = spark.table(layout.table("support_archive")).groupBy(
         F.length("malformed_text").alias("kept_chars")
     ).agg(F.count(F.lit(1)).alias("n_rows"))
@@ -236,6 +238,16 @@ def silver_malformed_lines(spark: SparkSession, sf: str) -> DataFrame:
     return texts.withColumn("n_rejected", F.lit(lost))
 
 
+def silver_malformed_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Every tenth event's line is cut: the archive keeps its text, silver rejects the row."""
+    return _silver_malformed(spark, sf, first=False, multi_line=False)
+
+
+def silver_malformed_first_line(spark: SparkSession, sf: str) -> DataFrame:
+    """The same in the default mode, with the cut lines first in every file."""
+    return _silver_malformed(spark, sf, first=True)
+
+
 def bronze_scan_one_day(spark: SparkSession, sf: str) -> DataFrame:
     """Only the folders of one landing day are listed and read."""
     root = scratch_path(spark, "landing")
@@ -947,6 +959,7 @@ QUERIES: dict[str, Query] = {
     "archive_same_run_twice": archive_same_run_twice,
     "raw_archive_then_purge": raw_archive_then_purge,
     "silver_malformed_lines": silver_malformed_lines,
+    "silver_malformed_first_line": silver_malformed_first_line,
     "bronze_scan_one_day": bronze_scan_one_day,
     "seed_cell_site": seed_cell_site,
     "catalog_table": catalog_table,

@@ -49,20 +49,26 @@ def with_lineage(scan: DataFrame) -> DataFrame:
 MALFORMED = "malformed_text"
 
 
+def _is_object(line: Column) -> Column:
+    """Whether a line is a whole JSON object by itself."""
+    bare = F.trim(line, F.lit(" \t\r"))
+    return bare.startswith("{") & bare.endswith("}") & F.json_object_keys(bare).isNotNull()
+
+
 def file_records(text: str = "value") -> Column:
     """JSON texts of the records in a whole file: an array's items, JSON lines, or one object.
 
-    A file that does not start an array and whose first line is an object by itself holds
-    lines; all of them are records, also those that are no JSON.
+    A file whose first line is an object by itself holds lines; so does one that is no JSON
+    as a whole and has any such line. All lines are records then, also those that are no JSON.
     """
     body = F.trim(F.col(text), F.lit(" \t\r\n\ufeff"))
     lines = F.filter(F.split(body, r"\r?\n"), lambda line: F.trim(line) != "")
-    first = F.try_element_at(lines, F.lit(1))
     items = F.from_json(body, T.ArrayType(T.StringType()))
     return (
         F.when(body == "", F.array().cast("array<string>"))
-        .when(body.startswith("[") & items.isNotNull(), items)
-        .when(first.rlike(r"^\s*\{.*\}\s*$") & F.json_object_keys(first).isNotNull(), lines)
+        .when(body.startswith("[") & body.endswith("]") & items.isNotNull(), items)
+        .when(_is_object(F.try_element_at(lines, F.lit(1))), lines)
+        .when(F.json_object_keys(body).isNull() & F.exists(lines, _is_object), lines)
         .otherwise(F.array(body))
     )
 

@@ -86,6 +86,15 @@ def test_seed_scan(spark, tmp_path):
     assert row_count(seed) == 2
 
 
+@pytest.mark.parametrize("broken", ['{"sid": "SU0", "cha', '{"sid": broken}', "no json", "[1]", '{"sid": "SU0",'])
+def test_broken_first_line_loses_no_others(spark, tmp_path, broken):
+    file = land(tmp_path, "s/2025-01-01/03", "a.json", event(SUPPORT), event(SUPPORT, sid="SU2"), lines=True)
+    file.write_text(broken + "\n" + file.read_text())
+    found = read_bronze(spark, f"{tmp_path}/s", "support", keep_malformed=True).collect()
+    assert len(found) == 3 and sum(r["sid"] is not None for r in found) >= 2
+    assert {event(SUPPORT)["sid"], "SU2"} <= {r["sid"] for r in found}
+
+
 def test_table_writes(spark, name):
     assert read_table(spark, name) is None
     df = spark.createDataFrame([("a", 1), ("b", 2)], "p string, v int")
