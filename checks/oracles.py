@@ -511,6 +511,7 @@ ORACLES: dict[str, str] = {
             (select count(*) from events where event_id % 10 = 0) as n_rejected
         from events group by 1""",
     "seed_cell_site": DIM_CELL_SITE,
+    "seed_any_layout": DIM_CELL_SITE,
     "catalog_table": """
         select o_orderstatus, 2 * count(*) as n_rows, cast(2 * sum(o_orderkey) as bigint) as sum_key
         from orders group by 1""",

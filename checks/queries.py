@@ -266,6 +266,18 @@ def seed_cell_site(spark: SparkSession, sf: str) -> DataFrame:
     return build_dim(read_seed(spark, path, "cell_site", multi_line=False), "cell_site")
 
 
+def seed_any_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """The cell sites as JSON lines and as arrays side by side, read by the default."""
+    root = scratch_path(spark, "seed")
+    rows = b.seed_cell_sites(spark, sf).select(F.to_json(F.struct("*")).alias("value"))
+    rows = rows.withColumn("file", F.pmod(F.xxhash64("value"), F.lit(16)))
+    rows.filter("file < 8").select("value").write.text(f"{root}/lines")
+    items = F.array_join(F.collect_list("value"), ",\n")
+    arrays = rows.filter("file >= 8").groupBy("file").agg(F.concat(F.lit("[\n"), items, F.lit("\n]")).alias("value"))
+    arrays.write.partitionBy("file").text(f"{root}/array")
+    return build_dim(read_seed(spark, f"{root}/{{lines,array/file=*}}", "cell_site"), "cell_site")
+
+
 def catalog_table(spark: SparkSession, sf: str) -> DataFrame:
     """Create on first write, append on the second, read back by name."""
     name = _new_name("t_orders")
@@ -962,6 +974,7 @@ QUERIES: dict[str, Query] = {
     "silver_malformed_first_line": silver_malformed_first_line,
     "bronze_scan_one_day": bronze_scan_one_day,
     "seed_cell_site": seed_cell_site,
+    "seed_any_layout": seed_any_layout,
     "catalog_table": catalog_table,
     "partition_overwrite": partition_overwrite,
     "sql_view": sql_view,

@@ -86,6 +86,13 @@ def test_seed_scan(spark, tmp_path):
     assert row_count(seed) == 2
 
 
+def test_seed_lines_are_read_whole(spark, tmp_path):
+    file = land(tmp_path, "seed", "agent.json", *[{"agent_id": f"AG{i}"} for i in range(5)], lines=True)
+    land(tmp_path, "seed", "more.json", {"agent_id": "AG5"}, {"agent_id": "AG6"})
+    seed = read_seed(spark, str(file.parent), "agent")
+    assert sorted(r["agent_id"] for r in seed.collect()) == [f"AG{i}" for i in range(7)]
+
+
 @pytest.mark.parametrize("broken", ['{"sid": "SU0", "cha', '{"sid": broken}', "no json", "[1]", '{"sid": "SU0",'])
 def test_broken_first_line_loses_no_others(spark, tmp_path, broken):
     file = land(tmp_path, "s/2025-01-01/03", "a.json", event(SUPPORT), event(SUPPORT, sid="SU2"), lines=True)
