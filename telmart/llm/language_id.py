@@ -14,6 +14,7 @@ Whole texts are read; a text enters as counts of its n-grams, in pieces of bound
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,12 +34,12 @@ _PIECE = 1 << 20  # characters counted at once
 
 
 def _slot_table() -> np.ndarray:
-    """Slot of every code point of the basic plane: 0 for a separator."""
-    table = np.zeros(1 << 16, np.uint8)
-    for code in range(1 << 16):
-        if chr(code).isalpha():
-            table[code] = 1 + code - 97 if 97 <= code < 123 else 27 + (code * 2654435761 >> 7) % (SLOTS - 27)
-    return table
+    """Slot of every code point: 0 for a separator."""
+    code = np.arange(sys.maxunicode + 1, dtype=np.uint32)
+    letter = np.char.isalpha(code.view("<U1"))
+    wide = code.astype(np.int64)
+    slot = np.where((97 <= wide) & (wide < 123), wide - 96, 27 + (wide * 2654435761 >> 7) % (SLOTS - 27))
+    return np.where(letter, slot, 0).astype(np.uint8)
 
 
 class Encoder:
@@ -59,7 +60,7 @@ class Encoder:
         for start in range(0, len(text), _PIECE):
             part = text[max(0, start - 2) : start + _PIECE]
             codes = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
-            slots = np.where(codes < 1 << 16, self.slots[np.minimum(codes, 0xFFFF)], 0).astype(np.int64)
+            slots = self.slots[codes].astype(np.int64)
             if start == 0:
                 slots = np.concatenate([[0], slots])
             if start + _PIECE >= len(text):
@@ -142,15 +143,18 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
 
 
 def language(text: Column, profiles: Profiles) -> Column:
-    """struct(lang_pred, score) of a text column."""
+    """struct(lang_pred, score, has_letter) of a text column."""
 
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = Encoder()
         for texts in batches:
-            found = [profiles.predict(encoder.vector(t)) for t in texts]
-            yield pd.DataFrame(found, columns=["lang_pred", "score"])
+            vectors = [encoder.vector(t) for t in texts]
+            # A sum of vectors could cancel out, so None doesn't yet say that there is no letter.
+            letters = [v is not None or bool(encoder.counts(t or "").any()) for v, t in zip(vectors, texts)]
+            found = [(*profiles.predict(v), letter) for v, letter in zip(vectors, letters)]
+            yield pd.DataFrame(found, columns=["lang_pred", "score", "has_letter"])
 
-    return F.pandas_udf(predict, "lang_pred string, score double")(text)
+    return F.pandas_udf(predict, "lang_pred string, score double, has_letter boolean")(text)
 
 
 def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -170,6 +174,6 @@ def fit_learnable(docs: DataFrame) -> Profiles:
 
 
 def keep_identified(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that have no language: null texts and texts without a letter."""
+    """``docs`` without null texts and texts without a letter, also where nothing was learned."""
     answer = docs.withColumn("__l", language(F.col(text_col), profiles))
-    return answer.where(F.col("__l.lang_pred") != UNKNOWN).drop("__l")
+    return answer.where("__l.has_letter").drop("__l")

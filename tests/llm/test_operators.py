@@ -302,6 +302,18 @@ def test_language_odd_rows(odd, none, docs):
     assert {r["lang_pred"] for r in language_id.identify(odd, nothing).collect()} == {"und"}
 
 
+def test_letters_of_all_planes_count(spark, odd, docs):
+    slots = language_id._slot_table()
+    assert all((slots[c] > 0) == chr(c).isalpha() for c in range(0x110000))
+    cases = ["\U00020000\U00020001", "\U00010330\U00010331", "\U0001d400", "\U0001f600 12", "a", "", None]
+    frame = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    for profiles in (language_id.fit_learnable(docs), language_id.fit_learnable(odd.limit(0))):
+        kept = language_id.keep_identified(frame, profiles)
+        assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 4]
+    found = language_id.identify(frame, language_id.fit_learnable(docs))
+    assert {r["doc_id"] for r in found.collect() if r["lang_pred"] == "und"} == {3, 5, 6}
+
+
 def test_counts_do_not_depend_on_pieces(monkeypatch, texts):
     encoder, text = language_id.Encoder(), list(texts.values())[0]
     whole = encoder.counts(text)
