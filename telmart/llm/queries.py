@@ -18,7 +18,7 @@ from telmart.llm import (
     simhash,
     toxicity,
 )
-from telmart.llm.common import bounded_sample, held_out, learnable, read
+from telmart.llm.common import bounded_sample, held_out, learnable, read, stored
 from telmart.llm.digests import token_digests
 from telmart.scratch import scratch_path
 
@@ -38,22 +38,26 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(docs.withColumn("text_sha256", digest), carry=["text_sha256"])
 
 
+def _labels(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    """Labels outside the held-out fold; of several of one document the largest counts."""
+    labels = read(spark, sf_dir, "labels").where(learnable() & F.col(label).isNotNull())
+    return labels.groupBy("doc_id").agg(F.max(label).alias("label"))
+
+
 def _labelled(spark: SparkSession, sf_dir: str, label: str, sample_rows: int) -> DataFrame:
     """Documents outside the held-out fold with their label, about ``sample_rows`` at most.
 
-    Labels are thinned first, so that the side that is broadcast has a size bound. Of
-    several labels of one document the largest counts.
+    Labels are thinned first, so that the side that is broadcast has a size bound.
     """
-    labels = read(spark, sf_dir, "labels").where(learnable() & F.col(label).isNotNull())
-    labels = labels.groupBy("doc_id").agg(F.max(label).alias("label"))
-    drawn = bounded_sample(labels, "doc_id", sample_rows)
+    drawn = bounded_sample(_labels(spark, sf_dir, label), "doc_id", sample_rows)
     return read(spark, sf_dir, "documents").join(F.broadcast(drawn), "doc_id")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
     model = toxicity.fit(_labelled(spark, sf_dir, "toxic", toxicity.SAMPLE_ROWS))
-    answers = toxicity.classify(docs, model)
+    scored = stored(toxicity.scores(read(spark, sf_dir, "documents"), model), "toxicity")
+    toxicity.calibrate(model, scored, _labels(spark, sf_dir, "toxic"))
+    answers = toxicity.decide(scored, model)
     return answers.select("doc_id", held_out().alias("held_out"), "score", "predicted", "flagged")
 
 

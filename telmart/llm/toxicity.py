@@ -34,7 +34,8 @@ BATCH = 32
 RATE = 0.05
 VALIDATION_SHARE = 0.25
 THRESHOLD = 0.3
-LEAST_POSITIVES = 10  # for a language to get a threshold of its own
+PRIOR_POSITIVES = 10  # what all languages together count for in each language's threshold
+BINS = 1_000  # of scores, in which labelled rows are counted for thresholds
 SEED = 11
 _PIECE = 1 << 15  # words scored at once
 _ASCII_WORD = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(256))
@@ -91,6 +92,8 @@ class TextCnn:
     slope: float = 1.0
     offset: float = 0.0
     thresholds: dict[str, float] = field(default_factory=dict)
+    general: float = THRESHOLD  # for languages without labelled rows
+    trained_ids: list[str] = field(default_factory=list)
 
     @classmethod
     def new(cls) -> TextCnn:
@@ -186,15 +189,31 @@ def train(texts: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) ->
     return model
 
 
-def _best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The threshold with the best F1; halfway to the score below it."""
-    order = np.argsort(-scores, kind="stable")
-    ranked, hits = scores[order], np.cumsum(labels[order])
-    f1 = 2 * hits / (np.arange(1, len(order) + 1) + labels.sum())
-    f1[:-1][ranked[1:] == ranked[:-1]] = -1  # equal scores fall on one side
-    k = int(np.argmax(f1))
-    below = ranked[k + 1] if k + 1 < len(ranked) else 0.0
-    return float((ranked[k] + below) / 2)
+def _best_threshold(counts: np.ndarray) -> float:
+    """The threshold with the best F1 by counts of (label, bin); the middle of equally good ones."""
+    hits, rows = np.cumsum(counts[1][::-1])[::-1], np.cumsum(counts.sum(axis=0)[::-1])[::-1]
+    f1 = 2 * hits / (rows + counts[1].sum())
+    last = BINS - 1 - int(np.argmax(f1[::-1]))
+    first = last
+    while first and counts[:, first - 1].sum() == 0:
+        first -= 1
+    return (first + last) / 2 / BINS
+
+
+def _set_thresholds(model: TextCnn, counts: dict[str, np.ndarray]) -> None:
+    """A threshold for every language with labelled rows.
+
+    Prior: all rows together, weighted as ``PRIOR_POSITIVES`` positives, are added to each
+    language's counts, so few labels move a threshold a little and many decide it. Without
+    any positive row all languages keep ``THRESHOLD``.
+    """
+    total = sum(counts.values(), np.zeros((2, BINS)))
+    positives = total[1].sum()
+    model.thresholds, model.general = {}, THRESHOLD
+    if positives:
+        model.general = _best_threshold(total)
+        prior = total * (PRIOR_POSITIVES / positives)
+        model.thresholds = {lang: _best_threshold(c + prior) for lang, c in counts.items()}
 
 
 def fit(labelled: DataFrame, label_col: str = "label", id_col: str = "doc_id", text_col: str = "text",
@@ -225,11 +244,12 @@ def fit(labelled: DataFrame, label_col: str = "label", id_col: str = "doc_id", t
         margins = np.array([model.margin(table, t) for t in texts[:cut]])
         model.slope, model.offset = fit_sigmoid(margins, labels[:cut])
         scores = sigmoid(model.slope * margins + model.offset)
-        languages = np.array([r["lang"] or "" for r in rows[:cut]])
-        for lang in sorted(set(languages)):
-            mine = languages == lang
-            if labels[:cut][mine].sum() >= LEAST_POSITIVES:
-                model.thresholds[lang] = _best_threshold(scores[mine], labels[:cut][mine])
+        counts: dict[str, np.ndarray] = {}
+        for row, score in zip(rows[:cut], scores):
+            found = counts.setdefault(row["lang"] or "", np.zeros((2, BINS)))
+            found[row["label"], min(int(score * BINS), BINS - 1)] += 1
+        _set_thresholds(model, counts)
+    model.trained_ids = sorted({r["id"] for r in rows[cut:] if r["id"] is not None})
     return model
 
 
@@ -244,19 +264,49 @@ def toxicity(text: Column, model: TextCnn) -> Column:
     return F.pandas_udf(score, "double")(text)
 
 
+def scores(docs: DataFrame, model: TextCnn, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """id, lang and score of every row; the score depends on the text alone."""
+    return docs.select(id_col, F.col(lang_col).alias("lang"), toxicity(F.col(text_col), model).alias("score"))
+
+
+def calibrate(model: TextCnn, scored: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "label") -> None:
+    """Set the languages' thresholds from all labelled rows of ``scored`` that the weights were not fitted to.
+
+    ``labels`` has one row an id. Counts by language, bin and label reach the driver, no rows.
+    """
+    schema = "trained string"
+    trained = scored.sparkSession.createDataFrame([(i,) for i in model.trained_ids], schema)
+    free = labels.where(F.col(label_col).isin(0, 1)).select(id_col, F.col(label_col).cast("int").alias("label")).join(
+        F.broadcast(trained), F.col(id_col).cast("string") == F.col("trained"), "left_anti"
+    )
+    bin_ = F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1)).cast("int").alias("bin")
+    rows = (
+        scored.select(id_col, F.coalesce("lang", F.lit("")).alias("lang"), bin_)
+        .join(free, id_col).groupBy("lang", "bin", "label").count().collect()
+    )
+    counts: dict[str, np.ndarray] = {}
+    for row in rows:
+        counts.setdefault(row["lang"], np.zeros((2, BINS)))[row["label"], row["bin"]] += row["count"]
+    _set_thresholds(model, counts)
+
+
 def classify(
     docs: DataFrame, model: TextCnn, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """id, score, predicted (by ``threshold``) and flagged (by the language's own one).
 
-    The score depends on the text alone. A language that has no threshold, or null, takes
-    the general one. Repeated rows get equal answers; other columns are not looked at.
+    A language without labelled rows takes the threshold of all languages together. Repeated
+    rows get equal answers; other columns are not looked at.
     """
-    own = F.lit(threshold)
+    return decide(scores(docs, model, id_col, text_col, lang_col), model, id_col, threshold)
+
+
+def decide(scored: DataFrame, model: TextCnn, id_col: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
+    """``classify`` of rows that have their scores."""
+    own = F.lit(model.general)
     for lang, value in sorted(model.thresholds.items()):
         own = F.when(F.coalesce(F.col("lang"), F.lit("")) == lang, F.lit(value)).otherwise(own)
-    scored = docs.select(id_col, F.col(lang_col).alias("lang"), toxicity(F.col(text_col), model).alias("score"))
     return scored.select(
         id_col, "score", (F.col("score") >= threshold).cast("int").alias("predicted"), (F.col("score") >= own).alias("flagged")
     )

@@ -461,6 +461,21 @@ def test_toxicity_learns(spark):
     assert (again.embedding == model.embedding).all() and again.slope == model.slope
 
 
+def test_every_labelled_language_gets_a_threshold(spark):
+    # Beyond the sample, a rare language has 40 labelled rows whose toxic scores are low.
+    rows = [(k, "en", 0.9 if k % 4 == 0 else 0.2, int(k % 4 == 0)) for k in range(2_000)]
+    rows += [(10_000 + k, "xx", 0.15 if k % 2 == 0 else 0.05, int(k % 2 == 0)) for k in range(40)]
+    rows += [(20_000, "yy", 0.5, 1), (30_000, "zz", 0.99, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, lang string, score double, label int")
+    model = toxicity.TextCnn.new()
+    model.trained_ids = [str(k) for k in range(0, 2_000, 8)]
+    toxicity.calibrate(model, frame.drop("label"), frame.select("doc_id", "label"))
+    assert set(model.thresholds) == {"en", "xx", "yy"}
+    assert 0.2 < model.thresholds["en"] <= 0.9 and 0.05 < model.thresholds["xx"] <= 0.15
+    flagged = {r["doc_id"] for r in toxicity.decide(frame, model).collect() if r["flagged"]}
+    assert {r[0] for r in rows if r[1] == "xx" and r[3]} <= flagged and 10_001 not in flagged and 30_000 in flagged
+
+
 def test_scores_do_not_depend_on_pieces(monkeypatch):
     model = toxicity.TextCnn.new()
     ids = toxicity.word_buckets(LONG)
