@@ -1,4 +1,6 @@
-"""The corpus pipeline: documents in, token ids of the mixed corpus out.
+"""The corpus pipeline: documents in, token counts and digests of the mixed corpus out.
+
+Token ids themselves do not leave the task that made them; writing them is not measured.
 
 Each stage applies one training-data operator to all that the stage before kept; between
 stages the rows are written to the shared folder and read again, so a lost executor never
