@@ -34,6 +34,32 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_BITMAP_BITS = 8 * 4096  # of one value of bitmap_construct_agg
+
+
+def bitmap(keys: DataFrame, bits: int) -> np.ndarray:
+    """The low bits of column ``key`` (a hash, long) as a bitmap of ``bits`` / 8 bytes.
+
+    Its size is fixed, whatever the number of keys: a filter that tasks may carry. It never
+    misses a key; the fuller it is, the more other keys it lets pass. ``bits`` is a power of two.
+    """
+    slot = F.col("key").bitwiseAND(bits - 1)
+    slots = keys.select(F.floor(slot / _BITMAP_BITS).alias("piece"), (slot % _BITMAP_BITS).alias("bit"))
+    # Dealt by piece first: one small row a key moves, not one bitmap a task.
+    pieces = slots.repartition("piece").groupBy("piece").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+    found = np.zeros((max(1, bits // _BITMAP_BITS), _BITMAP_BITS // 8), np.uint8)
+    for piece, held in pieces.collect():
+        found[piece] = np.frombuffer(bytes(held), np.uint8)
+    return found.reshape(-1)[: max(1, bits // 8)]
+
+
+def in_bitmap(held: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each key (a 64-bit integer) may be one of those the bitmap was made from."""
+    slot = keys.astype(np.uint64) & np.uint64(8 * len(held) - 1)
+    byte = held[(slot >> np.uint64(3)).astype(np.int64)]
+    return (byte >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
 def fold(id_col: str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; null for a null id."""
     return F.crc32(F.col(id_col).cast("string")) % folds

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telmart.llm import (
+    collocations,
     exact_dedup,
     itq_dedup,
     language_id,
@@ -15,7 +16,9 @@ from telmart.llm import (
     mixing,
     quality,
     secret_ledger,
+    sharding,
     simhash,
+    spelling,
     toxicity,
 )
 from telmart.llm.common import bounded_sample, held_out, learnable, read, stored
@@ -106,6 +109,26 @@ def op10_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answers.select("doc_id", held, "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(spelling.vocabulary(read(spark, sf_dir, "documents")))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "size",
+        F.col("checksum").alias("text_crc32"),
+        F.lit(sharding.LAW).alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_itq": op2_itq,
@@ -117,6 +140,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
     "op10_maxent_lm": op10_maxent_lm,
+    "op11_spelling": op11_spelling,
+    "op12_collocations": op12_collocations,
+    "op13_sharding": op13_sharding,
 }
 
 ORACLES: dict[str, str] = {
