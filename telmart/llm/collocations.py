@@ -5,15 +5,17 @@ built in parts, by vertical partitioning:
 
 1. Words are counted, and get 64-bit ids that are checked to be unique. A phrase cannot be
    frequent if one of its words is not, so other words end the suffixes that run into them.
-2. Word prefixes with more suffixes than the memory budget are extended by a word, in one
-   more scan per level, until every prefix left is within the budget; a prefix of full depth is a leaf
+   Nor can it be if two neighbours in it are not frequent together: pairs are counted by a hash
+   in an array of fixed size, and a pair whose slot stays below the limit ends a suffix, too.
+2. Word prefixes with more suffixes than the memory budget are extended by a word, a
+   scan per level, until every prefix left is within the budget; a prefix of full depth is a leaf
    and needs no more than its count. Prefixes within the budget are packed into groups up
    to the budget.
 3. One scan routes every suffix, cut to five words, to the group of its prefix. A group
    fits in memory; its task sorts the suffixes, which lays out the subtree, and reads the count
    of every inner node from the total of the leaves below it.
 
-Prefixes and frequent words travel as bitmaps of fixed size. They let a few too many pass, which
+Prefixes, frequent words and pairs travel as bitmaps of fixed size. They let a few too many pass, which
 costs work and changes nothing: what is extended is counted level by level, what is
 infrequent falls to the exact limit at the end. A passage that repeats any number of times
 exceeds the budget, is extended to full depth and so never gathers in one group.
@@ -34,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from telmart.llm.common import bitmap, in_bitmap, stored
+from telmart.llm.common import bitmap, in_bitmap, stored, summed_arrays
 
 DEPTH = 5
 LEAST = 100
@@ -46,11 +48,13 @@ BUDGET = 1 << 20  # suffixes of a group
 BINS = 1 << 14  # what packing moves; a group has one at least
 WORD_BITS = 1 << 26
 PREFIX_BITS = 1 << 24
+PAIR_SLOTS = 1 << 22  # counters of neighbours
 ID_BITS = 62
 _BLOCK_WORDS = 1 << 20
 _BLOCK_VOCABULARY = 1 << 19
 _TO_BREAK = bytes.maketrans(b".,;:!?\x0b\x0c\x0d", b"\n" * 9)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_PAIR_PARTS = 64  # pieces in which the counters are added up
 _KEY = "key array<long>, n long"
 
 
@@ -139,23 +143,28 @@ def _mixed(prefix: np.ndarray, ids: np.ndarray) -> np.ndarray:
 class _Plan:
     """What tasks need to route a suffix: bitmaps of each level, and the group of each bin.
 
-    ``frequent[k]`` and ``extended[k]`` hold prefixes of k + 1 words.
+    ``frequent[k]`` and ``extended[k]`` hold prefixes of k + 1 words, ``pairs`` neighbours.
     """
 
-    def __init__(self, seed: int, id_bits: int, frequent: list, extended: list, group_of_bin=None) -> None:
+    def __init__(self, seed: int, id_bits: int, frequent: list, extended: list) -> None:
         self.seed, self.id_bits = seed, id_bits
-        self.frequent, self.extended, self.group_of_bin = frequent, extended, group_of_bin
+        self.frequent, self.extended = frequent, extended
+        self.pairs = self.group_of_bin = None
 
-    def suffixes(self, seq: np.ndarray, names: list) -> tuple[list[np.ndarray], np.ndarray]:
+    def suffixes(self, seq: np.ndarray, names: list, depths: int = DEPTH) -> tuple[list[np.ndarray], np.ndarray]:
         """Columns of word numbers, one per depth, 0 from the first break or infrequent word on."""
         ids = _ids(names, self.seed, self.id_bits)
         known = in_bitmap(self.frequent[0], ids)
         known[0] = False
         first = np.where(known[seq], seq, 0).astype(np.uint32)
+        goes_on = np.append(first[1:] > 0, False) & (first > 0)
+        if self.pairs is not None:  # else they are being counted
+            at = np.flatnonzero(goes_on)
+            goes_on[at] = in_bitmap(self.pairs, _mixed(ids[first[at]], ids[first[at + 1]]))
         columns = [first]
-        for depth in range(1, DEPTH):
+        for depth in range(1, depths):
             column = np.zeros_like(first)
-            column[:-depth] = first[depth:]
+            column[:-depth] = np.where(goes_on[depth - 1 : -1], first[depth:], 0)
             column[columns[-1] == 0] = 0
             columns.append(column)
         return columns, ids
@@ -194,22 +203,51 @@ def _distinct_rows(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order[starts], np.diff(np.append(starts, len(order)))
 
 
+def _prefix_rows(plan: _Plan, columns: list[np.ndarray], ids: np.ndarray, depth: int) -> Iterator[pd.DataFrame]:
+    for level, places, prefix, _ in plan.descend(columns, ids, depth):
+        if level == depth and len(places):
+            words = [column[places] for column in columns[:depth]]
+            one, n = _distinct_rows(words)
+            keys = np.stack([ids[w[one]] for w in words], axis=1)
+            yield pd.DataFrame({"key": pd.Series(list(keys), dtype=object), "prefix": prefix[one], "n": n})
+
+
 def _prefix_counter(plan: _Plan, depth: int) -> Callable:
     """Counts prefixes of ``depth`` words whose shorter prefixes are all extended."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for seq, names in _blocks(batches):
-            columns, ids = plan.suffixes(seq, names)
-            for level, places, prefix, _ in plan.descend(columns, ids, depth):
-                if level == depth and len(places):
-                    words = [column[places] for column in columns[:depth]]
-                    one, n = _distinct_rows(words)
-                    keys = np.stack([ids[w[one]] for w in words], axis=1)
-                    yield pd.DataFrame({"key": pd.Series(list(keys), dtype=object), "prefix": prefix[one], "n": n})
+            yield from _prefix_rows(plan, *plan.suffixes(seq, names, depth), depth)
 
     return count
 
 
+def _pair_counter(plan: _Plan, least: int, slots: int) -> Callable:
+    """Counters of neighbours, by a hash of both; they stop at ``least``, which is all they are asked about."""
+    kind = np.uint8 if least < 1 << 8 else np.uint32
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counters = np.zeros(slots, np.uint32)
+        for seq, names in _blocks(batches):
+            columns, ids = plan.suffixes(seq, names, 2)
+            at = np.flatnonzero(columns[1])
+            pairs = _mixed(ids[columns[0][at]], ids[columns[1][at]])
+            counters += np.bincount(pairs & (slots - 1), minlength=slots).astype(np.uint32)
+            np.minimum(counters, least, out=counters)
+        pieces = np.split(counters.astype(kind), _PAIR_PARTS)
+        yield pd.DataFrame({"part": range(_PAIR_PARTS), "values": [p.tobytes() for p in pieces]})
+
+    return count
+
+
+def frequent_pairs(sources: DataFrame, plan: _Plan, least: int, slots: int = PAIR_SLOTS) -> np.ndarray:
+    """Bitmap of the counters that reach ``least``: every pair that does is in it."""
+    counters = sources.mapInPandas(_pair_counter(plan, least, slots), "part int, values binary")
+    return summed_arrays(
+        counters, "u1" if least < 1 << 8 else "u4", "u8", lambda n: np.packbits(n >= least, bitorder="little")
+    )
+
+
 def _router(plan: _Plan) -> Callable:
     """Deals suffixes to groups: per block and group one row of packed columns."""
 
@@ -299,12 +337,14 @@ def counted_phrases(
     frequent = words.where(F.col("n") >= least)
     levels = [frequent.select(F.array("id").alias("key"), F.col("id").alias("prefix"), "n")]
     plan = _Plan(seed, id_bits, [bitmap(frequent.select(F.col("id").alias("key")), WORD_BITS)], [])
+    plan.pairs = frequent_pairs(sources, plan, least)
     while len(levels) < DEPTH:
         over = levels[-1].where(F.col("n") > budget).select(F.col("prefix").alias("key"))
         if over.isEmpty():
             break
         plan.extended.append(bitmap(over, PREFIX_BITS))
-        partial = sources.mapInPandas(_prefix_counter(plan, len(levels) + 1), "key array<long>, prefix long, n long")
+        counter = _prefix_counter(plan, len(levels) + 1)
+        partial = sources.mapInPandas(counter, "key array<long>, prefix long, n long")
         counted = partial.groupBy("key", "prefix").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
         levels.append(stored(counted, "prefixes"))
         plan.frequent.append(bitmap(levels[-1].select(F.col("prefix").alias("key")), PREFIX_BITS))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -53,6 +53,41 @@ def bitmap(keys: DataFrame, bits: int) -> np.ndarray:
     return found.reshape(-1)[: max(1, bits // 8)]
 
 
+def summed_arrays(
+    partial: DataFrame, held: str, total: str, finish: Callable[[np.ndarray], np.ndarray] | None = None
+) -> np.ndarray:
+    """Sums of the arrays that tasks made, part by part, one after the other.
+
+    ``partial`` has columns part (int) and values (binary, numbers of type ``held``); arrays of
+    a part are equally long. Rows stream by, so memory holds one part whatever the number
+    of tasks; ``finish`` may make a part's sums smaller before they go to the driver.
+    """
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, sums = None, None
+
+        def done() -> pd.DataFrame:
+            out = sums if finish is None else finish(sums)
+            return pd.DataFrame({"part": [part], "values": [out.tobytes()]})
+
+        for batch in batches:
+            for number, values in zip(batch["part"], batch["values"]):
+                values = np.frombuffer(values, held)
+                if number != part:
+                    if part is not None:
+                        yield done()
+                    part, sums = number, np.zeros(len(values), total)
+                sums += values
+        if part is not None:
+            yield done()
+
+    rows = partial.select("part", "values").repartition("part").sortWithinPartitions("part")
+    found = rows.mapInPandas(add, "part int, values binary").collect()
+    kind = total if finish is None else finish(np.zeros(8, total)).dtype
+    pieces = [np.frombuffer(bytes(r["values"]), kind) for r in sorted(found, key=lambda r: r["part"])]
+    return np.concatenate(pieces) if pieces else np.zeros(0, kind)
+
+
 def in_bitmap(held: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Whether each key (a 64-bit integer) may be one of those the bitmap was made from."""
     slot = keys.astype(np.uint64) & np.uint64(8 * len(held) - 1)
