@@ -25,6 +25,12 @@ def to_day(column: Column, *formats: str) -> Column:
     return F.coalesce(*[F.try_to_timestamp(column, F.lit(f)).cast("date") for f in formats])
 
 
+def to_boolean(column: Column) -> Column:
+    """True or false where the value is that or its name; null for anything else."""
+    name = F.lower(F.trim(column.cast("string")))
+    return F.when(name == "true", True).when(name == "false", False)
+
+
 def filled(column: Column) -> Column:
     """Null for an empty string, for fallbacks that skip blank values."""
     return F.when(column != "", column)
@@ -33,4 +39,6 @@ def filled(column: Column) -> Column:
 def cast_leniently(column: Column, data_type: str) -> Column:
     if data_type == "bigint":
         return to_integer(column)
+    if data_type == "boolean":
+        return to_boolean(column)
     return column.try_cast(data_type)

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 EPOCH = "1970-01-01 00:00:00"
 EPOCH_DAY = "1970-01-01"
 
+KEY_NAME = "transaction_sk"
+LEGACY_KEY_NAME = "trasnaction_sk"  # fixed value: the spelling older warehouses carry
+KEY_NAMES = (KEY_NAME, LEGACY_KEY_NAME)
+
 MINUTE_OF_DAY = "minute_of_day"
 MINUTE_OF_HOUR = "minute_of_hour"
 

@@ -23,6 +23,34 @@ def daily_measures(
     return fact.groupBy(*group_by).agg(*measures)
 
 
+def partial_measures(
+    fact: DataFrame, group_by: Sequence[str], sums: Sequence[str] = (), averages: Sequence[str] = ()
+) -> DataFrame:
+    """What ``merged_measures`` needs of each group: row count, sums, and counts of averaged values."""
+    names = list(dict.fromkeys([*sums, *averages]))
+    measures = [F.count(F.lit(1)).alias("n_rows")]
+    measures += [F.sum(c).alias(f"total_{c}") for c in names]
+    measures += [F.count(c).alias(f"filled_{c}") for c in averages]
+    return fact.groupBy(*group_by).agg(*measures)
+
+
+def merged_measures(
+    partials: DataFrame,
+    group_by: Sequence[str],
+    sums: Sequence[str] = (),
+    averages: Sequence[str] = (),
+    decimals: int = 2,
+) -> DataFrame:
+    """``daily_measures`` from stored parts, by the same or fewer columns."""
+    measures: list[Column] = [F.sum("n_rows").alias("n_rows")]
+    measures += [F.round(F.sum(f"total_{c}"), decimals).alias(f"sum_{c}") for c in sums]
+    measures += [
+        F.round(F.try_divide(F.sum(f"total_{c}"), F.sum(f"filled_{c}")), decimals).alias(f"avg_{c}")
+        for c in averages
+    ]
+    return partials.groupBy(*group_by).agg(*measures)
+
+
 def drill_across(
     parts: Mapping[str, DataFrame], on: Sequence[str], measures: Sequence[str]
 ) -> DataFrame:

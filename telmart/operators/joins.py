@@ -1,34 +1,37 @@
 """Dimension lookups that stay balanced when keys are skewed.
 
 A dimension is broadcast only once its size has been measured (or is fixed by
-construction). A larger one is joined by a shuffle in which frequent keys are salted:
-their fact rows are spread over all partitions and the few dimension rows they need are
-repeated for every salt. All other keys, and the rest of the dimension, shuffle as
-usual. Which keys count as frequent changes where rows are joined, never the result.
+construction). A larger one is joined by a shuffle in which frequent keys are salted: a key
+that holds a share of the rows gets that share of all salts, its fact rows are spread over
+them and its dimension rows are repeated for each. All other keys, and the rest of the
+dimension, shuffle as usual. So a hot key costs no more than its rows do, and which keys
+count as frequent changes where rows are joined, never the result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from telmart.functions.keys import KEY_NAMES
 from telmart.operators.dedup import first_row_per_key
 
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-# A key is frequent when it may hold this share of the rows; at most 1/share keys are.
-FREQUENT_SHARE = 0.001
-# Bound of the repeated dimension rows of frequent keys, over all salts.
-MAX_REPEATED_ROWS = 50_000_000
-
+# A broadcast version list is searched row by row, so it must be short.
+MAX_BROADCAST_VERSIONS = 64
+# Keys that the sketch for frequent ones tracks at most; beyond that only the balance suffers.
+MAX_TRACKED_KEYS = 100_000
 SALTS_PER_PARTITION = 4
 
 _KEY = "__lookup_key"
 _SALT = "__lookup_salt"
 _SIDE_SALT = "__lookup_side_salt"
+_FAN_KEY, _FAN = "__lookup_fan_key", "__lookup_fan"
 
 
 def _column_bytes(field: T.StructField) -> Column:
@@ -53,31 +56,79 @@ def _fits(side: DataFrame, max_bytes: int) -> bool:
     return max_bytes > 0 and measured_bytes(side) <= max_bytes
 
 
-def frequent_keys(
-    df: DataFrame, keys: Sequence[str], share: float = FREQUENT_SHARE
-) -> dict[str, list]:
-    """Per column the non-null values that hold at least about ``share`` of the rows.
+def _partitions(df: DataFrame) -> int:
+    conf = df.sparkSession.conf
+    initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(initial or conf.get("spark.sql.shuffle.partitions"))
+
+
+def frequent_keys(df: DataFrame, keys: Sequence[str], share: float | None = None) -> dict[str, dict]:
+    """Per column the non-null values that hold at least about ``share`` of the rows, and that share.
 
-    One pass of Spark's top-k sketch for all columns: its memory does not grow with the
-    data, nothing but the sketches is shuffled, and each list has at most ``1 / share``
-    entries.
+    By default half of a shuffle partition's fair share, below which a key cannot
+    unbalance one. One pass of Spark's top-k sketch for all columns: its memory does not
+    grow with the data, nothing but the sketches is shuffled, and each list has at most
+    ``1 / share`` entries.
     """
     names = list(dict.fromkeys(keys))
-    most = round(1 / share)
+    share = 1 / (2 * _partitions(df)) if share is None else share
+    most = max(1, min(math.ceil(1 / share), MAX_TRACKED_KEYS // 10))
     sketches = [F.expr(f"approx_top_k(`{k}`, {most}, {10 * most})").alias(k) for k in names]
     found = df.agg(F.count(F.lit(1)).alias("__rows"), *sketches).first()
-    least = share * found["__rows"]
+    rows = max(1, found["__rows"])
     return {
-        k: [top["item"] for top in found[k] if top["item"] is not None and top["count"] >= least]
+        k: {
+            top["item"]: min(1.0, top["count"] / rows)
+            for top in found[k]
+            if top["item"] is not None and top["count"] >= share * rows
+        }
         for k in names
     }
 
 
-def _salts(df: DataFrame) -> int:
-    """A few salts per shuffle partition, so a frequent key fills all of them evenly."""
-    conf = df.sparkSession.conf
-    initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    return SALTS_PER_PARTITION * int(initial or conf.get("spark.sql.shuffle.partitions"))
+def _fan_out(df: DataFrame, key: str, frequent: Mapping[object, float]) -> DataFrame | None:
+    """(key, number of salts) of the frequent keys: at most one small row per key found."""
+    salts = SALTS_PER_PARTITION * _partitions(df)
+    rows = [(item, max(2, math.ceil(held * salts))) for item, held in frequent.items()]
+    if not rows:
+        return None
+    key_type = df.schema[key].dataType
+    schema = T.StructType([T.StructField(_FAN_KEY, key_type), T.StructField(_FAN, T.IntegerType())])
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
+def _row_hash(df: DataFrame, spread_by: Sequence[str] | None) -> Column:
+    """A number that differs between rows, and is the same when a row is computed again.
+
+    It hashes the row's own key where the frame has one, so that no other column has to
+    be read, and else all columns; and the source partition, so copies of a row spread out.
+    """
+    nested = (T.StructType, T.ArrayType, T.MapType)
+    flat = [f.name for f in df.schema.fields if not isinstance(f.dataType, nested)]
+    names = spread_by or [c for c in KEY_NAMES if c in flat] or flat
+    return F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in names])
+
+
+def _salted(
+    fact: DataFrame, key: str, fan: DataFrame | None, spread_by: Sequence[str] | None
+) -> DataFrame:
+    """Add the salt: of a frequent key's rows within its fan-out, of rows without key over all, else 0."""
+    every = SALTS_PER_PARTITION * _partitions(fact)
+    many = F.when(F.col(f"`{key}`").isNull(), F.lit(every))
+    if fan is not None:
+        fact = fact.join(F.broadcast(fan), F.col(f"`{key}`") == F.col(_FAN_KEY), "left")
+        many = F.coalesce(many, F.col(_FAN))
+    salt = F.when(many.isNotNull(), F.pmod(_row_hash(fact, spread_by), many).cast("int")).otherwise(0)
+    return fact.withColumn(_SALT, salt).drop(_FAN_KEY, _FAN)
+
+
+def _repeated(side: DataFrame, fan: DataFrame | None) -> DataFrame:
+    """Dimension rows once per salt of their key."""
+    if fan is None:
+        return side.withColumn(_SIDE_SALT, F.lit(0))
+    wide = side.join(F.broadcast(fan), F.col(_KEY) == F.col(_FAN_KEY), "left")
+    salts = F.sequence(F.lit(0), F.coalesce(F.col(_FAN), F.lit(1)) - 1)
+    return wide.withColumn(_SIDE_SALT, F.explode(salts)).drop(_FAN_KEY, _FAN)
 
 
 def _attributes(dim: DataFrame, dim_key: str, columns: Sequence[str] | None, prefix: str):
@@ -98,22 +149,25 @@ def lookup_join(
     condition: Column | None = None,
     fixed_size: bool = False,
     max_bytes: int = MAX_BROADCAST_BYTES,
-    frequent: Sequence | None = None,
+    frequent: Mapping[object, float] | None = None,
+    unique: bool = False,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add dimension columns (named ``<prefix><column>``) to a fact.
 
     Of several dimension rows with one key the first in the order of the columns asked for
-    is taken, so every fact row stays one row (and its sums right). ``condition`` lifts
-    that, as it may tell such rows apart: it may further restrict matches, naming fact columns and prefixed
-    dimension columns. ``fixed_size`` says that the dimension's size is bounded by
-    construction (a calendar, the minutes of a day), so it needs no measuring.
-    ``max_bytes=0`` rules a broadcast out. ``frequent`` gives the fact's frequent keys
-    when the caller has looked for them already.
+    is taken, so every fact row stays one row (and its sums right); ``unique`` says that there
+    is one anyway. ``condition`` lifts that, as it may tell such rows apart: it may further
+    restrict matches, naming fact columns and prefixed dimension columns. ``fixed_size`` says
+    that the dimension's size is bounded by construction (a calendar, the minutes of a day),
+    so it needs no measuring. ``max_bytes=0`` rules a broadcast out. ``frequent`` gives the
+    fact's frequent keys and their shares when the caller has looked for them already, and
+    ``spread_by`` columns that tell rows apart, for frames without a key of their own.
     """
     if how not in ("left", "inner"):
         raise ValueError("a lookup is a left or an inner join")
     side = _attributes(dim, dim_key, columns, prefix)
-    if condition is None and not fixed_size:
+    if condition is None and not fixed_size and not unique:
         # One row per key, whatever the dimension holds: a lookup never multiplies facts.
         side = first_row_per_key(side, [_KEY])
     clash = set(side.columns) & set(fact.columns)
@@ -124,28 +178,11 @@ def lookup_join(
         on = on & condition
     if fixed_size or _fits(side, max_bytes):
         return fact.join(F.broadcast(side), on, how).drop(_KEY)
-
-    hot = frequent_keys(fact, [fact_key])[fact_key] if frequent is None else list(frequent)
-    salts = _salts(fact)
-    if hot and side.filter(F.col(_KEY).isin(hot)).count() * salts > MAX_REPEATED_ROWS:
-        # A dimension with very many rows per frequent key; there adaptive execution
-        # splits the skewed partitions.
-        hot = []
-    # The salt hashes the row and its partition: copies of one row spread out as well, and
-    # a recomputed row goes where it went before. Null keys match nothing and are spread.
-    nested = (T.StructType, T.ArrayType, T.MapType)
-    hashed = [F.col(f"`{f.name}`") for f in fact.schema.fields if not isinstance(f.dataType, nested)]
-    row_hash = F.xxhash64(F.spark_partition_id(), *hashed)
-    spread = F.pmod(row_hash, F.lit(salts)).cast("int")
-    key = F.col(fact_key)
-    is_hot = (key.isNull() | key.isin(hot)) if hot else key.isNull()
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    only_zero = F.array(F.lit(0))
-    repeats = F.when(F.col(_KEY).isin(hot), every_salt).otherwise(only_zero) if hot else only_zero
-    salted = fact.withColumn(_SALT, F.when(is_hot, spread).otherwise(0))
-    repeated = side.withColumn(_SIDE_SALT, F.explode(repeats))
+    hot = frequent_keys(fact, [fact_key])[fact_key] if frequent is None else frequent
+    fan = _fan_out(fact, fact_key, hot)
     on = on & (F.col(_SALT) == F.col(_SIDE_SALT))
-    return salted.join(repeated, on, how).drop(_KEY, _SALT, _SIDE_SALT)
+    joined = _salted(fact, fact_key, fan, spread_by).join(_repeated(side, fan), on, how)
+    return joined.drop(_KEY, _SALT, _SIDE_SALT)
 
 
 def unmatched_keys(keyed: DataFrame, key: str, dim: DataFrame, dim_key: str) -> DataFrame:
@@ -192,7 +229,7 @@ def _lookup_roles(
     for key, prefix in roles:
         fact = lookup_join(
             fact, dim, key, dim_key, columns, f"{prefix}{noun}_",
-            fixed_size=small, max_bytes=0, frequent=hot.get(key), **options,
+            fixed_size=small, max_bytes=0, frequent=hot.get(key), unique=True, **options,
         )
     return fact
 
@@ -225,6 +262,80 @@ def with_manufacturer(
     return lookup_join(df, brands, tac, "tac", ["manufacturer"], "", **options)
 
 
+def _as_moment(column: Column) -> Column:
+    return column.try_cast("timestamp_ntz")
+
+
+def as_of_join(
+    fact: DataFrame,
+    versions: DataFrame,
+    fact_key: str,
+    key: str,
+    moment: str,
+    columns: Sequence[str],
+    prefix: str = "",
+    since: str = "effective_from",
+    until: str = "effective_to",
+    max_bytes: int = MAX_BROADCAST_BYTES,
+    frequent: Mapping[object, float] | None = None,
+    spread_by: Sequence[str] | None = None,
+) -> DataFrame:
+    """Add the columns of the version that holds at the fact's moment: since <= moment < until.
+
+    A bound that is null is open. Versions of a key follow one another; should two overlap,
+    the one that starts last counts (of equal starts the one that ends last), so a fact row stays one row.
+
+    No fact row meets every version of its key. A small dimension with few versions a key is
+    broadcast as one sorted list per key. Else versions and facts of a key go into one
+    ordering by time, along which the last version is carried: one pass, whatever the
+    number of versions. Frequent keys are salted, their versions repeated for every salt.
+    """
+    names = [f"{prefix}{c}" for c in columns]
+    clash = set(names) & set(fact.columns)
+    if clash:
+        raise ValueError(f"lookup would repeat columns {sorted(clash)}; give a prefix")
+    # Fields are in the order by which versions are sorted; null ends are the latest.
+    version = F.struct(
+        _as_moment(F.col(since)).alias("since"),
+        _as_moment(F.col(until)).isNull().alias("open"),
+        _as_moment(F.col(until)).alias("until"),
+        F.struct(*[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)]).alias("row"),
+    )
+    side = versions.filter(F.col(key).isNotNull()).select(F.col(key).alias(_KEY), version.alias("__version"))
+    at = F.col(moment).cast("timestamp_ntz")
+    kept = [F.col(f"`{c}`") for c in fact.columns]
+
+    def chosen(found: Column) -> list[Column]:
+        ends = found.getField("until")
+        holds = found.isNotNull() & (ends.isNull() | (at < ends))
+        return [F.when(holds, found.getField("row").getField(n)).alias(n) for n in names]
+
+    if _fits(side, max_bytes):
+        lists = side.groupBy(_KEY).agg(F.sort_array(F.collect_list("__version")).alias("__versions"))
+        longest = side.groupBy(_KEY).count().agg(F.max("count")).first()[0] or 0
+        if longest <= MAX_BROADCAST_VERSIONS:
+            started = F.filter("__versions", lambda v: v["since"].isNull() | (v["since"] <= at))
+            wide = fact.join(F.broadcast(lists), F.col(f"`{fact_key}`") == F.col(_KEY), "left")
+            found = wide.withColumn("__version", F.try_element_at(started, F.lit(-1)))
+            return found.select(*kept, *chosen(F.col("__version")))
+
+    hot = frequent_keys(fact, [fact_key])[fact_key] if frequent is None else frequent
+    fan = _fan_out(fact, fact_key, hot)
+    events = _salted(fact, fact_key, fan, spread_by).select(
+        "*", F.col(f"`{fact_key}`").alias(_KEY), at.alias("__at"), F.lit(1).alias("__kind")
+    )
+    starts = _repeated(side, fan).select(
+        _KEY, F.col(_SIDE_SALT).alias(_SALT), F.col("__version.since").alias("__at"), F.lit(0).alias("__kind"), "__version"
+    )
+    together = events.unionByName(starts, allowMissingColumns=True)
+    in_time = Window.partitionBy(_KEY, _SALT).orderBy(
+        F.col("__at").asc_nulls_first(), "__kind", F.col("__version.open"), F.col("__version.until")
+    )
+    carried = F.last("__version", ignorenulls=True).over(in_time.rowsBetween(Window.unboundedPreceding, 0))
+    found = together.withColumn("__found", carried).filter("__kind = 1")
+    return found.select(*kept, *chosen(F.col("__found")))
+
+
 def with_user_as_of(
     fact: DataFrame,
     dim_user: DataFrame,
@@ -234,17 +345,5 @@ def with_user_as_of(
     prefix: str = "user_",
     **options,
 ) -> DataFrame:
-    """User attributes valid at the fact's moment: effective_from <= moment < effective_to.
-
-    A bound that is null is open.
-    """
-    bounds = ["effective_from", "effective_to"]
-    names = [*columns, *[b for b in bounds if b not in columns]]
-    at, since, until = F.col(moment), F.col(f"{prefix}effective_from"), F.col(f"{prefix}effective_to")
-    valid = (since.isNull() | (at >= since.try_cast("timestamp_ntz"))) & (
-        until.isNull() | (at < until.try_cast("timestamp_ntz"))
-    )
-    wide = lookup_join(
-        fact, dim_user, fact_key, "phone_number", names, prefix, condition=valid, **options
-    )
-    return wide.drop(*[f"{prefix}{b}" for b in bounds if b not in columns])
+    """User attributes valid at the fact's moment: effective_from <= moment < effective_to."""
+    return as_of_join(fact, dim_user, fact_key, "phone_number", moment, columns, prefix, **options)

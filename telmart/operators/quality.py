@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telmart.functions.casts import to_moment, to_number
+from telmart.functions.casts import to_boolean, to_moment, to_number
 from telmart.operators.joins import unmatched_keys
 from telmart.operators.shape import accepted
 
@@ -24,6 +24,7 @@ MESSAGES = {
 
 # Additions of this library.
 MESSAGES["non_negative"] = "{column} must not be negative, "
+MESSAGES["boolean"] = "{column} must be true or false, "
 MESSAGES["format"] = "{column} {wording}, "
 
 SKIP = "skip"
@@ -43,8 +44,8 @@ FORMATS = {
 class RuleSet:
     """Rules in the order in which their messages are written.
 
-    ``non_negative`` and ``formats`` (column -> kind) are additions that the shipped
-    rule sets leave empty.
+    ``non_negative``, ``formats`` (column -> kind) and ``boolean`` are additions; the
+    shipped rule sets use the last one only. A boolean may be null.
     """
 
     required: tuple[str, ...] = ()
@@ -53,6 +54,7 @@ class RuleSet:
     between: Mapping[str, tuple[float, float]] = field(default_factory=dict)
     non_negative: tuple[str, ...] = ()
     formats: Mapping[str, str] = field(default_factory=dict)
+    boolean: tuple[str, ...] = ()
 
     def checks(self) -> list[tuple[str, str]]:
         """(column, kind) in message order."""
@@ -62,6 +64,7 @@ class RuleSet:
         named += [(c, "between") for c in self.between]
         named += [(c, "non_negative") for c in self.non_negative]
         named += [(c, "format") for c in self.formats]
+        named += [(c, "boolean") for c in self.boolean]
         return named
 
 
@@ -78,6 +81,8 @@ def _violation(rules: RuleSet, name: str, kind: str) -> tuple[Column, str]:
         broken = number <= 0
     elif kind == "non_negative":
         broken = number < 0
+    elif kind == "boolean":
+        broken = value.isNotNull() & to_boolean(value).isNull()
     elif kind == "between":
         low, high = rules.between[name]
         broken = (number < low) | (number > high)

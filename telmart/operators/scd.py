@@ -99,14 +99,16 @@ def scd2_merge(
     rows = dim.withColumn("__new", F.lit(False)).unionByName(new)
     chain = W.partitionBy(*keys).orderBy(F.col("effective_from").asc_nulls_first(), "__new")
     whole = chain.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    after = chain.rowsBetween(0, W.unboundedFollowing)
+    # What comes after a row, read backwards: a frame that grows by a row needs one pass, one
+    # to the end of the chain would be gone through again for every row.
+    back = W.partitionBy(*keys).orderBy(F.col("effective_from").desc_nulls_last(), F.desc("__new"))
+    after, later = back.rowsBetween(W.unboundedPreceding, 0), back.rowsBetween(W.unboundedPreceding, -1)
     stored = F.when(~F.col("__new"), F.struct(*attributes))
     nearest = F.coalesce(
-        F.last(stored, ignorenulls=True).over(chain), F.first(stored, ignorenulls=True).over(after)
+        F.last(stored, ignorenulls=True).over(chain), F.last(stored, ignorenulls=True).over(after)
     )
     # A stored end counts where a gap follows; else it is just the next version's start.
-    later = chain.rowsBetween(1, W.unboundedFollowing)
-    next_stored = F.first(F.when(~F.col("__new"), F.struct("effective_from")), ignorenulls=True).over(later)
+    next_stored = F.last(F.when(~F.col("__new"), F.struct("effective_from")), ignorenulls=True).over(later)
     open_end = F.lit(OPEN_END).cast(end_type)
     gap = F.coalesce(F.col("effective_to") < next_stored.getField("effective_from"), F.lit(False))
     ended = next_stored.isNull() & ~F.coalesce("is_current", F.lit(False))

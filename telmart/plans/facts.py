@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from telmart.functions.enrich import tac_of
 from telmart.functions.keys import (
+    KEY_NAME,
+    LEGACY_KEY_NAME,
     MINUTE_OF_DAY,
     date_key,
     epoch,
@@ -19,8 +21,7 @@ from telmart.functions.keys import (
 from telmart.functions.casts import to_moment
 from telmart.operators.shape import Projected, accepted, projected
 
-KEY_NAME = "transaction_sk"
-LEGACY_KEY_NAME = "trasnaction_sk"  # fixed value: the spelling older warehouses carry
+EVENT_DAY = "event_day"
 
 
 @dataclass(frozen=True)
@@ -165,3 +166,8 @@ def build_fact(
         time_key(moment, time_mode).alias("time_sk"),
         "*",
     )
+
+
+def with_event_day(fact: DataFrame) -> DataFrame:
+    """Add the day of the fact's moment, the column that stored facts are partitioned by."""
+    return fact.withColumn(EVENT_DAY, F.col(f"`{MOMENT}`").cast("date"))
