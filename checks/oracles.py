@@ -489,6 +489,21 @@ ORACLES: dict[str, str] = {
         from ({_FOLDERS}) group by 1, 2""",
     "bronze_scan_multiline": """
         select '2025-01-01' as event_date, event_type as channel, count(*) as n_rows from events group by 2""",
+    "bronze_scan_concatenated": """
+        with layouts as (
+            select event_id % 4 as layout, event_type, event_id, event_id % 64 as file from events),
+        reads as (
+            select l.*, whole from layouts l, (values (true), (false)) w(whole) where layout > 0 or whole)
+        select cast(layout as int) as layout, whole, event_type as channel, count(*) as n_rows,
+            count(distinct event_id) as n_events, cast(0 as bigint) as n_malformed
+        from reads group by 1, 2, 3
+        union all
+        select cast(layout as int), whole, null, count(distinct file), cast(0 as bigint), count(distinct file)
+        from reads where layout > 1 group by 1, 2""",
+    "silver_rescued_fields": """
+        select case when event_id % 4 = 0 then 'V' || (event_id % 3) end as vendor, count(*) as n_rows,
+            count(*) filter (event_id % 9 = 0) as n_bad
+        from events group by 1""",
     "silver_two_runs_no_duplicates": """
         select case when event_id % 7 = 0 then 'r1' else 'r2' end as run_id, event_type as channel,
             count(*) as n_rows, count(distinct event_id) as n_events
@@ -710,6 +725,7 @@ ORACLES: dict[str, str] = {
     "scd2_replay_old_batch": _SCD2,
     "scd2_late_change": scd2_sql("c_custkey % 3 = 0"),
     "scd2_stored_merge": _SCD2,
+    "scd2_bucketed_merge": _SCD2,
     "call_distance": f"""
         select from_cell_site, count(km) as n_known, round(sum(km), 2) as sum_km,
             round(max(km), 4) as max_km
@@ -753,6 +769,31 @@ ORACLES: dict[str, str] = {
     "idempotent_publish": f"""
         select date_sk, count(*) as n_rows, round(sum(amount), 2) as sum_amount
         from ({_CALLS}) group by 1""",
+    "publish_partitioned": f"""
+        select cast("timestamp" as date) as event_day, count(*) as n_rows, round(sum(amount), 2) as sum_amount
+        from ({fact_sql('sms')}) where "timestamp" >= '1971-01-01' and "timestamp" < '2024-01-16' group by 1""",
+    "publish_conflicts": """
+        with sent as (
+            select cast(o_custkey as varchar) as k, o_orderstatus as v, bool_or(o_orderkey % 2 = 0) as early
+            from orders group by 1, 2),
+        published as (select k, coalesce(min(v) filter (early), min(v)) as v from sent group by 1)
+        select 'published' as kind, v, count(*) as n_rows, count(distinct k) as n_keys from published group by 2
+        union all
+        select 'conflict', s.v, count(*), count(distinct s.k)
+        from sent s join published p on s.k = p.k and s.v <> p.v group by 2""",
+    "silver_publish_once": f"""
+        select case when call_back_requested then 'r1' else 'r2' end as run_id, channel, count(*) as n_rows,
+            count(distinct sid) as n_events
+        from ({silver_sql('support')}) where is_rejected is false group by 1, 2""",
+    "daily_incremental": f"""
+        select status, cast(count(*) as bigint) as n_rows, round(sum(amount), 2) as sum_amount,
+            round(avg(amount), 2) as avg_amount
+        from ({fact_sql('sms')}) group by 1""",
+    "stream_bad_lines": """
+        select whole, case when event_id % 10 = 0 then 40 end as kept_chars, count(*) as n_rows,
+            count(distinct case when event_id % 10 <> 0 then event_id end) as n_events,
+            count(*) filter (event_id % 10 = 0) as n_rejected
+        from events, (values (true), (false)) w(whole) group by 1, 2""",
     "stream_silver": f"""
         select sid, from_phone_number, to_cell_site, amount, latency_ms, rejection_reason, is_rejected
         from ({silver_sql('sms')})""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from telmart.functions.enrich import (
 )
 from telmart.functions.keys import MINUTE_OF_HOUR
 from telmart.operators import joins, quality, shape
-from telmart.operators.aggregates import daily_measures, drill_across, load_counts
+from telmart.operators.aggregates import daily_measures, drill_across, load_counts, merged_measures
 from telmart.operators.dedup import first_row_per_key
 from telmart.operators.position import with_position
 from telmart.operators.scd import scd1_upsert, scd2_merge
@@ -31,14 +32,17 @@ from telmart.plans.dims import (
     build_dim_time,
     build_user_seed,
 )
-from telmart.plans.facts import LEGACY_KEY_NAME, build_fact
+from telmart.plans.facts import LEGACY_KEY_NAME, build_fact, with_event_day
 from telmart.plans.jobs import (
     Layout,
     build_dims,
     build_facts,
     load_seed_dims,
     merge_dim,
+    publish_silver,
     run_silver,
+    store_bucketed_dim,
+    update_measures,
 )
 from telmart.plans.silver import normalise, to_silver
 from telmart.schemas import drift_report, observed_fields
@@ -54,6 +58,7 @@ from telmart.sinks.tables import (
     OVERWRITE,
     balanced_for_write,
     publish_new_rows,
+    touched_partitions,
     write_by_quality,
     write_table,
 )
@@ -164,11 +169,65 @@ def bronze_scan_multiline(spark: SparkSession, sf: str) -> DataFrame:
     return _counted(bronze.filter("malformed_text is null"), "event_date", "channel")
 
 
-def _lake(spark: SparkSession) -> tuple[Layout, str]:
+def bronze_scan_concatenated(spark: SparkSession, sf: str) -> DataFrame:
+    """Pretty objects in a row, several on a line, arrays with a broken item, lines after a cut one.
+
+    Read whole and, where a value does not span lines, line by line.
+    """
+    root = scratch_path(spark, "landing")
+    number = F.substring("sid", 3, 20).cast("bigint")
+    events = b.raw_support(spark, sf).select(
+        F.to_json(F.struct("*"), {"pretty": "true"}).alias("pretty"),
+        F.to_json(F.struct("*")).alias("flat"),
+        F.pmod(number, F.lit(64)).alias("file"),
+    )
+    joined = F.array_join(F.collect_list("flat"), ",")
+    texts = {
+        0: F.array_join(F.collect_list("pretty"), "\n"),
+        1: F.array_join(F.collect_list("flat"), ""),
+        2: F.concat(F.lit('[{"sid": oops},'), joined, F.lit("]")),
+        3: F.concat(F.lit('{"sid": "cut\n'), F.array_join(F.collect_list("flat"), "\n")),
+    }
+    scans = []
+    for kind, text in texts.items():
+        folder = f"{root}/{kind}/support"
+        events.filter(f"file % 4 = {kind}").groupBy("file").agg(text.alias("value")).write.partitionBy("file").text(folder)
+        for multi_line in (True, False) if kind else (True,):
+            scan = read_bronze(spark, folder, "support", multi_line=multi_line, keep_malformed=True)
+            scans.append(scan.select(F.lit(kind).alias("layout"), F.lit(multi_line).alias("whole"), "channel", "sid", "malformed_text"))
+    return reduce(DataFrame.unionByName, scans).groupBy("layout", "whole", "channel").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.countDistinct("sid").alias("n_events"),
+        F.count("malformed_text").alias("n_malformed"),
+    )
+
+
+def silver_rescued_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """A field that no schema knows is kept in the archive; a boolean that is none is rejected."""
+    layout, root = _lake(spark)
+    number = F.substring("sid", 3, 20).cast("bigint")
+    events = b.raw_support(spark, sf).withColumns({
+        "escalated": F.when(number % 9 == 0, "maybe").otherwise(F.col("escalated").cast("string")),
+        "vendor": F.when(number % 4 == 0, F.concat(F.lit("V"), number % 3)),
+    })
+    events.write.json(f"{root}/support/2025-03-01/07")
+    run_silver(spark, layout, "r1", ["support"], on_error="raise", multi_line=False)
+    archived = spark.table(layout.table("support_archive")).select(
+        "sid", F.try_element_at("rescued_fields", F.lit("vendor")).alias("vendor")
+    )
+    silver = spark.table(layout.table("support")).select(
+        "sid", F.col("rejection_reason").contains("escalated must be true or false").alias("bad")
+    )
+    return archived.join(silver, "sid").groupBy("vendor").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(F.when(F.col("bad"), 1)).alias("n_bad")
+    )
+
+
+def _lake(spark: SparkSession, **options) -> tuple[Layout, str]:
     root, tables = scratch_path(spark, "landing"), scratch_path(spark, "tables")
     database = _new_name("lake")
     spark.sql(f"create database {database} location '{tables}'")
-    return Layout(root, database, tables, fact_partitions=()), root
+    return Layout(root, database, tables, **options), root
 
 
 def _land_support(spark: SparkSession, sf: str, folder: str, condition: str) -> None:
@@ -819,6 +878,15 @@ def scd2_stored(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, name)
 
 
+def scd2_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with the dimension in buckets, of which merges write those they touch."""
+    layout, _ = _lake(spark)
+    store_bucketed_dim(layout, "dim_user", _scd_dim(spark, sf), ["user_id"], buckets=7)
+    for _ in range(2):
+        merge_dim(spark, layout, "dim_user", _scd_changes(spark, sf), ["user_id"], ["plan_type"], ["seq"])
+    return read_table(spark, layout.table("dim_user"))
+
+
 # --- enrichment -------------------------------------------------------------------
 
 
@@ -904,6 +972,101 @@ def idempotent_publish(spark: SparkSession, sf: str) -> DataFrame:
     return daily_measures(read_table(spark, name), ["date_sk"], sums=["amount"])
 
 
+def publish_partitioned(spark: SparkSession, sf: str) -> DataFrame:
+    """Half a fact, then all of it twice, by event day; then a range of days, for which partitions prune."""
+    name = _new_name("t_fact")
+    texts = with_event_day(fact(spark, sf, "sms"))
+    for part in (texts.filter("amount > 50"), texts, texts):
+        publish_new_rows(part, name, "transaction_sk", ["event_day"], path=scratch_path(spark, name))
+    days = read_table(spark, name).filter("event_day between '1971-01-01' and '2024-01-15'")
+    return days.groupBy("event_day").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("amount"), 2).alias("sum_amount")
+    )
+
+
+def publish_conflicts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that share a key and differ, in one batch and against the table: kept apart, once."""
+    name = _new_name("t_rows")
+    rows = b.table(spark, sf, "orders").selectExpr(
+        "cast(o_custkey as string) as k", "o_orderstatus as v", "o_orderkey % 2 = 0 as first_batch"
+    )
+    for part in (rows.filter("first_batch"), rows, rows):
+        publish_new_rows(part.select("k", "v"), name, "k", path=scratch_path(spark, name))
+    published = read_table(spark, name).select(F.lit("published").alias("kind"), "k", "v")
+    conflicts = read_table(spark, f"{name}_conflicts").select(F.lit("conflict").alias("kind"), "k", "v")
+    return published.unionByName(conflicts).groupBy("kind", "v").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("k").alias("n_keys")
+    )
+
+
+def silver_publish_once(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs of silver copied to a warehouse whose first append breaks half-way; all copied again."""
+    layout, root = _lake(spark)
+    for half, run_id in (("call_back_requested", "r1"), ("not call_back_requested", "r2")):
+        _land_support(spark, sf, f"{root}/support/2025-03-01/07", half)
+        run_silver(spark, layout, run_id, ["support"], on_error="raise", multi_line=False)
+    store, broken = scratch_path(spark, "warehouse"), []
+
+    def append(rows: DataFrame, target: str, options) -> None:
+        if not broken:
+            broken.append(target)
+            rows.filter("crc32(sid) % 2 = 0").write.mode("append").parquet(store)
+            raise OSError("the warehouse is gone")
+        rows.write.mode("append").parquet(store)
+
+    def published(session: SparkSession, target: str, options, run_id: str) -> DataFrame:
+        return session.read.parquet(store).filter(F.col("run_id") == run_id)
+
+    for _ in range(3):
+        publish_silver(
+            spark, layout, {}, {"support": "silver_support"}, "continue", append=append, published=published
+        )
+    return spark.read.parquet(store).groupBy("run_id", "channel").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("sid").alias("n_events")
+    )
+
+
+def daily_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored sums and counts, brought up to date after each of three publishes, the last one repeated."""
+    layout, _ = _lake(spark)
+    texts = with_event_day(fact(spark, sf, "sms"))
+    thirds = [texts.filter(f"pmod(crc32(transaction_sk), 3) = {k}") for k in range(3)]
+    for part in (*thirds, thirds[-1]):
+        publish_new_rows(
+            part, layout.table("fact_sms"), "transaction_sk", ["event_day"], path=layout.path("fact_sms")
+        )
+        update_measures(
+            spark, layout, "fact_sms", "daily_sms", ["date_sk", "status"], ["amount"], ["amount"],
+            days=touched_partitions(part, "event_day"),
+        )
+    stored = read_table(spark, layout.table("daily_sms"))
+    return merged_measures(stored, ["status"], ["amount"], ["amount"])
+
+
+def stream_bad_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Every tenth event's line is cut: the stream keeps its text, read whole or line by line."""
+    root = scratch_path(spark, "landing")
+    lines = b.raw_support(spark, sf).select(
+        F.to_json(F.struct("*")).alias("value"), F.substring("sid", 3, 20).cast("bigint").alias("n")
+    )
+    lines.selectExpr("case when n % 10 = 0 then substr(value, 1, 40) else value end as value").write.text(
+        f"{root}/2025-02-01/10"
+    )
+    found = []
+    for whole in (False, True):
+        out = scratch_path(spark, "silver")
+        bronze = read_bronze_stream(spark, root, "support", multi_line=whole)
+        _run(stream_silver(bronze, "support", out, scratch_path(spark, "checkpoint")))
+        found.append(spark.read.parquet(out).withColumn("whole", F.lit(whole)))
+    return reduce(DataFrame.unionByName, found).groupBy(
+        "whole", F.length("malformed_text").alias("kept_chars")
+    ).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.countDistinct("sid").alias("n_events"),
+        F.count(F.when(F.expr("is_rejected and sid is null"), 1)).alias("n_rejected"),
+    )
+
+
 def stream_silver_events(spark: SparkSession, sf: str) -> DataFrame:
     """Silver through a stream in two runs: the second finds only the new files."""
     root, out, checkpoint = (scratch_path(spark, n) for n in ("landing", "silver", "checkpoint"))
@@ -936,11 +1099,8 @@ def stream_routing(spark: SparkSession, sf: str) -> DataFrame:
 
 def lakehouse_run(spark: SparkSession, sf: str) -> DataFrame:
     """The whole flow: raw JSON of five types to silver, seeds to dimensions, facts, counts."""
-    root, tables = scratch_path(spark, "landing"), scratch_path(spark, "tables")
-    database = _new_name("lake")
-    spark.sql(f"create database {database} location '{tables}'")
-    # The test rows of one run spread over 2,500 days; a partition for each would be tiny.
-    layout = Layout(root, database, tables, fact_partitions=())
+    layout, root = _lake(spark)
+    database = layout.database
     for event_type in b.RAW_EVENTS:
         land_as_json(spark, sf, event_type, root)
     run_silver(spark, layout, "2025030107", on_error="raise", multi_line=False)
@@ -954,8 +1114,12 @@ def lakehouse_run(spark: SparkSession, sf: str) -> DataFrame:
         seed(spark, sf).write.json(paths[name])
     load_seed_dims(spark, layout, paths, multi_line=False)
     build_dims(spark, layout, DATES)
-    build_facts(spark, layout)
-    build_facts(spark, layout, ["calls"])  # once more: adds nothing
+    build_facts(spark, layout, ["sms", "support"])
+    # The test rows of the others spread over 2,500 days; a partition for each would be tiny.
+    whole = replace(layout, fact_partitions=())
+    build_facts(spark, whole, ["calls", "payment", "recharge"])
+    for again, name in ((layout, "sms"), (whole, "calls")):  # once more: adds nothing
+        build_facts(spark, again, [name])
     names = ["calls", "sms", "payment", "recharge", "support"]
     stored = {f"fact_{n}": spark.table(f"{database}.fact_{n}") for n in names}
     dims = ["user", "device", "cell_site", "agent", "date", "time"]
@@ -967,6 +1131,8 @@ QUERIES: dict[str, Query] = {
     "star_daily": star_daily,
     "bronze_scan": bronze_scan,
     "bronze_scan_multiline": bronze_scan_multiline,
+    "bronze_scan_concatenated": bronze_scan_concatenated,
+    "silver_rescued_fields": silver_rescued_fields,
     "silver_two_runs_no_duplicates": silver_two_runs,
     "archive_same_run_twice": archive_same_run_twice,
     "raw_archive_then_purge": raw_archive_then_purge,
@@ -1035,6 +1201,7 @@ QUERIES: dict[str, Query] = {
     "scd2_replay_old_batch": scd2_replay,
     "scd2_late_change": scd2_late,
     "scd2_stored_merge": scd2_stored,
+    "scd2_bucketed_merge": scd2_bucketed,
     "call_distance": call_distance,
     "seasonal_multiplier": seasonal,
     "short_call_flag": short_calls,
@@ -1042,7 +1209,12 @@ QUERIES: dict[str, Query] = {
     "run_manifest": manifest,
     "purge_by_manifest": purge_by_manifest,
     "idempotent_publish": idempotent_publish,
+    "publish_partitioned": publish_partitioned,
+    "publish_conflicts": publish_conflicts,
+    "silver_publish_once": silver_publish_once,
+    "daily_incremental": daily_incremental,
     "stream_silver": stream_silver_events,
+    "stream_bad_lines": stream_bad_lines,
     "stream_routing": stream_routing,
     "lakehouse_run": lakehouse_run,
 }

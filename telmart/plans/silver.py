@@ -23,7 +23,7 @@ class SilverModel:
 
 
 # Structs and rules of every event type, in message order. A rule on a column that the batch lacks is skipped; support
-# events, for one, have no status. Scores are listed as numeric although they are
+# events, for one, have no status. The boolean rules are this library's. Scores are listed as numeric although they are
 # optional, so a support event without a score is rejected.
 SILVER_MODELS = {
     "call": SilverModel(
@@ -50,6 +50,7 @@ SILVER_MODELS = {
             ),
             numeric=("amount",),
             positive=("amount",),
+            boolean=("handover_success",),
         ),
     ),
     "payment": SilverModel(
@@ -63,6 +64,7 @@ SILVER_MODELS = {
             ),
             numeric=("payment_amount", "amount"),
             positive=("payment_amount", "amount"),
+            boolean=("_requires_retry",),
         ),
     ),
     "recharge": SilverModel(
@@ -76,6 +78,7 @@ SILVER_MODELS = {
             ),
             numeric=("recharge_amount", "balance_before", "balance_after", "amount"),
             positive=("recharge_amount", "amount"),
+            boolean=("_requires_followup",),
         ),
     ),
     "support": SilverModel(
@@ -89,6 +92,7 @@ SILVER_MODELS = {
             numeric=("wait_time_seconds", "resolution_time_seconds", "satisfaction_score"),
             positive=("wait_time_seconds", "resolution_time_seconds"),
             between={"satisfaction_score": (1, 5)},
+            boolean=("first_call_resolution", "escalated", "call_back_requested"),
         ),
     ),
 }
@@ -115,7 +119,7 @@ def _silver_types(event_type: str) -> dict[str, T.DataType]:
 
 
 def _typed_value(column: Column, found: T.DataType, wanted: T.DataType) -> Column:
-    """Cast text to a number where one is wanted, field by field inside structs."""
+    """Cast text to a number or boolean where one is wanted, field by field inside structs."""
     if isinstance(found, T.StructType) and isinstance(wanted, T.StructType):
         inner = {f.name: f.dataType for f in wanted.fields}
         fields = [
@@ -125,13 +129,13 @@ def _typed_value(column: Column, found: T.DataType, wanted: T.DataType) -> Colum
             for f in found.fields
         ]
         return F.when(column.isNotNull(), F.struct(*fields))
-    if isinstance(found, T.StringType) and isinstance(wanted, T.NumericType):
+    if isinstance(found, T.StringType) and isinstance(wanted, (T.NumericType, T.BooleanType)):
         return cast_leniently(column, wanted.simpleString())
     return column
 
 
 def typed(flat: DataFrame, event_type: str) -> DataFrame:
-    """Give text numbers their silver type; text that is no number becomes null."""
+    """Give numbers and booleans in text their silver type; other text becomes null."""
     wanted = _silver_types(event_type)
     return flat.select(
         *[

@@ -1,8 +1,8 @@
 """Column contracts of every layer.
 
-Raw events are read with explicit schemas. Numeric leaves are read as text
+Raw events are read with explicit schemas. Numeric and boolean leaves are read as text
 (``raw_schema``), so a value such as ``"abc"`` survives until validation has named
-it; ``NUMERIC_TYPES`` then gives the silver type of each of those columns.
+it; ``event_schema`` then gives the silver type of each of those columns.
 """
 
 from __future__ import annotations
@@ -124,11 +124,11 @@ def _as_text(data_type: T.DataType) -> T.DataType:
         return T.StructType(
             [T.StructField(f.name, _as_text(f.dataType), True) for f in data_type.fields]
         )
-    return T.StringType() if isinstance(data_type, T.NumericType) else data_type
+    return T.StringType() if isinstance(data_type, (T.NumericType, T.BooleanType)) else data_type
 
 
 def raw_schema(event_type: str) -> T.StructType:
-    """Reading schema: numbers arrive as text so that bad ones are not lost."""
+    """Reading schema: numbers and booleans arrive as text so that bad ones are not lost."""
     return _as_text(event_schema(event_type))
 
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from telmart.operators.dedup import first_row_per_key
-from telmart.scratch import shared_root
+from telmart.scratch import scratch_path, shared_root
 
 APPEND = "append"
 OVERWRITE = "overwrite"
@@ -100,6 +101,33 @@ def replace_table(df: DataFrame, name: str, table_format: str = "parquet") -> No
     write_table(df.checkpoint(), name, OVERWRITE, (), table_format)
 
 
+def replace_rows(df: DataFrame, name: str, partition: Mapping[str, str], table_format: str = "parquet") -> None:
+    """Replace one partition by rows computed from it; it goes when there are none."""
+    spark = df.sparkSession
+    shared_root(spark)
+    rows = df.checkpoint()
+    if rows.isEmpty():
+        terms = {c: str(v).replace("\\", "\\\\").replace("'", "\\'") for c, v in partition.items()}
+        if table_format == "parquet":
+            spec = ", ".join(f"`{c}` = '{v}'" for c, v in terms.items())
+            spark.sql(f"alter table {name} drop if exists partition ({spec})")
+        else:
+            spark.sql(f"delete from {name} where " + " and ".join(f"`{c}` = '{v}'" for c, v in terms.items()))
+        return
+    write_table(rows, name, OVERWRITE, list(partition), table_format, gather=False)
+
+
+def add_columns(df: DataFrame, name: str) -> None:
+    """Give an existing table the columns of ``df`` that it lacks; older rows have nulls there."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        return
+    known = spark.table(name).columns
+    new = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name not in known]
+    if new:
+        spark.sql(f"alter table {name} add columns ({', '.join(new)})")
+
+
 def write_by_quality(validated: DataFrame, path: str, mode: str = APPEND) -> None:
     """Valid and rejected rows in one pass, below quality=valid and quality=rejected."""
     side = F.when(F.col("is_rejected"), "rejected").otherwise("valid")
@@ -112,16 +140,71 @@ def touched_partitions(df: DataFrame, column: str) -> list:
     return [row[0] for row in df.select(column).distinct().collect()]
 
 
+def _known_keys(existing: DataFrame, key: str) -> DataFrame:
+    return existing.select(key).distinct()
+
+
 def new_rows(df: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose key ``existing`` does not hold yet, one per key.
 
-    The batch is reduced to one row per key and the table to its distinct keys, each
-    inside its tasks first: copies of one event cannot pile up in the anti join, which
-    reuses the partitioning by key.
+    Known keys go first, so what is reduced to one row per key is only what is new.
+    """
+    unseen = df.join(_known_keys(existing, key), key, "left_anti").select(*df.columns)
+    return first_row_per_key(unseen, [key])
+
+
+@dataclass(frozen=True)
+class PublishReport:
+    """What became of a batch's rows; ``new`` + ``same`` + ``conflicting`` = ``rows``.
+
+    ``same`` rows are copies of published ones; ``conflicting`` ones share the key of a
+    published row and differ from it.
     """
-    batch = first_row_per_key(df, [key])
-    known = existing.select(key).distinct()
-    return batch.join(known, key, "left_anti").select(*df.columns)
+
+    rows: int
+    new: int
+    same: int
+    conflicting: int
+
+
+def _digest(columns: Sequence[str]) -> Column:
+    """A hash of a whole row; nulls of different columns differ."""
+    shown = [F.col(f"`{c}`") for c in columns]
+    return F.xxhash64(*shown, *[c.isNull() for c in shown])
+
+
+_DIGEST, _KNOWN, _LEAST, _MOST = "__digest", "__known", "__least", "__most"
+
+
+def _unpublished(df: DataFrame, existing: DataFrame | None, key: str) -> tuple[DataFrame, int]:
+    """Rows that the table does not hold, stored, with digest and whether their key is known; all rows' number.
+
+    One shuffle by key. Of the table only keys and digests are shuffled.
+    """
+    digested = df.withColumn(_DIGEST, _digest(df.columns))
+    counted = Observation()
+    seen = digested.observe(counted, F.count(F.lit(1)).alias("rows"))
+    if existing is None:
+        pending = seen.withColumn(_KNOWN, F.lit(False))
+    else:
+        held = existing.select(key, _digest(df.columns).alias(_DIGEST)).groupBy(key).agg(
+            F.min(_DIGEST).alias(_LEAST), F.max(_DIGEST).alias(_MOST)
+        )
+        joined = seen.join(held, key, "left")
+        same = F.coalesce(F.col(_DIGEST).isin(F.col(_LEAST), F.col(_MOST)), F.lit(False))
+        pending = joined.filter(~same).select(*df.columns, _DIGEST, F.col(_LEAST).isNotNull().alias(_KNOWN))
+    path = scratch_path(df.sparkSession, "pending")
+    pending.write.parquet(path)
+    return df.sparkSession.read.schema(pending.schema).parquet(path), counted.get["rows"]
+
+
+def _one_per_key(pending: DataFrame, key: str) -> DataFrame:
+    """The first row of each key; only keys that occur more than once are sorted out."""
+    repeated = pending.groupBy(key).count().filter("count > 1").select(key)
+    if repeated.isEmpty():
+        return pending
+    alone = pending.join(repeated, key, "left_anti").select(*pending.columns)
+    return alone.unionByName(first_row_per_key(pending.join(repeated, key, "left_semi"), [key]))
 
 
 def publish_new_rows(
@@ -131,22 +214,52 @@ def publish_new_rows(
     partition_by: Sequence[str] = (),
     table_format: str = "parquet",
     path: str | None = None,
-) -> None:
+) -> PublishReport:
     """Append only unseen keys, so publishing a batch again changes nothing.
 
     Keys must determine the partition (fact keys do: they hash the event's timestamp), so
-    only the table partitions that the batch touches are scanned for them.
+    only the table partitions that the batch touches are scanned for them. A row whose key
+    is published with other content, or comes with other content in the same batch after the
+    first such row, is not lost: it goes to ``<name>_conflicts``, once.
     """
     spark = df.sparkSession
     touched = touched_partitions(df, partition_by[0]) if partition_by else None
+    existing = None
     if spark.catalog.tableExists(name):
         existing = spark.table(name)
         if touched is not None:
             column = F.col(partition_by[0])
             named = column.isin([v for v in touched if v is not None])
             existing = existing.filter(named | column.isNull() if None in touched else named)
-        rows = new_rows(df, existing, key)
-    else:
-        rows = first_row_per_key(df, [key])
+    pending, rows = _unpublished(df, existing, key)
+    unseen = pending.filter(f"not {_KNOWN}")
+    chosen = _one_per_key(unseen, key)
     gather = touched is None or len(touched) > 1
-    write_table(rows, name, APPEND, partition_by, table_format, path, gather)
+    write_table(chosen.select(*df.columns), name, APPEND, partition_by, table_format, path, gather)
+    tally = pending.agg(
+        F.count(F.lit(1)).alias("pending"),
+        F.count(F.when(F.col(_KNOWN), 1)).alias("known"),
+        F.countDistinct(F.when(~F.col(_KNOWN), F.struct(key))).alias("new"),
+    ).first()
+    # Copies of a row in one batch have its digest and are no conflict.
+    picks = chosen.select(F.col(key), F.col(_DIGEST).alias("__pick"))
+    differing = pending.limit(0)
+    if tally["pending"] - tally["known"] > tally["new"]:
+        # Null-safe, as a null key is a key like any other here.
+        same_key = unseen[key].eqNullSafe(picks[key])
+        differing = unseen.join(picks, same_key & (F.col(_DIGEST) != F.col("__pick")), "left_semi")
+    conflicts = pending.filter(_KNOWN).unionByName(differing) if tally["pending"] > tally["new"] else differing
+    conflicting = conflicts.count() if tally["pending"] > tally["new"] else 0
+    if conflicting:
+        _quarantine(conflicts.select(*df.columns, _DIGEST), f"{name}_conflicts", key, table_format, path)
+    return PublishReport(rows, tally["new"], rows - tally["new"] - conflicting, conflicting)
+
+
+def _quarantine(conflicts: DataFrame, name: str, key: str, table_format: str, path: str | None) -> None:
+    """Keep conflicting rows, each of them once however often it is published."""
+    columns = [c for c in conflicts.columns if c != _DIGEST]
+    rows = conflicts.dropDuplicates([key, _DIGEST])
+    if conflicts.sparkSession.catalog.tableExists(name):
+        held = conflicts.sparkSession.table(name).select(key, _digest(columns).alias(_DIGEST))
+        rows = rows.join(held, [key, _DIGEST], "left_anti")
+    write_table(rows.select(*columns), name, APPEND, (), table_format, f"{path}_conflicts" if path else None)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telmart.schemas import raw_schema
+from telmart.sources.records import file_records, line_records, parsed
 
 # Landing folders are <yyyy-MM-dd>/<HH> or event_date=<yyyy-MM-dd>/event_hour=<HH>.
 DATE_IN_PATH = r"/(?:event_date=)?(\d{4}-\d{2}-\d{2})/"
@@ -46,31 +47,13 @@ def with_lineage(scan: DataFrame) -> DataFrame:
     )
 
 
-MALFORMED = "malformed_text"
-
-
-def _is_object(line: Column) -> Column:
-    """Whether a line is a whole JSON object by itself."""
-    bare = F.trim(line, F.lit(" \t\r"))
-    return bare.startswith("{") & bare.endswith("}") & F.json_object_keys(bare).isNotNull()
-
-
-def file_records(text: str = "value") -> Column:
-    """JSON texts of the records in a whole file: an array's items, JSON lines, or one object.
-
-    A file whose first line is an object by itself holds lines; so does one that is no JSON
-    as a whole and has any such line. All lines are records then, also those that are no JSON.
-    """
-    body = F.trim(F.col(text), F.lit(" \t\r\n\ufeff"))
-    lines = F.filter(F.split(body, r"\r?\n"), lambda line: F.trim(line) != "")
-    items = F.from_json(body, T.ArrayType(T.StringType()))
-    return (
-        F.when(body == "", F.array().cast("array<string>"))
-        .when(body.startswith("[") & body.endswith("]") & items.isNotNull(), items)
-        .when(_is_object(F.try_element_at(lines, F.lit(1))), lines)
-        .when(F.json_object_keys(body).isNull() & F.exists(lines, _is_object), lines)
-        .otherwise(F.array(body))
-    )
+def raw_files(
+    spark: SparkSession, root: str, dates: Sequence[str] | None = None, hours: Sequence[str] | None = None
+) -> DataFrame:
+    """The files that a scan with the same arguments reads, with lineage; no content is read."""
+    reader = spark.read.option("recursiveFileLookup", True)
+    files = with_lineage(reader.format("binaryFile").load(landing_paths(root, dates, hours)))
+    return files.select("source_file", "source_modified", "event_date", "event_hour")
 
 
 def read_bronze(
@@ -82,32 +65,18 @@ def read_bronze(
     multi_line: bool = True,
     schema: T.StructType | None = None,
     keep_malformed: bool = False,
+    keep_rescued: bool = False,
 ) -> DataFrame:
     """Recursive scan of one event type below ``root``.
 
-    ``multi_line=False`` reads JSON lines and lets Spark split large files; use it for
+    ``multi_line=False`` reads line by line and lets Spark split large files; use it for
     everything this library lands. ``multi_line=True`` reads each file whole, one task per
-    file, and takes arrays, pretty-printed objects and JSON lines alike, file by file; so
-    no layout loses records. A record that is no JSON becomes a row of nulls;
-    ``keep_malformed`` adds its text as ``malformed_text``.
+    file. Either way all values of a text become records, arrays item by item (see
+    ``records``), so no layout loses any; a value over several lines needs ``multi_line``.
+    A record that is no JSON becomes a row of nulls; ``keep_malformed`` adds its text, and
+    ``keep_rescued`` the fields that the schema does not know.
     """
-    wanted = schema or raw_schema(event_type)
-    marked = T.StructType([*wanted.fields, T.StructField(MALFORMED, T.StringType())])
-    paths = landing_paths(root, dates, hours)
-    if not multi_line:
-        reader = spark.read.schema(marked if keep_malformed else wanted)
-        scan = (
-            reader.option("recursiveFileLookup", True)
-            .option("columnNameOfCorruptRecord", MALFORMED)
-            .json(paths)
-        )
-        return with_lineage(scan)
-    files = with_lineage(
-        spark.read.option("recursiveFileLookup", True).text(paths, wholetext=True)
-    )
-    lineage = [c for c in files.columns if c != "value"]
-    options = {"columnNameOfCorruptRecord": MALFORMED}
-    records = files.select(F.explode(file_records()).alias("value"), *lineage)
-    parsed = records.select(F.from_json("value", marked, options).alias("record"), *lineage)
-    names = marked.names if keep_malformed else wanted.names
-    return parsed.select(*[F.col(f"record.`{c}`").alias(c) for c in names], *lineage)
+    reader = spark.read.option("recursiveFileLookup", True)
+    texts = with_lineage(reader.text(landing_paths(root, dates, hours), wholetext=multi_line))
+    records = file_records() if multi_line else line_records()
+    return parsed(texts, records, schema or raw_schema(event_type), keep_malformed, keep_rescued)
