@@ -111,12 +111,18 @@ def learnable(id_col: str = "doc_id", folds: int = 4) -> Column:
 
 
 def bounded_sample(df: DataFrame, id_col: str, limit: int, rows: int | None = None) -> DataFrame:
-    """About ``limit`` rows at most, chosen by a hash of their id; all rows if there are fewer."""
+    """About ``limit`` rows at most, chosen by a hash of their id; all rows if there are fewer.
+
+    When rows are thinned, those without id go, and of rows that share an id the first in the
+    order of all columns stays: neither can fill a sample beyond its limit.
+    """
     rows = df.count() if rows is None else rows
     if rows <= limit:
         return df
     share = int(limit / rows * (1 << 31))
-    return df.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 31)) < share)
+    some = df.where(F.col(id_col).isNotNull() & (F.pmod(F.xxhash64(id_col), F.lit(1 << 31)) < share))
+    one = some.groupBy(id_col).agg(F.min(F.struct(*columns(df))).alias("row"))
+    return one.select("row.*")
 
 
 def words(text: str | None) -> list[bytes]:

@@ -12,9 +12,13 @@ and two skip features (second and third word before), each hashed to a row of th
 tables. In the other classes words have their smoothed relative frequency, with one share
 for all unknown words. So a text's probabilities are proper, and longer histories differ.
 
-Training. In each round the tasks take AdaGrad steps in numpy on a part of the training
-documents, from the weights the driver sent, and send what they changed; the driver adds
-the mean by tokens. The rounds' parts are disjoint and together are all documents.
+Training. In each round the tasks go through a part of the training documents with the
+weights the driver sent and add up both halves of the gradient: how often each feature was
+seen with each class or word, and how often the model expects it. The driver takes one step
+from the sums over all tasks, that of generalised iterative scaling: a share, one over the
+number of features of a token, of the logarithm of seen over expected, both smoothed. Sums
+do not depend on how documents are dealt to tasks, so neither does the model. The rounds'
+parts are disjoint, by a hash of the id, and together are all documents.
 
 Scoring. Tasks score batches of sparse rows in numpy and hand on, per document, the words
 that their table lacks; these are joined with the counts and added.
@@ -34,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telmart.llm.common import fold, runs, stored, words
+from telmart.llm.common import fold, stored, summed_arrays, words
 
 LOOKUP_WORDS = 1 << 17
 LOOKUP_BYTES = 48  # longer words are always joined
@@ -44,11 +48,12 @@ OTHER_CLASSES = 40
 CLASSES = FREQUENT_CLASSES + OTHER_CLASSES
 ROWS = 1 << 13  # of each weight table
 ROUNDS = 3
-RATE = 0.25
+FEATURES = 4  # of a token
+SMOOTHING = 1.0  # added to what was seen and what was expected
 BATCH = 1 << 13
 HELD_OUT_FOLDS = 7
 END = b"\n"  # never a word
-_PARTS = 32  # pieces in which changes are added up
+_PARTS = 128  # pieces in which sums are added up
 _BLOCK = 1 << 10  # tokens whose logits are worked on at once
 _SHORT = 16  # rows up to which runs are summed side by side
 _COUNTED = 1 << 18  # distinct words a task holds before it hands them on
@@ -208,9 +213,11 @@ class Weights:
             np.where(np.isfinite(word_bias), word_bias, empty),
         )
 
-    def moved(self, change: np.ndarray) -> Weights:
-        """The weights after a change of the tables."""
-        parts = np.split(change, [self.tables[0].size])
+    def moved(self, sums: np.ndarray) -> Weights:
+        """The weights after a step, from what was seen and then what was expected, table after table."""
+        seen, expected = np.split(sums.astype(np.float64), 2)
+        step = np.log((seen + SMOOTHING) / (expected + SMOOTHING)) / FEATURES
+        parts = np.split(step.astype(np.float32), [self.tables[0].size])
         tables = [t + p.reshape(t.shape) for t, p in zip(self.tables, parts)]
         return Weights(tables, self.class_bias, self.word_bias)
 
@@ -278,30 +285,30 @@ def _row_sums(rows: np.ndarray, places: np.ndarray, starts: np.ndarray, size: np
     return total
 
 
-def _step(
-    table: np.ndarray, squares: np.ndarray, rows: np.ndarray, bias: np.ndarray, own: np.ndarray | None,
-    target: np.ndarray, scratch: Scratch,
-) -> None:
-    """One AdaGrad step of a table towards the targets."""
-    gradient = scratch.rows("gradient", len(rows), table.shape[1])
-    for part, _, powers, sums in _exponentials(table, rows, bias, own):
-        np.multiply(powers, (1 / sums)[:, None], out=gradient[part])
-    gradient[np.arange(len(target)), target] -= 1
-    flat = rows.T.astype(np.uint16).ravel()  # sorted by radix; ROWS fits
-    order = np.argsort(flat, kind="stable")
-    ranked = flat[order]
-    starts = np.concatenate([[0], np.flatnonzero(np.diff(ranked)) + 1])
-    size = np.diff(np.append(starts, len(ranked)))
-    longest = np.argsort(-size, kind="stable")
-    starts, size = starts[longest], size[longest]
-    places = np.tile(np.arange(len(rows), dtype=np.int32), rows.shape[1])[order]
-    total = _row_sums(gradient, places, starts, size, scratch)
-    where = ranked[starts]
-    squares[where] += np.einsum("ij,ij->i", total, total) / total.shape[1]
-    total *= (RATE / np.sqrt(squares[where]))[:, None]
-    moved = np.take(table, where, axis=0, out=scratch.rows("more", len(where), table.shape[1]), mode="clip")
-    moved -= total
-    table[where] = moved
+class Sums:
+    """Both halves of a table's gradient, added up over a task's tokens."""
+
+    def __init__(self, table: np.ndarray) -> None:
+        self.seen, self.expected = np.zeros(table.size), np.zeros(table.shape, np.float32)
+        self.scratch = Scratch()
+
+    def add(
+        self, table: np.ndarray, rows: np.ndarray, bias: np.ndarray, own: np.ndarray | None, target: np.ndarray
+    ) -> None:
+        chances = self.scratch.rows("chances", len(rows), table.shape[1])
+        for part, _, powers, sums in _exponentials(table, rows, bias, own):
+            np.multiply(powers, (1 / sums)[:, None], out=chances[part])
+        flat = rows.T.astype(np.uint16).ravel()  # sorted by radix; ROWS fits
+        order = np.argsort(flat, kind="stable")
+        ranked = flat[order]
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(ranked)) + 1])
+        size = np.diff(np.append(starts, len(ranked)))
+        longest = np.argsort(-size, kind="stable")
+        starts, size = starts[longest], size[longest]
+        places = np.tile(np.arange(len(rows), dtype=np.int32), rows.shape[1])[order]
+        self.expected[ranked[starts]] += _row_sums(chances, places, starts, size, self.scratch)
+        met = (rows * table.shape[1] + target[:, None]).ravel()
+        self.seen += np.bincount(met, minlength=table.size)
 
 
 class Task:
@@ -335,20 +342,21 @@ class Task:
             part = slice(at, at + BATCH)
             yield part, contexts[part], classes[part]
 
-    def learn(self, texts) -> tuple[np.ndarray, int]:
-        """Change of the tables, one after the other, in a pass over the texts, and its tokens."""
-        tables = [t.copy() for t in self.weights.tables]
-        squares, seen, scratch = [np.ones(ROWS, np.float32) for _ in tables], 0, Scratch()
+    def learn(self, texts) -> np.ndarray | None:
+        """What was seen and then what was expected, table after table, in a pass over the texts."""
+        tables = self.weights.tables
+        sums, read = [Sums(t) for t in tables], 0
         for numbers, symbols, starts, _ in self.batches(texts):
             for part, contexts, classes in self.pieces(numbers, symbols, starts):
-                _step(tables[0], squares[0], contexts, self.weights.class_bias, None, classes, scratch)
+                sums[0].add(tables[0], contexts, self.weights.class_bias, None, classes)
                 inside = np.flatnonzero(classes < FREQUENT_CLASSES)
                 if len(inside):
                     own = classes[inside]
                     place = numbers[part][inside] % CLASS_WORDS
-                    _step(tables[1], squares[1], word_rows(contexts[inside], own), self.weights.word_bias, own, place, scratch)
-                seen += len(classes)
-        return np.concatenate([(new - old).ravel() for new, old in zip(tables, self.weights.tables)]), seen
+                    sums[1].add(tables[1], word_rows(contexts[inside], own), self.weights.word_bias, own, place)
+                read += len(classes)
+        parts = [*(s.seen.astype(np.float32) for s in sums), *(s.expected.ravel() for s in sums)]
+        return np.concatenate(parts) if read else None
 
     def logs(self, numbers, symbols, starts) -> np.ndarray:
         """log10 probability of every token; for words not there, log10(count + 1) is lacking."""
@@ -388,19 +396,13 @@ class Model:
     counts: DataFrame
 
 
-def _summed(partial: DataFrame) -> np.ndarray:
-    """Changes (part, size, change as float32 bytes) weighted by size: their mean."""
+def _plain(vocab: Vocabulary, weights: Weights) -> tuple:
+    """Only lists, numbers and arrays: a broadcast is read by workers that lack this package."""
+    return tuple(vars(vocab).values()), tuple(vars(weights).values())
 
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for run in runs(batches, ("part",), ("part", "size", "change")):
-            total = sum(np.frombuffer(c, np.float32).astype(np.float64) * n for c, n in zip(run["change"], run["size"]))
-            mean = (total / max(1, run["size"].sum())).astype(np.float32)
-            yield pd.DataFrame({"part": run["part"][:1], "change": [mean.tobytes()]})
 
-    rows = (
-        partial.repartition(_PARTS, "part").sortWithinPartitions("part", "size", "change").mapInPandas(add, "part int, change binary").collect()
-    )
-    return np.concatenate([np.frombuffer(r["change"], np.float32) for r in sorted(rows, key=lambda r: r["part"])]) if rows else np.zeros(0, np.float32)
+def _task(sent: tuple) -> Task:
+    return Task(Vocabulary(*sent[0]), Weights(*sent[1]))
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS,
@@ -411,19 +413,18 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds:
     vocab = vocabulary(counts, lookup_words)
     weights = Weights.start(vocab)
     for number in range(rounds):
-        sent = spark.sparkContext.broadcast((vocab, weights))
+        sent = spark.sparkContext.broadcast(_plain(vocab, weights))
 
         def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            task = Task(*sent.value)
-            change, size = task.learn(t for batch in batches for t in batch["text"])
-            if size:
-                parts = np.array_split(change, _PARTS)
-                yield pd.DataFrame({"part": range(_PARTS), "size": size, "change": [p.tobytes() for p in parts]})
+            sums = _task(sent.value).learn(t for batch in batches for t in batch["text"])
+            if sums is not None:
+                yield pd.DataFrame({"part": range(_PARTS), "values": [p.tobytes() for p in np.split(sums, _PARTS)]})
 
         part = docs.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(rounds)) == number)
-        change = _summed(part.select(F.col(text_col).alias("text")).mapInPandas(learn, "part int, size long, change binary"))
-        if len(change):
-            weights = weights.moved(change)
+        partial = part.select(F.col(text_col).alias("text")).mapInPandas(learn, "part int, values binary")
+        sums = summed_arrays(partial, "f4", "f8")
+        if len(sums):
+            weights = weights.moved(sums)
         sent.unpersist()
     return Model(vocab, weights, counts)
 
@@ -434,10 +435,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     Null text has one token, the end. With nothing learned every score is that of an empty
     corpus. Repeated rows get equal answers; other columns are not looked at.
     """
-    sent = docs.sparkSession.sparkContext.broadcast((model.vocab, model.weights))
+    sent = docs.sparkSession.sparkContext.broadcast(_plain(model.vocab, model.weights))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        task = Task(*sent.value)
+        task = _task(sent.value)
         for batch in batches:
             found = list(task.score(batch["text"]))
             yield pd.DataFrame(found, columns=["n_tokens", "n_known", "base", "logs", "lacking"]).assign(id=batch["id"].to_numpy())

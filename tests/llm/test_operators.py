@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter
 from hashlib import sha256
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -28,6 +32,7 @@ from telmart.llm import (
     simhash,
     toxicity,
 )
+from telmart.llm.common import bounded_sample
 from telmart.llm.components import connected_components
 from telmart.llm.digests import codec, token_digests
 from telmart.scratch import scratch_path
@@ -295,7 +300,7 @@ def test_language_odd_rows(odd, none, docs):
     found = language_id.identify(odd, profiles).collect()
     und = {r["doc_id"] for r in found if r["lang_pred"] == "und"}
     assert und == {3, 4, 5, 8, None} and all(r["score"] == 0 for r in found if r["lang_pred"] == "und")
-    kept = language_id.keep_identified(odd, profiles)
+    kept = language_id.with_language(odd, profiles)
     assert kept.columns == odd.columns and kept.count() == len(ODD_TEXTS) - 5
     assert language_id.identify(none, profiles).count() == 0
     nothing = language_id.fit_learnable(none)
@@ -308,7 +313,7 @@ def test_letters_of_all_planes_count(spark, odd, docs):
     cases = ["\U00020000\U00020001", "\U00010330\U00010331", "\U0001d400", "\U0001f600 12", "a", "", None]
     frame = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
     for profiles in (language_id.fit_learnable(docs), language_id.fit_learnable(odd.limit(0))):
-        kept = language_id.keep_identified(frame, profiles)
+        kept = language_id.with_language(frame, profiles)
         assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 4]
     found = language_id.identify(frame, language_id.fit_learnable(docs))
     assert {r["doc_id"] for r in found.collect() if r["lang_pred"] == "und"} == {3, 5, 6}
@@ -578,7 +583,7 @@ def test_lm_context_reaches_three_words_back():
 
 
 @pytest.mark.parametrize("shift", [0, 500])
-def test_lm_step_equals_plain_gradient(shift):
+def test_lm_sums_equal_plain_gradient(shift):
     draw = np.random.default_rng(1)
     table = draw.standard_normal((maxent_lm.ROWS, 8)).astype(np.float32) + np.float32(shift)
     rows, target = draw.zipf(1.2, (3_000, 3)) % 50, draw.integers(0, 8, 3_000)
@@ -588,11 +593,103 @@ def test_lm_step_equals_plain_gradient(shift):
     chance /= chance.sum(axis=1, keepdims=True)
     found = maxent_lm._chances(table, rows, bias, own, target)
     assert found == pytest.approx(np.maximum(np.log10(chance[np.arange(3_000), target]), -30), abs=1e-3)
-    chance[np.arange(3_000), target] -= 1
-    total = np.zeros(table.shape)
+    want = np.zeros((2, *table.shape))
     for k in range(3):
-        np.add.at(total, rows[:, k], chance)
-    want = table - total * (maxent_lm.RATE / np.sqrt(1 + (total**2).mean(axis=1)))[:, None]
-    squares = np.ones(maxent_lm.ROWS, np.float32)
-    maxent_lm._step(table, squares, rows, bias, own, target, maxent_lm.Scratch())
-    assert np.abs(table - want).max() < 2e-3
+        np.add.at(want[0], (rows[:, k], target), 1)
+        np.add.at(want[1], rows[:, k], chance)
+    sums = maxent_lm.Sums(table)
+    for part in np.array_split(np.arange(3_000), 4):
+        sums.add(table, rows[part], bias, own[part], target[part])
+    assert (sums.seen.reshape(table.shape) == want[0]).all()
+    assert np.abs(sums.expected - want[1]).max() < 2e-2 and np.abs(sums.expected - want[1]).mean() < 1e-4
+
+
+def test_lm_does_not_depend_on_the_number_of_tasks(docs):
+    learned, found = maxent_lm.learnable_docs(docs), []
+    for parts in (1, 4, 32):
+        model = maxent_lm.fit(learned.repartition(parts))
+        rows = maxent_lm.score(docs, model).orderBy("doc_id").collect()
+        held = [r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2]
+        tokens = sum(r["n_tokens"] for r in held)
+        assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held) + 0.05 * tokens
+        found.append(np.array([r["score"] / r["n_tokens"] for r in rows]))
+    assert max(np.abs(found[0] - other).max() for other in found[1:]) < 1e-3
+
+
+def test_lm_runs_where_workers_lack_the_package(tmp_path):
+    """In another folder and without PYTHONPATH only the driver finds the package."""
+    script = tmp_path / "run.py"
+    script.write_text(f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parents[2])!r})
+from telmart.session import get_spark
+from telmart.llm import maxent_lm
+spark = get_spark("away", "local[2]", {{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2",
+    "spark.checkpoint.dir": {str(tmp_path / "shared")!r}}}, "ERROR")
+docs = spark.createDataFrame([(i, "one two three two one") for i in range(20)], "doc_id long, text string")
+print("rows", maxent_lm.score(docs, maxent_lm.fit(docs)).count())
+""")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH" and not k.startswith(("SPARK", "PYSPARK"))}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 20" in done.stdout, done.stderr[-2000:]
+
+
+# Names and samples
+
+
+def test_clashing_names_are_carried(spark, docs):
+    names = ["__hash", "__piece", "__code", "__size", "__l", "__number", "__copies", "__part", "__row", "row", "id", "code", "answer", "number", "copies", "others"]
+    frame = spark.createDataFrame(
+        [(1, "one two three", "s", "en"), (2, "one two three", "s", "en"), (3, "four five six", "t", "de")],
+        "doc_id long, text string, source string, lang string",
+    ).select("*", *[F.lit(f"mine {n}").alias(n) for n in names])
+    profiles = language_id.fit_learnable(docs)
+    for kept in (
+        language_id.with_language(frame, profiles), exact_dedup.drop_duplicates(frame),
+        simhash.drop_near_duplicates(frame), mixing.mix(frame),
+    ):
+        assert kept.columns == frame.columns
+        rows = kept.collect()
+        assert rows and all(r[n] == f"mine {n}" for r in rows for n in names)
+    marked = exact_dedup.mark_duplicates(frame, carry=["__hash", "row"]).collect()
+    assert {(r["__hash"], r["row"]) for r in marked} == {("mine __hash", "mine row")}
+    assert len(mixing.mix_report(frame).collect()) == 3
+
+
+def test_samples_stay_bounded_when_ids_do_not_tell_rows_apart(spark):
+    rows = spark.range(3_000).selectExpr(
+        "case when id < 1000 then null when id < 2000 then 7 else id end as doc_id", "cast(id as string) as text"
+    )
+    sample = bounded_sample(rows, "doc_id", 300)
+    ids = [r["doc_id"] for r in sample.collect()]
+    assert 0 < len(ids) < 400 and len(ids) == len(set(ids)) and None not in ids
+    assert bounded_sample(rows, "doc_id", 3_000).count() == 3_000
+
+
+def plain_vector(text, dimensions=language_id.DIMENSIONS):
+    letters = np.random.default_rng(language_id.SEED).choice([-1, 1], (language_id.SLOTS, dimensions))
+    slots = language_id._slot_table()
+    row = [0, *(int(slots[ord(c)]) for c in text.lower()), 0]
+    grams = Counter(g for g in zip(row, row[1:], row[2:]) if any(g))
+    total = sum(math.sqrt(n) * np.roll(letters[a], 2) * np.roll(letters[b], 1) * letters[c] for (a, b, c), n in grams.items())
+    return total / np.linalg.norm(total)
+
+
+def test_vectors_are_bound_and_bundled_trigrams(monkeypatch, texts):
+    encoder = language_id.Encoder()
+    some = [t for t in texts.values() if t][:5] + ["a", "Ünï 日本 x"]
+    for text in some:
+        assert np.abs(encoder.vector(text) - plain_vector(text)).max() < 1e-5
+    short = [encoder.vector(t) for t in some]
+    monkeypatch.setattr(language_id, "_SHORT", 0)
+    assert all((encoder.vector(t) == v).all() for t, v in zip(some, short))
+
+
+def test_the_prediction_becomes_the_language(docs):
+    profiles = language_id.fit_learnable(docs)
+    turned = language_id.Profiles(profiles.languages[::-1], profiles.shared, profiles.prototypes)
+    mine = {r["doc_id"]: r["lang"] for r in language_id.with_language(docs, profiles).collect()}
+    other = {r["doc_id"]: r["lang"] for r in language_id.with_language(docs, turned).collect()}
+    found = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(docs, profiles).collect()}
+    swap = dict(zip(profiles.languages, profiles.languages[::-1]))
+    assert all(mine[i] == found[i] and other[i] == swap[found[i]] for i in mine)
