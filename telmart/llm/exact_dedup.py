@@ -7,7 +7,8 @@ a row go on to the next, exact level.
 
 Null text counts as empty. A group's answer is the largest id in it; null ids are smaller
 than any other. Rows that repeat an id and its text are one document: they all count
-towards the group's size and get the same answer. Other columns are not looked at; names that start with two underscores are taken.
+towards the group's size and get the same answer. Other columns are carried as one struct
+and not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -87,21 +88,26 @@ def mark_duplicates(
     Only ids, hashes and the carried columns are shuffled. Groups are counted before the
     shuffle; the join back is one that adaptive execution splits where a group is large.
     """
-    rows = with_full_hash(docs, text_col, prefix_chars, filter_bits).select(id_col, *carry, "__hash")
+    held = docs.select(
+        docs[f"`{id_col}`"].alias("id"),
+        docs[f"`{text_col}`"].alias("text"),
+        *[docs[f"`{c}`"].alias(f"carried_{k}") for k, c in enumerate(carry)],
+    )
+    rows = with_full_hash(held, "text", prefix_chars, filter_bits).drop("text")
     groups = (
         rows.where("__hash is not null")
         .groupBy("__hash")
-        .agg(F.max(id_col).alias("__keep"), F.count(F.lit(1)).alias("__size"))
-        .where("__size > 1")
+        .agg(F.max("id").alias("keep"), F.count(F.lit(1)).alias("size"))
+        .where("size > 1")
     )
     # Rows that are alone have no hash; a key of their own keeps them off a common task.
     alone = F.xxhash64(F.monotonically_increasing_id()).cast("string")
     return rows.withColumn("__hash", F.coalesce("__hash", alone)).join(groups, "__hash", "left").select(
-        id_col,
-        *carry,
-        F.coalesce("__keep", id_col).alias("keep_id"),
-        F.coalesce("__size", F.lit(1)).cast("long").alias("group_size"),
-        F.coalesce(F.col("__keep").isNull() | (F.col("__keep") == F.col(id_col)), F.lit(False)).alias("kept"),
+        F.col("id").alias(id_col),
+        *[F.col(f"carried_{k}").alias(c) for k, c in enumerate(carry)],
+        F.coalesce("keep", "id").alias("keep_id"),
+        F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
+        F.coalesce(F.col("keep").isNull() | (F.col("keep") == F.col("id")), F.lit(False)).alias("kept"),
     )
 
 
@@ -117,13 +123,18 @@ def drop_duplicates(
     Of rows that repeat the id, the one whose other columns sort last stays. Rows whose
     text is certainly alone pass unshuffled; of the rest each task first keeps one row a text.
     """
-    hashed = with_full_hash(docs, text_col, prefix_chars, filter_bits)
-    row = F.struct(*columns(docs))
-    others = [F.to_json(F.struct(columns(docs.drop(id_col, text_col))))] if len(docs.columns) > 2 else []
+    other = [docs[f"`{c}`"] for c in docs.columns if c not in (id_col, text_col)]
+    held = docs.select(
+        docs[f"`{id_col}`"].alias("id"),
+        docs[f"`{text_col}`"].alias("text"),
+        (F.to_json(F.struct(*other)) if other else F.lit("")).alias("others"),
+        F.struct(*columns(docs)).alias("row"),
+    )
+    hashed = with_full_hash(held, "text", prefix_chars, filter_bits)
     best = (
         hashed.where("__hash is not null")
         .groupBy("__hash")
-        .agg(F.max_by(row, F.struct(F.col(id_col), *others)).alias("__row"))
-        .select("__row.*")
+        .agg(F.max_by("row", F.struct("id", "others")).alias("row"))
+        .select("row.*")
     )
-    return hashed.where("__hash is null").select(*columns(docs)).unionAll(best)
+    return hashed.where("__hash is null").select("row.*").unionAll(best)

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telmart.llm.common import bounded_sample, learnable
+from telmart.llm.common import bounded_sample, columns, learnable
 
 DIMENSIONS = 1024
 SLOTS = 64
@@ -31,6 +31,7 @@ SAMPLE_ROWS = 8_000  # labelled documents that prototypes are learned from, at m
 UNKNOWN = "und"
 SEED = 20_240_601
 _PIECE = 1 << 20  # characters counted at once
+_SHORT = 1 << 15  # characters up to which trigrams are sorted
 
 
 def _slot_table() -> np.ndarray:
@@ -70,19 +71,34 @@ class Encoder:
         total[0] = 0
         return total
 
+    def grams(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """The trigrams of a text and their counts, as ``counts`` has them.
+
+        A table of all trigrams costs more than a short text does; that one is sorted.
+        """
+        if len(text) > _SHORT:
+            counts = self.counts(text)
+            found = np.flatnonzero(counts)
+            return found, counts[found]
+        codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+        slots = np.zeros(len(codes) + 2, np.int32)
+        slots[1:-1] = self.slots[codes]
+        found, counts = np.unique((slots[:-2] * SLOTS + slots[1:-1]) * SLOTS + slots[2:], return_counts=True)
+        return (found[1:], counts[1:]) if len(found) and not found[0] else (found, counts)
+
     def vector(self, text: str | None) -> np.ndarray | None:
         """The text's unit vector; None without a letter."""
         if not text:
             return None
-        counts = self.counts(text)
-        grams = np.flatnonzero(counts)
+        grams, counts = self.grams(text)
         if not len(grams):
             return None
         total = np.zeros(self.dimensions, np.float32)
         for start in range(0, len(grams), 4096):
             part = grams[start : start + 4096]
             bound = self.pairs[part // SLOTS] * self.third[part % SLOTS]
-            total += np.sqrt(counts[part]).astype(np.float32) @ bound.astype(np.float32)
+            weight = np.sqrt(counts[start : start + 4096]).astype(np.float32)
+            total += weight @ bound.astype(np.float32)
         norm = np.linalg.norm(total)
         return total / norm if norm else None
 
@@ -150,7 +166,7 @@ def language(text: Column, profiles: Profiles) -> Column:
         for texts in batches:
             vectors = [encoder.vector(t) for t in texts]
             # A sum of vectors could cancel out, so None doesn't yet say that there is no letter.
-            letters = [v is not None or bool(encoder.counts(t or "").any()) for v, t in zip(vectors, texts)]
+            letters = [v is not None or bool(len(encoder.grams(t or "")[0])) for v, t in zip(vectors, texts)]
             found = [(*profiles.predict(v), letter) for v, letter in zip(vectors, letters)]
             yield pd.DataFrame(found, columns=["lang_pred", "score", "has_letter"])
 
@@ -164,8 +180,10 @@ def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_c
     Equal cosines go to the language first in code-point order. Only the text is an input;
     repeated rows get equal answers, and other columns are not looked at.
     """
-    answer = language(F.col(text_col), profiles)
-    return docs.select(id_col, answer.alias("__l")).select(id_col, "__l.lang_pred", "__l.score")
+    found = docs.select(
+        docs[f"`{id_col}`"].alias("id"), language(docs[f"`{text_col}`"], profiles).alias("answer")
+    )
+    return found.select(F.col("id").alias(id_col), "answer.lang_pred", "answer.score")
 
 
 def fit_learnable(docs: DataFrame) -> Profiles:
@@ -173,7 +191,20 @@ def fit_learnable(docs: DataFrame) -> Profiles:
     return fit(docs.where(learnable()))
 
 
-def keep_identified(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
-    """``docs`` without null texts and texts without a letter, also where nothing was learned."""
-    answer = docs.withColumn("__l", language(F.col(text_col), profiles))
-    return answer.where("__l.has_letter").drop("__l")
+def with_language(
+    docs: DataFrame, profiles: Profiles, text_col: str = "text", lang_col: str = "lang"
+) -> DataFrame:
+    """``docs`` with the predicted language in ``lang_col``, without texts that have none.
+
+    The prediction replaces what was there, so a document whose label is missing or wrong
+    gets the language of its text. Null texts and texts without a letter go; where nothing was learned, the others stay as
+    ``und``. All columns keep their places; the others are carried as one struct, whatever their names.
+    """
+    held = docs.select(F.struct(*columns(docs)).alias("row"), language(docs[f"`{text_col}`"], profiles).alias("answer"))
+    kept = held.where("answer.has_letter")
+    return kept.select(
+        *[
+            F.col("answer.lang_pred").alias(c) if c == lang_col else F.col("row").getField(c).alias(c)
+            for c in docs.columns
+        ]
+    )

@@ -17,8 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from telmart.llm.common import stored
-from telmart.operators.position import with_position
+from telmart.llm.common import columns, stored
+from telmart.llm.ranking import ranked
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -71,29 +71,29 @@ def source_targets(
 
 
 def with_copies(
-    sized: DataFrame, id_col: str, weights: Sequence[int] = WEIGHTS, max_repeats: int = MAX_REPEATS
+    sized: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats: int = MAX_REPEATS
 ) -> DataFrame:
-    """Rows (id, source, size, ...) with copies, source_size and target.
+    """Rows (id, source, size, number) with copies, source_size and target.
 
     Rows are range-partitioned by source, size and id, so a large source spreads over
-    tasks; ranks within a source are positions less the source's first one.
+    tasks; ranks within a source are positions less the source's first one. The number, one
+    of each row's own, tells equal rows apart.
     """
     targets = stored(source_targets(sized, weights, max_repeats), "targets")
-    placed = with_position(
-        sized.withColumn("__last", F.col("source").isNull()), "__at", ["__last", "source", "size", id_col]
-    )
-    first = placed.groupBy("source").agg(F.min("__at").alias("__first"))
+    order = [F.col("source").isNull(), F.col("source"), F.col("size"), F.col("id"), F.col("number")]
+    placed = ranked(sized.select("id", "source", "size", "number"), order, "at")
+    first = placed.groupBy("source").agg(F.min("at").alias("first"))
     per_source = targets.join(first, targets["source"].eqNullSafe(first["source"])).select(
-        targets["source"].alias("__source"), "source_size", "target", "rate", "offset", "__first"
+        targets["source"].alias("of"), "source_size", "target", "rate", "offset", "first"
     )
-    rank = F.col("__at") - F.col("__first") + 1
+    rank = F.col("at") - F.col("first") + 1
     copies = F.floor(rank * F.col("rate") + F.col("offset")) - F.floor(
         (rank - 1) * F.col("rate") + F.col("offset")
     )
     return (
-        placed.join(per_source, placed["source"].eqNullSafe(per_source["__source"]))
+        placed.join(per_source, placed["source"].eqNullSafe(per_source["of"]))
         .withColumn("copies", copies)
-        .drop("__at", "__first", "__last", "__source", "rate", "offset")
+        .drop("at", "first", "of", "rate", "offset")
     )
 
 
@@ -113,12 +113,15 @@ def mix_report(
     """
     sized = stored(
         docs.select(
-            F.col(id_col), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
+            docs[f"`{id_col}`"].alias("id"),
+            docs[f"`{source_col}`"].alias("source"),
+            word_count(docs[f"`{text_col}`"]).alias("size"),
+            F.monotonically_increasing_id().alias("number"),
         ),
         "sizes",
     )
-    return with_copies(sized, id_col, weights, max_repeats).select(
-        id_col,
+    return with_copies(sized, weights, max_repeats).select(
+        F.col("id").alias(id_col),
         "size",
         "source_size",
         "target",
@@ -138,16 +141,24 @@ def mix(
     """``docs`` with every row as often as the mix takes it; mix_report says what odd values do.
 
     The rows are stored with a number of their own, so only that number, the id, the
-    source and the size go through the ranking. Names with two leading underscores are taken.
+    source and the size go through the ranking. Other columns are carried as one struct,
+    whatever their names.
     """
     numbered = stored(
-        docs.withColumn("__number", F.monotonically_increasing_id()).withColumn("__size", word_count(F.col(text_col))),
+        docs.select(
+            F.struct(*columns(docs)).alias("row"),
+            docs[f"`{id_col}`"].alias("id"),
+            docs[f"`{source_col}`"].alias("source"),
+            word_count(docs[f"`{text_col}`"]).alias("size"),
+            F.monotonically_increasing_id().alias("number"),
+        ),
         "numbered",
     )
-    sized = numbered.select("__number", F.col(id_col), F.col(source_col).alias("source"), F.col("__size").alias("size"))
-    taken = with_copies(sized, id_col, weights, max_repeats).where("copies > 0").select("__number", F.col("copies").alias("__copies"))
+    sized = numbered.select("id", "source", "size", "number")
+    taken = with_copies(sized, weights, max_repeats).where("copies > 0").select("number", "copies")
     return (
-        numbered.join(taken, "__number")
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
-        .drop("__number", "__size", "__copies", "__copy")
+        numbered.select("number", "row")
+        .join(taken, "number")
+        .select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+        .select("row.*")
     )

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from telmart.llm.common import runs, stored, words
+from telmart.llm.common import columns, runs, stored, words
 from telmart.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -214,13 +214,17 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``docs`` with one document of each group, the one with the smallest id.
 
     Rows that repeat that id stay together; rows without id stay only where their whole
-    group has none. Names that start with two underscores are taken.
+    group has none. Other columns are carried as one struct, whatever their names.
     """
-    coded = stored(docs.withColumn("__code", fingerprint(F.col(text_col))), "fingerprints")
-    groups = near_groups(classes_of(coded.select(F.col("__code").alias("code"), id_col), id_col))
+    held = docs.select(
+        F.struct(*columns(docs)).alias("row"),
+        docs[f"`{id_col}`"].alias("id"),
+        fingerprint(docs[f"`{text_col}`"]).alias("code"),
+    )
+    coded = stored(held, "fingerprints")
+    groups = near_groups(classes_of(coded.select("code", "id"), "id"))
     several = groups.where("group_size > 1").select(
-        F.col("code").alias("__code"), F.col("component_id").alias("__first"), F.lit(True).alias("__several")
+        "code", F.col("component_id").alias("first"), F.lit(True).alias("several")
     )
-    joined = coded.join(several, "__code", "left")
-    keep = F.col("__several").isNull() | F.col("__first").eqNullSafe(F.col(id_col))
-    return joined.where(keep).drop("__code", "__first", "__several")
+    keep = F.col("several").isNull() | F.col("first").eqNullSafe(F.col("id"))
+    return coded.join(several, "code", "left").where(keep).select("row.*")
