@@ -23,8 +23,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without any language (null texts, texts without a letter); change nothing else."""
-    return language_id.keep_identified(docs, language_id.fit_learnable(docs))
+    """Put the predicted language into ``lang``; documents without any (null texts, texts without a letter) go."""
+    return language_id.with_language(docs, language_id.fit_learnable(docs))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
