@@ -12,7 +12,14 @@ from pyspark.sql import functions as F
 from telmart.functions.keys import KEY_NAME, MINUTE_OF_DAY
 from telmart.operators.aggregates import partial_measures
 from telmart.operators.scd import scd2_merge
-from telmart.plans.dims import DIM_MODELS, build_dim, build_dim_date, build_dim_time
+from telmart.plans.dims import (
+    DIM_MODELS,
+    build_device_seed,
+    build_dim,
+    build_dim_date,
+    build_dim_time,
+    build_user_seed,
+)
 from telmart.plans.facts import EVENT_DAY, FACT_MODELS, build_fact, with_event_day
 from telmart.plans.silver import SILVER_MODELS, normalise, validate, with_partition_day
 from telmart.schemas import EVENT_TYPES
@@ -186,6 +193,61 @@ def load_seed_dims(
     return run_steps(spark, {f"seed_{n}": lambda n=n: load(n) for n in paths}, on_error)
 
 
+def load_masters(
+    spark: SparkSession,
+    layout: Layout,
+    paths: Mapping[str, str],
+    on_error: str = RAISE,
+    multi_line: bool = True,
+) -> DataFrame:
+    """Build the user and device seeds from their masters; ``paths`` maps 'user', 'device' to files.
+
+    The seed tables are replaced, as ``load_seed_dims`` replaces them.
+    """
+    builders = {"user": build_user_seed, "device": build_device_seed}
+    unknown = [n for n in paths if n not in builders]
+    if unknown:
+        raise ValueError(f"there is no master for {unknown}; there are {sorted(builders)}")
+
+    def load(name: str) -> None:
+        table = f"seed_{name}"
+        rows = builders[name](read_seed(spark, paths[name], f"raw_{name}", multi_line))
+        write_table(rows, layout.table(table), OVERWRITE, (), layout.table_format, layout.path(table))
+
+    return run_steps(spark, {f"seed_{n}": lambda n=n: load(n) for n in paths}, on_error)
+
+
+def purge_runs(
+    spark: SparkSession,
+    layout: Layout,
+    run_ids: Sequence[str],
+    event_types: Sequence[str] = EVENT_TYPES,
+    dates: Sequence[str] | None = None,
+    hours: Sequence[str] | None = None,
+    on_error: str = RAISE,
+) -> DataFrame:
+    """Archive and delete the raw files that some runs have stored, optionally of some days and hours only.
+
+    Only the archive partitions of those runs are read; files of other runs, and files written
+    anew since, stay.
+    """
+
+    def purge(event_type: str) -> None:
+        table = f"{SILVER_MODELS[event_type].table}_archive"
+        rows = read_table(spark, layout.table(table))
+        if rows is None:
+            raise LookupError(f"archive {table} is missing")
+        files = run_manifest(rows.filter(F.col("run_id").isin(list(run_ids))))
+        if dates:
+            files = files.filter(F.col("event_date").isin(list(dates)))
+        if hours:
+            files = files.filter(F.col("event_hour").isin(list(hours)))
+        archive_files(archived_location(files, layout.raw_archive_root(), event_type, min(run_ids)[:8]))
+        purge_bronze(files)
+
+    return run_steps(spark, {t: lambda t=t: purge(t) for t in event_types}, on_error)
+
+
 def build_dims(
     spark: SparkSession,
     layout: Layout,
