@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 CHUNK_CHARS = 1 << 15
 OVERLAP_CHARS = 1 << 10
+_CHUNKS = 64  # of a long text that are handed on at once
 _ROWS = 256  # encoded before they are handed on
 _UNSURE = 4  # characters at the end of a chunk whose boundaries are not trusted
 
@@ -84,14 +85,21 @@ def long_pieces(
     The pieces of a text, in order, make up the text; encoded one by one they give the
     ids of the whole.
     """
-    text = F.col(text_col)
-    last = F.floor((F.length(text) - 1) / chunk_chars).cast("int")
-    chunks = docs.select(
-        F.col(key_col).alias("key"), text.alias("whole"), F.explode(F.sequence(F.lit(0), last)).alias("k")
-    ).select(
-        "key", "k",
-        F.substring("whole", F.col("k") * chunk_chars + 1, F.lit(chunk_chars + overlap_chars)).alias("chunk"),
-    )
+    kind = docs.schema[key_col].dataType.simpleString()
+    texts = docs.select(F.col(key_col).alias("key"), F.col(text_col).alias("text"))
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # One pass over a text, a few chunks handed on at a time: a substring expression would
+        # walk from the text's start to every chunk.
+        for batch in batches:
+            for key, text in zip(batch["key"], batch["text"]):
+                starts = range(0, len(text), chunk_chars)
+                for first in range(0, len(starts), _CHUNKS):
+                    some = starts[first : first + _CHUNKS]
+                    parts = [text[at : at + chunk_chars + overlap_chars] for at in some]
+                    yield pd.DataFrame({"key": key, "k": range(first, first + len(some)), "chunk": parts})
+
+    chunks = texts.mapInPandas(cut, f"key {kind}, k int, chunk string")
 
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
