@@ -526,6 +526,9 @@ ORACLES: dict[str, str] = {
             (select count(*) from events where event_id % 10 = 0) as n_rejected
         from events group by 1""",
     "seed_cell_site": DIM_CELL_SITE,
+    "seed_user": DIM_USER,
+    "seed_device": DIM_DEVICE,
+    "seed_agent": DIM_AGENT,
     "seed_any_layout": DIM_CELL_SITE,
     "catalog_table": """
         select o_orderstatus, 2 * count(*) as n_rows, cast(2 * sum(o_orderkey) as bigint) as sum_key
@@ -629,6 +632,22 @@ ORACLES: dict[str, str] = {
         for t in ("orders", "lineitem", "customer")
     ),
     "sample_rows": "select least(count(*), 5) as n_rows from orders",
+    "stream_parse_all_types": " union all ".join(
+        f'select event_type, sid, "timestamp", {key} as key from ({FLAT[kind]})'
+        for kind, key in (
+            ("call", "from_phone_number"), ("sms", "from_phone_number"), ("payment", "customer"),
+            ("recharge", "customer"), ("support", "customer"),
+        )
+    ),
+    "schema_drift_all_types": """
+        select distinct event_type, column_name, drift
+        from (select 1 from lineitem limit 1), (select 1 from orders limit 1), (select 1 from events limit 1), (values
+            ('call', 'phone_number', 'unexpected'), ('call', 'customer', 'unexpected'),
+            ('call', 'qos_metrics', 'unexpected'), ('sms', 'customer_id', 'missing'),
+            ('recharge', 'from', 'missing'), ('recharge', 'to', 'missing'), ('recharge', 'body', 'missing'),
+            ('recharge', 'requires_followup', 'missing'), ('recharge', 'seasonal_multiplier', 'missing'),
+            ('recharge', 'balance_before', 'unexpected'), ('recharge', 'balance_after', 'unexpected'),
+            ('recharge', 'payment_method', 'unexpected')) v(event_type, column_name, drift)""",
     "schema_drift": """
         select distinct 'payment' as event_type, column_name, drift from orders,
             (values ('invoice_number', 'missing'), ('new_field', 'unexpected')) v(column_name, drift)""",

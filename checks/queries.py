@@ -325,6 +325,17 @@ def seed_cell_site(spark: SparkSession, sf: str) -> DataFrame:
     return build_dim(read_seed(spark, path, "cell_site", multi_line=False), "cell_site")
 
 
+def _seed_dim(name: str, rows: Callable[[SparkSession, str], DataFrame]) -> Query:
+    """A seed written as JSON and read back by the default, as its dimension."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        path = scratch_path(spark, "seed")
+        rows(spark, sf).write.json(path)
+        return build_dim(read_seed(spark, path, name), name)
+
+    return query
+
+
 def seed_any_layout(spark: SparkSession, sf: str) -> DataFrame:
     """The cell sites as JSON lines and as arrays side by side, read by the default."""
     root = scratch_path(spark, "seed")
@@ -416,6 +427,17 @@ def stream_parse(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def stream_parse_all(spark: SparkSession, sf: str) -> DataFrame:
+    """One message stream of all types: each parsed by its own schema, with its messages' keys."""
+    texts = [b.RAW_EVENTS[t](spark, sf).select(F.to_json(F.struct("*")).alias("value")) for t in b.RAW_EVENTS]
+    messages = reduce(DataFrame.unionAll, texts)
+    parts = []
+    for event_type in b.RAW_EVENTS:
+        events = parse_events(messages, event_type)
+        parts.append(events.select("event_type", "sid", "timestamp", message_key(events).alias("key")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # --- shape and quality ------------------------------------------------------------
 
 
@@ -599,6 +621,15 @@ def schema_drift(spark: SparkSession, sf: str) -> DataFrame:
     return drift_report(observed_fields(lines), "payment")
 
 
+def schema_drift_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields found in the events of every type against its contract."""
+    reports = []
+    for event_type, raw in b.RAW_EVENTS.items():
+        lines = raw(spark, sf).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+        reports.append(drift_report(observed_fields(lines), event_type))
+    return reduce(DataFrame.unionByName, reports)
+
+
 # --- dimensions -------------------------------------------------------------------
 
 
@@ -1140,12 +1171,16 @@ QUERIES: dict[str, Query] = {
     "silver_malformed_first_line": silver_malformed_first_line,
     "bronze_scan_one_day": bronze_scan_one_day,
     "seed_cell_site": seed_cell_site,
+    "seed_user": _seed_dim("user", b.seed_users),
+    "seed_device": _seed_dim("device", b.seed_devices),
+    "seed_agent": _seed_dim("agent", b.seed_agents),
     "seed_any_layout": seed_any_layout,
     "catalog_table": catalog_table,
     "partition_overwrite": partition_overwrite,
     "sql_view": sql_view,
     "stream_landing": stream_landing,
     "stream_parse": stream_parse,
+    "stream_parse_all_types": stream_parse_all,
     **{f"silver_{n}": silver_query(t) for n, t in SILVER_EVENT.items()},
     **{f"fact_{n}": fact_query(n) for n in SILVER_EVENT},
     "fact_calls_legacy_keys": fact_query(
@@ -1170,6 +1205,7 @@ QUERIES: dict[str, Query] = {
     "profile_tables": profile_tables,
     "sample_rows": sample_rows,
     "schema_drift": schema_drift,
+    "schema_drift_all_types": schema_drift_all,
     "dim_user": dim_user,
     "dim_device": dim_device,
     "dim_cell_site": dim_cell_site,
