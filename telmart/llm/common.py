@@ -23,6 +23,14 @@ def columns(df: DataFrame) -> list[Column]:
     return [df["`" + name.replace("`", "``") + "`"] for name in df.columns]
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table below the shared folder and read it back.
 

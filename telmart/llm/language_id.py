@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telmart.llm.common import bounded_sample, columns, learnable
+from telmart.llm.common import bounded_sample, free_name, learnable
 
 DIMENSIONS = 1024
 SLOTS = 64
@@ -197,14 +197,15 @@ def with_language(
     """``docs`` with the predicted language in ``lang_col``, without texts that have none.
 
     The prediction replaces what was there, so a document whose label is missing or wrong
-    gets the language of its text. Null texts and texts without a letter go; where nothing was learned, the others stay as
-    ``und``. All columns keep their places; the others are carried as one struct, whatever their names.
+    gets the language of its text. Null texts and texts without a letter go; where nothing was
+    learned, the others stay as ``und``. All columns keep their names and places.
     """
-    held = docs.select(F.struct(*columns(docs)).alias("row"), language(docs[f"`{text_col}`"], profiles).alias("answer"))
-    kept = held.where("answer.has_letter")
+    answer = free_name(docs, "answer")
+    found = docs.withColumn(answer, language(docs[f"`{text_col}`"], profiles))
+    kept = found.where(found[answer].getField("has_letter"))
     return kept.select(
         *[
-            F.col("answer.lang_pred").alias(c) if c == lang_col else F.col("row").getField(c).alias(c)
+            kept[answer].getField("lang_pred").alias(c) if c == lang_col else kept["`" + c.replace("`", "``") + "`"]
             for c in docs.columns
         ]
     )

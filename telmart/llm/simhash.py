@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from telmart.llm.common import columns, runs, stored, words
+from telmart.llm.common import columns, free_name, runs, stored, words
 from telmart.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -214,17 +214,13 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``docs`` with one document of each group, the one with the smallest id.
 
     Rows that repeat that id stay together; rows without id stay only where their whole
-    group has none. Other columns are carried as one struct, whatever their names.
+    group has none. All columns keep their names and places.
     """
-    held = docs.select(
-        F.struct(*columns(docs)).alias("row"),
-        docs[f"`{id_col}`"].alias("id"),
-        fingerprint(docs[f"`{text_col}`"]).alias("code"),
-    )
-    coded = stored(held, "fingerprints")
-    groups = near_groups(classes_of(coded.select("code", "id"), "id"))
-    several = groups.where("group_size > 1").select(
-        "code", F.col("component_id").alias("first"), F.lit(True).alias("several")
-    )
-    keep = F.col("several").isNull() | F.col("first").eqNullSafe(F.col("id"))
-    return coded.join(several, "code", "left").where(keep).select("row.*")
+    code = free_name(docs, "code")
+    coded = stored(docs.withColumn(code, fingerprint(docs[f"`{text_col}`"])), "fingerprints")
+    ids = coded.select(coded[code].alias("code"), coded[f"`{id_col}`"].alias("id"))
+    groups = near_groups(classes_of(ids, "id"))
+    several = groups.where("group_size > 1").select(F.struct("code", "component_id").alias("several"))
+    joined = coded.join(several, coded[code] == several["several.code"], "left")
+    keep = several["several"].isNull() | several["several.component_id"].eqNullSafe(coded[f"`{id_col}`"])
+    return joined.where(keep).select(*columns(coded)[:-1])
