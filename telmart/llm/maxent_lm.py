@@ -56,6 +56,7 @@ END = b"\n"  # never a word
 _PARTS = 128  # pieces in which sums are added up
 _BLOCK = 1 << 10  # tokens whose logits are worked on at once
 _SHORT = 16  # rows up to which runs are summed side by side
+_TOGETHER = 32  # pieces whose features are counted at once
 _COUNTED = 1 << 18  # distinct words a task holds before it hands them on
 
 
@@ -289,8 +290,8 @@ class Sums:
     """Both halves of a table's gradient, added up over a task's tokens."""
 
     def __init__(self, table: np.ndarray) -> None:
-        self.seen, self.expected = np.zeros(table.size), np.zeros(table.shape, np.float32)
-        self.scratch = Scratch()
+        self.counts, self.expected = np.zeros(table.size), np.zeros(table.shape, np.float32)
+        self.scratch, self.met = Scratch(), []
 
     def add(
         self, table: np.ndarray, rows: np.ndarray, bias: np.ndarray, own: np.ndarray | None, target: np.ndarray
@@ -307,8 +308,16 @@ class Sums:
         starts, size = starts[longest], size[longest]
         places = np.tile(np.arange(len(rows), dtype=np.int32), rows.shape[1])[order]
         self.expected[ranked[starts]] += _row_sums(chances, places, starts, size, self.scratch)
-        met = (rows * table.shape[1] + target[:, None]).ravel()
-        self.seen += np.bincount(met, minlength=table.size)
+        self.met.append((rows * table.shape[1] + target[:, None]).ravel())
+        if len(self.met) >= _TOGETHER:
+            self.seen()
+
+    def seen(self) -> np.ndarray:
+        """How often each feature was seen with each target; counted for many pieces at once."""
+        if self.met:
+            self.counts += np.bincount(np.concatenate(self.met), minlength=len(self.counts))
+            self.met = []
+        return self.counts
 
 
 class Task:
@@ -355,7 +364,7 @@ class Task:
                     place = numbers[part][inside] % CLASS_WORDS
                     sums[1].add(tables[1], word_rows(contexts[inside], own), self.weights.word_bias, own, place)
                 read += len(classes)
-        parts = [*(s.seen.astype(np.float32) for s in sums), *(s.expected.ravel() for s in sums)]
+        parts = [*(s.seen().astype(np.float32) for s in sums), *(s.expected.ravel() for s in sums)]
         return np.concatenate(parts) if read else None
 
     def logs(self, numbers, symbols, starts) -> np.ndarray:

@@ -227,6 +227,13 @@ def test_bpe_chunks_change_nothing(spark, texts, encoding, chunk, overlap):
         assert found[k]["decoded_sha256"] == sha256(text_of(value).encode()).hexdigest()
 
 
+def test_cutting_a_text_is_linear(spark):
+    text = "".join(f"word{k % 977} " for k in range(2_000_000))  # 15 MB; cut chunk by chunk from its start this took a minute
+    docs = spark.createDataFrame([("a", text)], "key string, text string")
+    pieces = byte_bpe.long_pieces(docs, "key", "text", codec()).orderBy("piece").collect()
+    assert "".join(p["text"] for p in pieces) == text and len(pieces) > 100
+
+
 def test_bpe_odd_rows(odd, none):
     found = token_digests(odd).collect()
     assert sorted(r["doc_id"] or 0 for r in found) == sorted(i or 0 for i, _ in ODD_TEXTS)
@@ -600,7 +607,7 @@ def test_lm_sums_equal_plain_gradient(shift):
     sums = maxent_lm.Sums(table)
     for part in np.array_split(np.arange(3_000), 4):
         sums.add(table, rows[part], bias, own[part], target[part])
-    assert (sums.seen.reshape(table.shape) == want[0]).all()
+    assert (sums.seen().reshape(table.shape) == want[0]).all()
     assert np.abs(sums.expected - want[1]).max() < 2e-2 and np.abs(sums.expected - want[1]).mean() < 1e-4
 
 
