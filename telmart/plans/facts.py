@@ -20,6 +20,7 @@ from telmart.functions.keys import (
 )
 from telmart.functions.casts import to_moment
 from telmart.operators.shape import Projected, accepted, projected
+from telmart.session import split_wide_code
 
 EVENT_DAY = "event_day"
 
@@ -147,6 +148,7 @@ def build_fact(
     that only the columns they name feed, so an unused key costs nothing.
     """
     model = FACT_MODELS[name]
+    split_wide_code(silver.sparkSession)
 
     def column(spec: Projected | str):
         if isinstance(spec, Projected):

@@ -13,6 +13,7 @@ from telmart.functions.casts import cast_leniently
 from telmart.operators.quality import SKIP, RuleSet, add_rejection_reason
 from telmart.operators.shape import flatten_structs
 from telmart.schemas import event_schema
+from telmart.session import split_wide_code
 
 
 @dataclass(frozen=True)
@@ -151,6 +152,7 @@ def validate(
     flat: DataFrame, event_type: str, rules: RuleSet | None = None, missing: str = SKIP
 ) -> DataFrame:
     """Check a normalised batch on the values as they arrived, then type them."""
+    split_wide_code(flat.sparkSession)
     checked = add_rejection_reason(flat, rules or SILVER_MODELS[event_type].rules, missing)
     return typed(checked, event_type)
 

@@ -23,6 +23,20 @@ DEFAULT_CONF = {
 }
 
 
+# Spark's own limit, which lets methods through that are then interpreted.
+_METHOD_LIMIT, _SPARKS_LIMIT = "spark.sql.codegen.hugeMethodLimit", "65535"
+
+
+def split_wide_code(spark: SparkSession) -> None:
+    """Give a session that was built elsewhere the limit for generated methods, unless it has one of its own.
+
+    The builders of wide projections call it: their code runs several times slower in one method
+    that HotSpot does not compile. It changes how rows are computed, never which.
+    """
+    if spark.conf.get(_METHOD_LIMIT) == _SPARKS_LIMIT:
+        spark.conf.set(_METHOD_LIMIT, DEFAULT_CONF[_METHOD_LIMIT])
+
+
 def get_spark(
     app_name: str = "telmart",
     master: str | None = None,

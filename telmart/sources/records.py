@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from telmart.session import split_wide_code
+
 # The scanner travels with its code, so workers need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -207,6 +209,7 @@ def parsed(
     ``keep_rescued`` adds ``rescued_fields``, a map of the fields that the schema does not
     know (those inside structs by their path), and of structs that are none, to their text.
     """
+    split_wide_code(texts.sparkSession)
     others = [c for c in texts.columns if c != "value"]
     marked = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
     one = texts.select(F.explode(records).alias("value"), *[F.col(f"`{c}`") for c in others])

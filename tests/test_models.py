@@ -54,6 +54,15 @@ def test_fact_contract_and_plan(spark, name):
     assert "Exchange" not in fact._jdf.queryExecution().executedPlan().toString()
 
 
+def test_wide_code_is_split_in_sessions_built_elsewhere(spark):
+    limit, other = "spark.sql.codegen.hugeMethodLimit", spark.newSession()
+    empty = other.createDataFrame([], raw_schema("call"))
+    for found, wanted in (("65535", "8000"), ("4000", "4000")):
+        other.conf.set(limit, found)
+        build_fact(to_silver(empty, "call"), "calls")
+        assert other.conf.get(limit) == wanted
+
+
 def test_fact_values(spark):
     silver = to_silver(
         events(
