@@ -73,6 +73,28 @@ def test_messages(spark):
     assert support["key"] == "01012345678" and json.loads(support["value"])["sid"] == "SU1"
 
 
+def test_all_types_in_one_pass_are_those_of_each_type(spark):
+    broken = json.dumps(event(CALL))[:-9]
+    payloads = [
+        *[json.dumps(event(e, sid=s)) for e in (CALL, SUPPORT) for s in ("1", None)], broken, "no json", "[]",
+        '{"event_type": "x", "sid": "2"}', '{"event_type": "payment", "sid": "3", "billing_info": "free", "customer": ""}',
+        '{"event_type": "sms", "from": {"phone_number": "4"}}', None,
+    ]
+    messages = spark.createDataFrame([(p,) for p in payloads], "value string")
+    each = []
+    for event_type in ingest.EVENT_TYPES:
+        events = ingest.parse_events(messages, event_type)
+        each += rows_of(events.select("event_type", "sid", "timestamp", ingest.message_key(events).alias("key")))
+    assert rows_of(ingest.parse_all_events(messages)) == sorted(each, key=repr) and len(each) >= 6
+
+
+def test_computed_messages_are_computed_once(spark):
+    messages = spark.range(3).select(F.to_json(F.struct(F.lit("call").alias("event_type"), "id")).alias("value"))
+    for events in (ingest.parse_events(messages, "call"), ingest.parse_all_events(messages)):
+        plan = events._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("StructsToJsonEvaluator") == 1 and events.count() == 3
+
+
 def test_routing_replaces_a_repeated_batch(spark, tmp_path):
     source, root = str(tmp_path / "events"), str(tmp_path / "routed")
     spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "event_type string, v int").write.parquet(source)
