@@ -86,6 +86,37 @@ def test_clean_texts_do_not_reach_the_scanner(spark):
     assert spark.range(1).select(cut_records(F.lit(None).cast("string")).isNull()).first()[0]
 
 
+def test_long_lines_take_time_in_proportion(spark):
+    """A hundred thousand objects on a line, and as many after a broken one; by appending to arrays this took hours."""
+    many = ",".join([TWO] * 100_000)
+    texts = spark.createDataFrame([(many.replace(",{", "{"),), (f'[{{"sid": oops}},{many}]',)], "value string")
+    found = texts.select(F.size(line_records()).alias("n")).collect()
+    assert [r["n"] for r in found] == [100_000, 100_001]
+
+
+def test_only_files_with_values_over_lines_are_read_whole(spark, tmp_path):
+    folder = tmp_path / "support" / "2025-01-01" / "07"
+    folder.mkdir(parents=True)
+    by_line = {
+        "lines": f"{ONE}\n\n{THREE}\r\n", "list": f"[\n{ONE},\n{THREE}\n]\n", "cut": f'{{"sid": "cut\n{ONE}\n{{"sid":"4",\n{ONE}{THREE}',
+        "cut list": f'{{"sid": ["cu\n{ONE}',
+        "cut after a value": f'{{"sid": "1"\n{ONE}',
+    }
+    whole = {"pretty": PRETTY, "goes on": '{"sid":\n{"a":1}}', "in array": '{"x":[\n{"a":1}]}', "item": '{"x":[{"y":1},\n{"a":1}]}'}
+    for name, text in {**by_line, **whole}.items():
+        (folder / f"{name}.json").write_text(text)
+    found = read_bronze(spark, f"{tmp_path}/support", "support", keep_malformed=True)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert all(f"{name.replace(' ', '%20')}.json" in plan for name in whole)
+    assert not any(f"{name.replace(' ', '%20')}.json" in plan for name in by_line)
+    wanted = [r for text in [*by_line.values(), *whole.values()] for r in scanner()(text)]
+    assert found.count() == len(wanted)
+    assert sorted(r["malformed_text"] for r in found.filter("malformed_text is not null").collect()) == sorted(
+        r for r in wanted if not isinstance(bare(r), dict)
+    )
+    assert found.filter("malformed_text is null").count() == sum(isinstance(bare(r), dict) for r in wanted)
+
+
 def test_bronze_reads_every_layout(spark, tmp_path):
     for k, (text, _) in enumerate(LAYOUTS.values()):
         folder = tmp_path / "support" / "2025-01-01" / "07"
