@@ -63,6 +63,18 @@ def test_landing_layout(spark, tmp_path):
     assert sorted(r["value"] for r in unknown.collect()) == sorted(payloads[2:])
 
 
+def test_landed_files_are_compressed_and_bounded(spark, tmp_path):
+    source, root = str(tmp_path / "messages"), str(tmp_path / "landing")
+    lines = spark.range(0, 10, 1, 1).selectExpr("""'{"event_type":"call","sid":"' || id || '"}' as value""", "timestamp'2025-01-01 07:00:00' as t")
+    lines.write.parquet(source)
+    messages = spark.readStream.schema("value string, t timestamp").parquet(source)
+    ingest.land_messages(messages, root, str(tmp_path / "checkpoint"), "t", lines_per_file=4).awaitTermination()
+    files = [p for p in (tmp_path / "landing").rglob("part-*")]
+    assert len(files) == 3 and all(p.name.endswith(".gz") for p in files)
+    assert rows_of(ingest.read_landed(spark, root, "call").select("sid")) == [(str(k),) for k in range(10)]
+    assert read_bronze(spark, f"{root}/event_type=call", "call").count() == 10
+
+
 def test_messages(spark):
     lines = spark.createDataFrame([(json.dumps(event(CALL)),), (json.dumps(event(SUPPORT)),)], "value string")
     calls = ingest.parse_events(lines, "call")
