@@ -23,6 +23,12 @@ def shared_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate folder that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from telmart.operators.dedup import first_row_per_key
-from telmart.scratch import scratch_path, shared_root
+from telmart.scratch import discard, scratch_path, shared_root
 
 APPEND = "append"
 OVERWRITE = "overwrite"
@@ -176,7 +176,7 @@ def _digest(columns: Sequence[str]) -> Column:
 _DIGEST, _KNOWN, _LEAST, _MOST = "__digest", "__known", "__least", "__most"
 
 
-def _unpublished(df: DataFrame, existing: DataFrame | None, key: str) -> tuple[DataFrame, int]:
+def _unpublished(df: DataFrame, existing: DataFrame | None, key: str, path: str) -> tuple[DataFrame, int]:
     """Rows that the table does not hold, stored, with digest and whether their key is known; all rows' number.
 
     One shuffle by key. Of the table only keys and digests are shuffled.
@@ -193,16 +193,15 @@ def _unpublished(df: DataFrame, existing: DataFrame | None, key: str) -> tuple[D
         joined = seen.join(held, key, "left")
         same = F.coalesce(F.col(_DIGEST).isin(F.col(_LEAST), F.col(_MOST)), F.lit(False))
         pending = joined.filter(~same).select(*df.columns, _DIGEST, F.col(_LEAST).isNotNull().alias(_KNOWN))
-    path = scratch_path(df.sparkSession, "pending")
     pending.write.parquet(path)
     return df.sparkSession.read.schema(pending.schema).parquet(path), counted.get["rows"]
 
 
-def _one_per_key(pending: DataFrame, key: str) -> DataFrame:
-    """The first row of each key; only keys that occur more than once are sorted out."""
-    repeated = pending.groupBy(key).count().filter("count > 1").select(key)
-    if repeated.isEmpty():
+def _one_per_key(pending: DataFrame, key: str, repeats: bool) -> DataFrame:
+    """The first row of each key; only keys that occur more than once (``repeats``: there are any) are sorted out."""
+    if not repeats:
         return pending
+    repeated = pending.groupBy(key).count().filter("count > 1").select(key)
     alone = pending.join(repeated, key, "left_anti").select(*pending.columns)
     return alone.unionByName(first_row_per_key(pending.join(repeated, key, "left_semi"), [key]))
 
@@ -231,20 +230,27 @@ def publish_new_rows(
             column = F.col(partition_by[0])
             named = column.isin([v for v in touched if v is not None])
             existing = existing.filter(named | column.isNull() if None in touched else named)
-    pending, rows = _unpublished(df, existing, key)
+    stored = scratch_path(spark, "pending")
+    pending, rows = _unpublished(df, existing, key, stored)
     unseen = pending.filter(f"not {_KNOWN}")
-    chosen = _one_per_key(unseen, key)
+    # One shuffle, of hashes of the keys reduced in the tasks: how many rows and, nearly always, keys there are.
+    tally = pending.groupBy(F.xxhash64(key).alias("hash"), _KNOWN).agg(F.count(F.lit(1)).alias("n")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("pending"),
+        F.coalesce(F.sum(F.when(F.col(_KNOWN), F.col("n"))), F.lit(0)).alias("known"),
+        F.count(F.when(~F.col(_KNOWN), 1)).alias("new"),
+    ).first().asDict()
+    repeats = tally["pending"] - tally["known"] > tally["new"]
+    if repeats:  # equal hashes may be of different keys
+        tally["new"] = unseen.select(key).distinct().count()
+        repeats = tally["pending"] - tally["known"] > tally["new"]
+    chosen = _one_per_key(unseen, key, repeats)
     gather = touched is None or len(touched) > 1
-    write_table(chosen.select(*df.columns), name, APPEND, partition_by, table_format, path, gather)
-    tally = pending.agg(
-        F.count(F.lit(1)).alias("pending"),
-        F.count(F.when(F.col(_KNOWN), 1)).alias("known"),
-        F.countDistinct(F.when(~F.col(_KNOWN), F.struct(key))).alias("new"),
-    ).first()
+    if tally["new"] or not spark.catalog.tableExists(name):
+        write_table(chosen.select(*df.columns), name, APPEND, partition_by, table_format, path, gather)
     # Copies of a row in one batch have its digest and are no conflict.
     picks = chosen.select(F.col(key), F.col(_DIGEST).alias("__pick"))
     differing = pending.limit(0)
-    if tally["pending"] - tally["known"] > tally["new"]:
+    if repeats:
         # Null-safe, as a null key is a key like any other here.
         same_key = unseen[key].eqNullSafe(picks[key])
         differing = unseen.join(picks, same_key & (F.col(_DIGEST) != F.col("__pick")), "left_semi")
@@ -252,6 +258,7 @@ def publish_new_rows(
     conflicting = conflicts.count() if tally["pending"] > tally["new"] else 0
     if conflicting:
         _quarantine(conflicts.select(*df.columns, _DIGEST), f"{name}_conflicts", key, table_format, path)
+    discard(spark, stored)
     return PublishReport(rows, tally["new"], rows - tally["new"] - conflicting, conflicting)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from telmart.operators.aggregates import daily_measures, merged_measures, partial_measures
 from telmart.operators.scd import scd2_merge
 from telmart.plans import jobs
+from telmart.scratch import shared_root
 from telmart.sinks import archive, intake, tables, versioned
 from telmart.sources.bronze import raw_files, read_bronze
 from tests.conftest import rows_of
@@ -205,6 +207,16 @@ def test_conflicting_rows_are_set_apart(spark, name):
     assert publish() == tables.PublishReport(0, 0, 0, 0)
 
 
+def test_publishing_leaves_nothing_in_the_shared_folder(spark, tmp_path, name):
+    """Nor does a batch without news write to the table."""
+    left = lambda: sorted(p.name for p in Path(shared_root(spark).removeprefix("file:")).glob("pending-*"))
+    before, rows = left(), spark.range(5).selectExpr("cast(id as string) as k", "id as v")
+    tables.publish_new_rows(rows, name, "k", path=str(tmp_path / "t"))
+    files = sorted((tmp_path / "t").rglob("part-*"))
+    assert tables.publish_new_rows(rows, name, "k") == tables.PublishReport(5, 0, 5, 0)
+    assert left() == before and sorted((tmp_path / "t").rglob("part-*")) == files
+
+
 def test_nulls_of_other_columns_are_other_rows(spark, name):
     rows = spark.createDataFrame([("a", None, 1), ("b", 1, None)], "k string, v int, w int")
     tables.publish_new_rows(rows, name, "k")
