@@ -32,7 +32,7 @@ from telmart.plans.dims import (
     build_dim_time,
     build_user_seed,
 )
-from telmart.plans.facts import LEGACY_KEY_NAME, build_fact, with_event_day
+from telmart.plans.facts import LEGACY_KEY_NAME, build_fact, with_event_day, with_rejected
 from telmart.plans.jobs import (
     Layout,
     build_dims,
@@ -97,6 +97,10 @@ def fact(spark: SparkSession, sf_dir: str, name: str, **options) -> DataFrame:
     return build_fact(silver(spark, sf_dir, SILVER_EVENT[name]), name, **options)
 
 
+def keys_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return with_rejected(silver(spark, sf_dir, SILVER_EVENT[name]), name)
+
+
 def _new_name(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex[:12]}"
 
@@ -718,7 +722,9 @@ def _daily(name: str, sums: list[str], group_by: list[str]) -> Query:
 
 def calls_by_user(spark: SparkSession, sf: str) -> DataFrame:
     users = build_dim(b.seed_users(spark, sf), "user")
-    wide = joins.with_users(fact(spark, sf, "calls"), users, ["plan_type", "city"])
+    wide = joins.with_users(
+        fact(spark, sf, "calls"), users, ["plan_type", "city"], keys_from=keys_of(spark, sf, "calls")
+    )
     return daily_measures(
         wide, ["from_user_plan_type", "to_user_plan_type", "to_user_city"], sums=["amount"]
     )
@@ -726,19 +732,25 @@ def calls_by_user(spark: SparkSession, sf: str) -> DataFrame:
 
 def payments_by_user(spark: SparkSession, sf: str) -> DataFrame:
     users = build_dim(b.seed_users(spark, sf), "user")
-    wide = joins.with_users(fact(spark, sf, "payment"), users, ["plan_type", "age_group"])
+    wide = joins.with_users(
+        fact(spark, sf, "payment"), users, ["plan_type", "age_group"], keys_from=keys_of(spark, sf, "payment")
+    )
     return daily_measures(wide, ["user_plan_type", "user_age_group"], sums=["payment_amount"])
 
 
 def calls_by_device(spark: SparkSession, sf: str) -> DataFrame:
     devices = build_dim(b.seed_devices(spark, sf), "device")
-    wide = joins.with_devices(fact(spark, sf, "calls"), devices, ["brand"])
+    wide = joins.with_devices(
+        fact(spark, sf, "calls"), devices, ["brand"], keys_from=keys_of(spark, sf, "calls")
+    )
     return daily_measures(wide, ["from_device_brand", "to_device_brand"], sums=["amount"])
 
 
 def calls_by_cell_site(spark: SparkSession, sf: str) -> DataFrame:
     sites = build_dim(b.seed_cell_sites(spark, sf), "cell_site")
-    wide = joins.with_cell_sites(fact(spark, sf, "calls"), sites, ["city"])
+    wide = joins.with_cell_sites(
+        fact(spark, sf, "calls"), sites, ["city"], keys_from=keys_of(spark, sf, "calls")
+    )
     return daily_measures(wide, ["from_cell_city", "to_cell_city"], sums=["amount"])
 
 

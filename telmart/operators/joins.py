@@ -27,11 +27,16 @@ MAX_BROADCAST_VERSIONS = 64
 # Keys that the sketch for frequent ones tracks at most; beyond that only the balance suffers.
 MAX_TRACKED_KEYS = 100_000
 SALTS_PER_PARTITION = 4
+# A measured dimension whose share of a partition is at most this is hashed there, and facts are not sorted.
+MAX_HASHED_BYTES = 16 * 1024 * 1024
+# Columns that tell a fact's rows apart, cheapest first: an id costs less than the key hashed from it and more.
+SPREADING = ("call_id", "sms_id", "payment_id", "recharge_id", "support_id", *KEY_NAMES)
 
 _KEY = "__lookup_key"
 _SALT = "__lookup_salt"
 _SIDE_SALT = "__lookup_side_salt"
 _FAN_KEY, _FAN = "__lookup_fan_key", "__lookup_fan"
+_SPREAD = "__lookup_spread"
 
 
 def _column_bytes(field: T.StructField) -> Column:
@@ -100,12 +105,12 @@ def _fan_out(df: DataFrame, key: str, frequent: Mapping[object, float]) -> DataF
 def _row_hash(df: DataFrame, spread_by: Sequence[str] | None) -> Column:
     """A number that differs between rows, and is the same when a row is computed again.
 
-    It hashes the row's own key where the frame has one, so that no other column has to
+    It hashes the row's own id or key where the frame has one, so that no other column has to
     be read, and else all columns; and the source partition, so copies of a row spread out.
     """
     nested = (T.StructType, T.ArrayType, T.MapType)
     flat = [f.name for f in df.schema.fields if not isinstance(f.dataType, nested)]
-    names = spread_by or [c for c in KEY_NAMES if c in flat] or flat
+    names = spread_by or [c for c in SPREADING if c in flat][:1] or flat
     return F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in names])
 
 
@@ -152,6 +157,7 @@ def lookup_join(
     frequent: Mapping[object, float] | None = None,
     unique: bool = False,
     spread_by: Sequence[str] | None = None,
+    side_bytes: int | None = None,
 ) -> DataFrame:
     """Add dimension columns (named ``<prefix><column>``) to a fact.
 
@@ -163,6 +169,7 @@ def lookup_join(
     so it needs no measuring. ``max_bytes=0`` rules a broadcast out. ``frequent`` gives the
     fact's frequent keys and their shares when the caller has looked for them already, and
     ``spread_by`` columns that tell rows apart, for frames without a key of their own.
+    ``side_bytes`` is the dimension's size when the caller has measured it already.
     """
     if how not in ("left", "inner"):
         raise ValueError("a lookup is a left or an inner join")
@@ -176,12 +183,17 @@ def lookup_join(
     on = F.col(fact_key) == F.col(_KEY)
     if condition is not None:
         on = on & condition
-    if fixed_size or _fits(side, max_bytes):
+    if side_bytes is None and max_bytes > 0 and not fixed_size:
+        side_bytes = measured_bytes(side)
+    if fixed_size or (max_bytes > 0 and side_bytes <= max_bytes):
         return fact.join(F.broadcast(side), on, how).drop(_KEY)
     hot = frequent_keys(fact, [fact_key])[fact_key] if frequent is None else frequent
     fan = _fan_out(fact, fact_key, hot)
     on = on & (F.col(_SALT) == F.col(_SIDE_SALT))
-    joined = _salted(fact, fact_key, fan, spread_by).join(_repeated(side, fan), on, how)
+    repeated = _repeated(side, fan)
+    if side_bytes is not None and side_bytes <= MAX_HASHED_BYTES * _partitions(fact):
+        repeated = repeated.hint("shuffle_hash")
+    joined = _salted(fact, fact_key, fan, spread_by).join(repeated, on, how)
     return joined.drop(_KEY, _SALT, _SIDE_SALT)
 
 
@@ -211,27 +223,33 @@ def _lookup_roles(
     fixed_size: bool = False,
     max_bytes: int = MAX_BROADCAST_BYTES,
     keys_from: DataFrame | None = None,
+    spread_by: Sequence[str] | None = None,
     **options,
 ) -> DataFrame:
     """Look a dimension up once per role: from_ and to_, or the one key a fact has.
 
-    The dimension is measured, and frequent keys are looked for, once for all roles.
-    ``keys_from`` is a cheaper frame with the same keys to look in, such as the stored
-    fact to which earlier lookups have been added.
+    The dimension is measured, frequent keys are looked for, and rows are hashed for their
+    salts once for all roles. ``keys_from`` is a cheaper frame with the same keys to look in,
+    such as the stored fact to which earlier lookups have been added.
     """
     roles = [(f"{r}_{key_suffix}", f"{r}_") for r in ("from", "to")]
     roles = [(k, p) for k, p in roles if k in fact.columns] or [(key_suffix, "")]
     names = columns if columns is not None else [c for c in dim.columns if c != dim_key]
     dim = first_row_per_key(dim.select(dim_key, *[c for c in names if c != dim_key]), [dim_key])
-    small = fixed_size or _fits(_attributes(dim, dim_key, columns, ""), max_bytes)
+    size = None if fixed_size or not max_bytes else measured_bytes(_attributes(dim, dim_key, columns, ""))
+    small = fixed_size or (size is not None and size <= max_bytes)
     keys = [k for k, _ in roles]
     hot = {} if small else frequent_keys(fact if keys_from is None else keys_from, keys)
+    if not small:
+        # One number travels through the shuffles instead of the columns it is made from.
+        fact = fact.withColumn(_SPREAD, _row_hash(fact, spread_by))
     for key, prefix in roles:
         fact = lookup_join(
             fact, dim, key, dim_key, columns, f"{prefix}{noun}_",
-            fixed_size=small, max_bytes=0, frequent=hot.get(key), unique=True, **options,
+            fixed_size=small, max_bytes=0, frequent=hot.get(key), unique=True,
+            spread_by=[_SPREAD], side_bytes=size, **options,
         )
-    return fact
+    return fact.drop(_SPREAD)
 
 
 def with_users(fact: DataFrame, dim_user: DataFrame, columns=None, **options) -> DataFrame:

@@ -149,16 +149,7 @@ def build_fact(
     """
     model = FACT_MODELS[name]
     split_wide_code(silver.sparkSession)
-
-    def column(spec: Projected | str):
-        if isinstance(spec, Projected):
-            return projected(silver, spec)
-        if spec == MOMENT:
-            return F.coalesce(to_moment(F.col("`timestamp`")), epoch()).alias(MOMENT)
-        imei = Projected(spec, spec.replace("_tac", "_imei"))
-        return tac_of(projected(silver, imei)).alias(spec)
-
-    rows = accepted(silver).select(*[column(s) for s in model.columns])
+    rows = _modelled(accepted(silver), model)
     moment = F.col(f"`{MOMENT}`")
     return rows.select(
         surrogate_key(
@@ -170,6 +161,28 @@ def build_fact(
     )
 
 
+def with_rejected(silver: DataFrame, name: str) -> DataFrame:
+    """The model's columns of all rows, rejected ones too, for which no rule is checked.
+
+    Lookups may look for frequent keys in it (``keys_from``): of a fact built on the way,
+    checking the rules costs more than all the rest. The rejected rows lower a key's share at most
+    by their own; a key that is missed for that leaves a larger partition, which adaptive execution splits.
+    """
+    return _modelled(silver, FACT_MODELS[name])
+
+
+def _modelled(silver: DataFrame, model: FactModel) -> DataFrame:
+    def column(spec: Projected | str):
+        if isinstance(spec, Projected):
+            return projected(silver, spec)
+        if spec == MOMENT:
+            return F.coalesce(to_moment(F.col("`timestamp`")), epoch()).alias(MOMENT)
+        imei = Projected(spec, spec.replace("_tac", "_imei"))
+        return tac_of(projected(silver, imei)).alias(spec)
+
+    return silver.select(*[column(s) for s in model.columns])
+
+
 def with_event_day(fact: DataFrame) -> DataFrame:
     """Add the day of the fact's moment, the column that stored facts are partitioned by."""
     return fact.withColumn(EVENT_DAY, F.col(f"`{MOMENT}`").cast("date"))

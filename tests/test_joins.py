@@ -7,7 +7,10 @@ from telmart.operators import joins
 from telmart.operators.aggregates import daily_measures, drill_across, load_counts
 from telmart.operators.dedup import first_row_per_key, last_row_per_key
 from telmart.operators.position import with_position
-from tests.conftest import rows_of
+from telmart.plans.facts import build_fact, with_rejected
+from telmart.plans.silver import to_silver
+from checks import bindings as b
+from tests.conftest import SF_DIR, rows_of
 
 
 def plan_of(df):
@@ -126,6 +129,24 @@ def test_salted_lookups_read_needed_columns_only(spark, users, tmp_path):
     assert "unused" not in plan.split("ReadSchema: ")[1].split("\n")[0] and "unused_1" not in plan
 
 
+def test_a_measured_dimension_is_hashed_in_its_partitions(calls, users):
+    hashed = joins.with_users(calls, users, ["city"], max_bytes=1)
+    assert plan_of(hashed).count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plan_of(hashed)
+    assert rows_of(hashed) == rows_of(joins.with_users(calls, users, ["city"]))
+
+
+def test_salts_and_frequent_keys_of_a_fact_built_on_the_way_are_cheap(spark, users, monkeypatch):
+    silver = to_silver(b.raw_calls(spark, SF_DIR), "call")
+    keys, looked_in = with_rejected(silver, "calls"), []
+    monkeypatch.setattr(joins, "frequent_keys", lambda df, names: looked_in.append(df) or {n: {"": 0.1} for n in names})
+    wide = joins.with_users(build_fact(silver, "calls"), users, ["city"], max_bytes=0, keys_from=keys)
+    # No key is hashed for the salts, and no rule is checked where keys are looked for.
+    assert "md5" not in plan_of(wide.groupBy("from_user_city").agg(F.sum("amount")))
+    assert looked_in == [keys] and " Filter " not in plan_of(keys.select("from_phone_number"))
+    assert keys.count() == silver.count() > build_fact(silver, "calls").count()
+    assert wide.count() == build_fact(silver, "calls").count()
+
+
 def test_a_key_gets_salts_by_its_share(spark):
     rows = spark.range(1000).selectExpr("case when id % 2 = 0 then 'a' when id % 10 = 1 then 'b' else cast(id as string) end as k")
     found = joins.frequent_keys(rows, ["k"], 0.05)["k"]
