@@ -31,7 +31,6 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -55,9 +54,10 @@ HELD_OUT_FOLDS = 7
 END = b"\n"  # never a word
 _PARTS = 128  # pieces in which sums are added up
 _BLOCK = 1 << 10  # tokens whose logits are worked on at once
-_SHORT = 16  # rows up to which runs are summed side by side
+_SHORT = 16  # rows of runs that are summed side by side
 _TOGETHER = 32  # pieces whose features are counted at once
 _COUNTED = 1 << 18  # distinct words a task holds before it hands them on
+_READ = 1 << 16  # bytes of text that are cut into tokens at once
 
 
 def other_class(word: bytes) -> int:
@@ -107,9 +107,6 @@ class Vocabulary:
     def frequent(self) -> int:
         return min(len(self.lookup), FREQUENT_CLASSES * CLASS_WORDS)
 
-    def index(self) -> dict[bytes, int]:
-        return {w: k for k, w in enumerate(self.lookup)}
-
 
 def vocabulary(counts: DataFrame, lookup_words: int = LOOKUP_WORDS) -> Vocabulary:
     """The driver's share: totals, and at most ``lookup_words`` short words."""
@@ -144,21 +141,142 @@ def _hash(*parts: np.ndarray, salt: int) -> np.ndarray:
     return value
 
 
+class Words:
+    """Numbers of words (byte strings, each once, of ``LOOKUP_BYTES`` at most), found for many words at once.
+
+    An open hash table in arrays. A word is found only where all of its bytes are equal, eight at a
+    time, so hashes that collide cost a step and change nothing.
+    """
+
+    _EIGHTS = LOOKUP_BYTES // 8
+    _MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+    def __init__(self, words: list[bytes]) -> None:
+        self.sizes = np.fromiter(map(len, words), np.int64, len(words))
+        data = b"".join(words)
+        starts = np.cumsum(self.sizes) - self.sizes
+        self.hashes, self.heads = self._hashes(data, starts, self.sizes)
+        eights = self._eights(data)
+        self.parts = np.stack([self._part(eights, starts, self.sizes, k) for k in range(self._EIGHTS)])
+        bits = max(4, (4 * len(words)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.slots = np.full(1 << bits, -1, np.int32)
+        left, slot = np.arange(len(words)), self._slot(self.hashes)
+        while len(left):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = left[free]
+            again = self.slots[slot] != left  # taken, by this round's last writer too
+            left, slot = left[again], (slot[again] + 1) & self.mask
+
+    @staticmethod
+    def _eights(data: bytes) -> np.ndarray:
+        """The eight bytes from every place on, as numbers."""
+        padded = data + bytes(LOOKUP_BYTES + 8)
+        return np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
+
+    @classmethod
+    def _part(cls, eights: np.ndarray, starts: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
+        return eights[np.minimum(starts + 8 * k, len(eights) - 1)] & cls._MASKS[np.clip(sizes - 8 * k, 0, 8)]
+
+    def _slot(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> self.shift).astype(np.int64)
+
+    @classmethod
+    def _hashes(cls, data: bytes, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A hash and the first eight bytes of every word; of longer ones than any held, of its beginning."""
+        eights, factor = cls._eights(data), np.uint64(0x9E3779B97F4A7C15)
+        heads = cls._part(eights, starts, sizes, 0)
+        hashes = (heads ^ sizes.astype(np.uint64)) * factor
+        long = np.flatnonzero(sizes > 8)
+        for k in range(1, cls._EIGHTS):
+            if not len(long):
+                break
+            mixed = hashes[long]
+            hashes[long] = (mixed ^ (mixed >> np.uint64(29)) ^ cls._part(eights, starts[long], sizes[long], k)) * factor
+            long = long[sizes[long] > 8 * (k + 1)]
+        hashes ^= hashes >> np.uint64(32)
+        return hashes * factor, heads
+
+    def find(self, data: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The number of each word of ``data``, -1 where there is none."""
+        out = np.full(len(starts), -1, np.int64)
+        if not len(self.sizes) or not len(starts):
+            return out
+        hashes, heads = self._hashes(data, starts, sizes)
+        eights, slot = self._eights(data), self._slot(hashes)
+        left = None  # all words, then those that have met only others
+        while left is None or len(left):
+            mine = slice(None) if left is None else left
+            held = self.slots[slot[mine]]
+            there = held >= 0
+            equal = there & (self.heads[held] == heads[mine]) & (self.sizes[held] == sizes[mine])
+            long = np.flatnonzero(equal & (sizes[mine] > 8))
+            at = long if left is None else left[long]
+            for k in range(1, self._EIGHTS):
+                if not len(long):
+                    break
+                same = self.parts[k][held[long]] == self._part(eights, starts[at], sizes[at], k)
+                equal[long[~same]] = False
+                more = same & (sizes[at] > 8 * (k + 1))
+                long, at = long[more], at[more]
+            out[mine] = np.where(equal, held, -1)
+            others = np.flatnonzero(there & ~equal)
+            left = others if left is None else left[others]
+            slot[left] = (slot[left] + 1) & self.mask
+        return out
+
+
 class Batcher:
     """Turns texts into outputs and context rows; words stand for themselves or their class."""
 
+    _SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
+
     def __init__(self, vocab: Vocabulary) -> None:
-        index = vocab.index()
-        self.size, self.frequent = len(index), vocab.frequent
-        self.get = index.get
+        self.size, self.frequent = len(vocab.lookup), vocab.frequent
+        self.words = Words(vocab.lookup)
+        # Classes of other words by their last two bytes, or by their only one.
+        self.by_two = np.array([other_class(bytes((a, b))) for a in range(256) for b in range(256)])
+        self.by_one = np.array([other_class(bytes((a,))) for a in range(256)])
+
+    def other_classes(self, data: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """``other_class`` of the words of ``data`` that end before ``ends``."""
+        last = data[ends - 1]
+        return np.where(sizes > 1, self.by_two[data[ends - 2] * np.int64(256) + last], self.by_one[last])
+
+    def _numbered(self, data: bytes, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Lookup number of every token (-1: not there), its symbol, and the places of those not there."""
+        numbers = self.words.find(data, starts, sizes)
+        symbols, missing = numbers.copy(), np.flatnonzero(numbers < 0)
+        ends = starts[missing] + sizes[missing]
+        symbols[missing] = self.size + self.other_classes(np.frombuffer(data, np.uint8), ends, sizes[missing])
+        return numbers, symbols, missing
 
     def read(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Lookup number of every token (-1: not there), its symbol, and the words not there."""
-        numbers = np.fromiter(map(self.get, found, repeat(-1)), np.int64, len(found))
-        symbols, missing = numbers.copy(), np.flatnonzero(numbers < 0)
-        lacking = [found[k] for k in missing]
-        symbols[missing] = [self.size + other_class(w) for w in lacking]
-        return numbers, symbols, lacking
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        numbers, symbols, missing = self._numbered(b"".join(found), np.cumsum(sizes) - sizes, sizes)
+        return numbers, symbols, [found[k] for k in missing]
+
+    def read_texts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
+        """The same for the tokens of many texts: numbers, symbols, each text's first token, its words not there."""
+        data = END.join(texts) + END  # behind each text its end, which is a token
+        place = np.cumsum([len(t) + 1 for t in texts]) - 1
+        raw = np.frombuffer(data, np.uint8)
+        space = self._SPACE[raw]
+        begins = ~space
+        begins[1:] &= space[:-1]
+        stops = np.flatnonzero(space[1:] & ~space[:-1]) + 1
+        begins[place] = True
+        starts = np.flatnonzero(begins)
+        word = ~space[starts]
+        sizes = np.ones(len(starts), np.int64)
+        sizes[word] = stops - starts[word]
+        firsts = np.concatenate([[0], np.flatnonzero(~word)[:-1] + 1])
+        numbers, symbols, missing = self._numbered(data, starts, sizes)
+        at = starts[missing]
+        lacking = [data[a:b] for a, b in zip(at.tolist(), (at + sizes[missing]).tolist())]
+        cuts = [0, *np.searchsorted(missing, firsts[1:]).tolist(), len(lacking)]
+        return numbers, symbols, firsts, [lacking[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def contexts(self, symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Rows of the features before every token, a column each."""
@@ -267,23 +385,37 @@ class Scratch:
         return self.held[name][: count * width].reshape(count, width)
 
 
-def _row_sums(rows: np.ndarray, places: np.ndarray, starts: np.ndarray, size: np.ndarray, scratch: Scratch) -> np.ndarray:
-    """Sums of runs of ``rows[places]``, longest run first: short ones all at once, row by row; long ones one at a time."""
-    width = rows.shape[1]
-    total = scratch.rows("total", len(starts), width)
+def _short_sums(rows: np.ndarray, places: np.ndarray, starts: np.ndarray, size: np.ndarray, total: np.ndarray, scratch: Scratch) -> None:
+    """Sums of runs of ``rows[places]``, all at once, row by row; longest run first, none above ``_SHORT``."""
     np.take(rows, places[starts], axis=0, out=total, mode="clip")
-    longer = np.searchsorted(-size, -np.arange(1, _SHORT + 1))  # runs of more than 1, 2, ... rows
-    for done in range(1, _SHORT):
-        pending = longer[done - 1]
+    longer = np.searchsorted(-size, -np.arange(1, _SHORT))  # runs of more than 1, 2, ... rows
+    for done, pending in enumerate(longer.tolist(), 1):
         if not pending:
             break
-        more = scratch.rows("more", pending, width)
+        more = scratch.rows("more", pending, rows.shape[1])
         total[:pending] += np.take(rows, places[starts[:pending] + done], axis=0, out=more, mode="clip")
-    for k in range(longer[_SHORT - 1]):
-        run = places[starts[k] + _SHORT : starts[k] + size[k]]
-        more = scratch.rows("more", len(run), width)
-        total[k] += np.take(rows, run, axis=0, out=more, mode="clip").sum(axis=0)
-    return total
+
+
+def _add_runs(
+    into: np.ndarray, targets: np.ndarray, rows: np.ndarray, places: np.ndarray, starts: np.ndarray, size: np.ndarray,
+    scratch: Scratch, depth: int = 0,
+) -> None:
+    """Add the sum of each run of ``rows[places]`` to a row of ``into``, another one for every run.
+
+    Long runs are cut into full pieces of ``_SHORT`` rows and a rest; sums of pieces are runs again.
+    """
+    full, rest = np.divmod(size, _SHORT)
+    firsts, whole = np.cumsum(full) - full, int(full.sum())
+    inside = np.arange(whole) - np.repeat(firsts, full)
+    some = np.flatnonzero(rest)
+    some = some[np.argsort(_SHORT - rest[some], kind="stable")]
+    begin = np.concatenate([np.repeat(starts, full) + _SHORT * inside, starts[some] + _SHORT * full[some]])
+    total = scratch.rows(f"total{depth}", len(begin), rows.shape[1])
+    _short_sums(rows, places, begin, np.concatenate([np.full(whole, _SHORT), rest[some]]), total, scratch)
+    into[targets[some]] += total[whole:]
+    if whole:
+        long = np.flatnonzero(full)
+        _add_runs(into, targets[long], total, np.arange(whole), firsts[long], full[long], scratch, depth + 1)
 
 
 class Sums:
@@ -304,10 +436,8 @@ class Sums:
         ranked = flat[order]
         starts = np.concatenate([[0], np.flatnonzero(np.diff(ranked)) + 1])
         size = np.diff(np.append(starts, len(ranked)))
-        longest = np.argsort(-size, kind="stable")
-        starts, size = starts[longest], size[longest]
         places = np.tile(np.arange(len(rows), dtype=np.int32), rows.shape[1])[order]
-        self.expected[ranked[starts]] += _row_sums(chances, places, starts, size, self.scratch)
+        _add_runs(self.expected, ranked[starts], chances, places, starts, size, self.scratch)
         self.met.append((rows * table.shape[1] + target[:, None]).ravel())
         if len(self.met) >= _TOGETHER:
             self.seen()
@@ -326,29 +456,32 @@ class Task:
     def __init__(self, vocab: Vocabulary, weights: Weights) -> None:
         self.vocab, self.weights = vocab, weights
         self.batcher = Batcher(vocab)
-        self.others = np.array([other_class(w) for w in vocab.lookup], np.int64)
+        ends = np.cumsum(self.batcher.words.sizes)
+        self.others = self.batcher.other_classes(
+            np.frombuffer(b"".join(vocab.lookup), np.uint8), ends, self.batcher.words.sizes
+        )
         self.log_counts = np.log10(vocab.counts + 1.0)
         self.log_shares = np.log10(vocab.class_counts + vocab.class_words + 1.0)
 
     def batches(self, texts) -> Iterator[tuple]:
-        """Per batch of about ``BATCH`` tokens or one text: numbers, symbols, starts, words not there."""
-        numbers, symbols, starts, lacking, size = [], [], [], [], 0
+        """Per batch of about ``_READ`` bytes or one text: numbers, symbols, starts, words not there."""
+        held, size = [], 0
         for text in texts:
-            n, s, w = self.batcher.read(tokens(text))
-            numbers.append(n), symbols.append(s), starts.append(size), lacking.append(w)
-            size += len(n)
-            if size >= BATCH:
-                yield np.concatenate(numbers), np.concatenate(symbols), np.array(starts), lacking
-                numbers, symbols, starts, lacking, size = [], [], [], [], 0
-        if numbers:
-            yield np.concatenate(numbers), np.concatenate(symbols), np.array(starts), lacking
+            held.append(text.encode().lower() if text else b"")
+            size += len(held[-1])
+            if size >= _READ or len(held) >= BATCH:
+                yield self.batcher.read_texts(held)
+                held, size = [], 0
+        if held:
+            yield self.batcher.read_texts(held)
 
     def pieces(self, numbers, symbols, starts) -> Iterator[tuple]:
-        """Contexts and classes of a batch, in pieces of bounded size."""
+        """Contexts and classes of a batch, in equal pieces of about ``BATCH`` tokens."""
         contexts = self.batcher.contexts(symbols, starts)
         classes = self.batcher.classes(numbers, symbols, self.others)
-        for at in range(0, len(numbers), BATCH):
-            part = slice(at, at + BATCH)
+        cuts = np.linspace(0, len(numbers), max(1, round(len(numbers) / BATCH)) + 1).astype(int)
+        for at, end in zip(cuts, cuts[1:]):
+            part = slice(at, end)
             yield part, contexts[part], classes[part]
 
     def learn(self, texts) -> np.ndarray | None:

@@ -611,6 +611,44 @@ def test_lm_sums_equal_plain_gradient(shift):
     assert np.abs(sums.expected - want[1]).max() < 2e-2 and np.abs(sums.expected - want[1]).mean() < 1e-4
 
 
+@pytest.mark.parametrize("collide", [False, True])
+def test_lm_words_are_found_by_all_their_bytes(monkeypatch, collide):
+    """As a dictionary would: words that share beginnings, endings, zero bytes, or even their hash."""
+    if collide:
+        hashes = maxent_lm.Words._hashes
+        monkeypatch.setattr(maxent_lm.Words, "_hashes", staticmethod(lambda *a: (np.full(len(a[1]), 7, np.uint64), hashes(*a)[1])))
+    draw = random.Random(3)
+    made = {bytes(draw.choices(b"ab\0\xc3", k=n)) for n in range(1, 49) for _ in range(6)} | {b"\n", b"a" * 48}
+    held = sorted(made)[::2]
+    words = [*made, b"a" * 49, b"a" * 200, *(w[:-1] for w in made if len(w) > 1)]
+    sizes = np.array([len(w) for w in words])
+    found = maxent_lm.Words(held).find(b"".join(words), np.cumsum(sizes) - sizes, sizes)
+    number = {w: k for k, w in enumerate(held)}
+    assert found.tolist() == [number.get(w, -1) for w in words]
+    assert maxent_lm.Words([]).find(b"a", np.array([0]), np.array([1])).tolist() == [-1]
+
+
+def test_lm_texts_are_cut_into_tokens_as_words_are():
+    known = [b"\n", b"the", "stra\u00dfe".encode(), b"a-very-long-word-of-more-than-eight-bytes", b"x"]
+    vocab = maxent_lm.Vocabulary(known, np.ones(5, np.int64), 5, 5, np.zeros(maxent_lm.CLASSES, np.int64), np.zeros(maxent_lm.CLASSES, np.int64))
+    texts = [t for _, t in ODD_TEXTS] + ["", "\n\n", "x", " x", "x ", "THE Stra\u00dfe\x0b\x0cthe\r\nx\x85y \u00a0 y\0", "A-very-long-word-of-more-than-eight-bytes a-very"]
+    task = maxent_lm.Task(vocab, maxent_lm.Weights.start(vocab))
+    batches = list(task.batches(texts))
+    at = 0
+    for numbers, symbols, firsts, lacking in batches:
+        ends = np.append(firsts, len(numbers))
+        for k in range(len(firsts)):
+            token = maxent_lm.tokens(texts[at])
+            want = [known.index(t) if t in known else -1 for t in token]
+            part = slice(ends[k], ends[k + 1])
+            assert numbers[part].tolist() == want
+            assert symbols[part].tolist() == [n if n >= 0 else 5 + maxent_lm.other_class(t) for n, t in zip(want, token)]
+            assert lacking[k] == [t for n, t in zip(want, token) if n < 0]
+            at += 1
+    assert at == len(texts) and len(batches) > 1
+    assert task.others.tolist() == [maxent_lm.other_class(w) for w in known]
+
+
 def test_lm_does_not_depend_on_the_number_of_tasks(docs):
     learned, found = maxent_lm.learnable_docs(docs), []
     for parts in (1, 4, 32):
