@@ -92,6 +92,35 @@ def test_a_claim_without_rows_is_taken_in_later(spark, tmp_path, lake, monkeypat
     assert sids(spark, lake) == ["S0", "S1"]
 
 
+def test_rows_are_not_shuffled_to_a_short_list_of_files(spark, tmp_path, lake, monkeypatch):
+    """Before, the list counted as large as its raw files are, and the rows of a file met in one task."""
+    plans, write = [], archive.write_table
+
+    def observed(df, *args, **options):
+        plans.append(plan_of(df))
+        write(df, *args, **options)
+
+    monkeypatch.setattr(archive, "write_table", observed)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "60000")
+    try:
+        for part, run_id in enumerate(("r0", "r0", "r1")):
+            land(tmp_path, "2025-01-01", f"{part}.json", *[f"S{part}-{k:05d}" for k in range(3000)])
+            if part:
+                (tmp_path / "bronze/support" / f"{part}.json").write_text(json.dumps({"sid": f"S{part}-none"}))
+            run(spark, lake, run_id, multi_line=False)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(plans) == 3
+    assert all("BroadcastHashJoin" in p and "SortMergeJoin" not in p and "ShuffledHash" not in p for p in plans)
+    archived = spark.table(lake.table("support_archive"))
+    assert rows_of(archived.groupBy("run_id", "event_date", "event_hour").count()) == [
+        ("r0", "", "", 1), ("r0", "2025-01-01", "07", 6000), ("r1", "", "", 1), ("r1", "2025-01-01", "07", 3000),
+    ]
+    assert archived.select("sid").distinct().count() == 9002
+    assert not [f for f in Path(shared_root(spark)).glob("files-*")]
+
+
 def test_an_archive_without_ledger_gets_one(spark, tmp_path, lake):
     land(tmp_path, "2025-01-01", "a.json", "S0")
     run(spark, lake, "r0")

@@ -146,6 +146,33 @@ def test_unknown_fields_are_rescued(spark):
     assert rows[0]["billing_info"]["amount"] == "1" and rows[2]["sid"] == "3"
 
 
+def test_unknown_fields_are_rescued_without_structs(spark):
+    values = [
+        '{"sid":"1","reason":{"code":[1]},"channel":null}', '{"sid":"2","vendor":{"a":1},"note":null}',
+        "{'sid':'3','Sid':'x'}", '{"sid":"4"', "{}", '{"sid":"5","sid":"6"}',
+    ]
+    texts = spark.createDataFrame([(v,) for v in values], "value string")
+    frame = parsed(texts, F.array("value"), raw_schema("support"), True, True)
+    rows = frame.collect()
+    assert [r[RESCUED] for r in rows] == [None, {"vendor": '{"a":1}', "note": None}, {"Sid": "x"}, None, None, None]
+    assert rows[0]["reason"] == '{"code":[1]}' and rows[3]["malformed_text"] == values[3]
+    # All fields' texts are read only of records with a name that the schema lacks.
+    assert "jsonObjectKeys" in frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_line_is_judged_once(spark, tmp_path):
+    folder = tmp_path / "support" / "2025-01-01" / "07"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text('{"sid":"1"}\n{"sid":"2"}{"sid":"3"}\n\n no json\n [{"sid":"4"},{"sid":"5"}]\n {"sid":"6"}, \n')
+    bronze = read_bronze(spark, f"{tmp_path}/support", "support", multi_line=False, keep_malformed=True)
+    assert [c for c in bronze.columns if c.startswith("__")] == []
+    plan = bronze._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE(value#") == 1
+    assert sorted((r["sid"] or "", r["malformed_text"] or "") for r in bronze.collect()) == [
+        ("", "no json"), *[(str(k), "") for k in range(1, 7)],
+    ]
+
+
 def test_booleans_that_are_none_are_rejected_and_kept(spark, tmp_path, name):
     event = {
         "event_type": "support", "sid": "SU1", "customer": "c", "phone_number": "1", "channel": "app", "reason": "r",
