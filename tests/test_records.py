@@ -160,6 +160,25 @@ def test_unknown_fields_are_rescued_without_structs(spark):
     assert "jsonObjectKeys" in frame._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_fields_texts_are_read_only_of_records_with_unknown_names(spark):
+    values = [
+        '{"sid":"1","billing_info":{"amount":1,"currency":"E"}}', '{"sid":"2","billing_info":null}', '{"sid":"3"}',
+        '{"sid":"4","billing_info":{"amount":1,"tax":{"rate":2}}}', '{"sid":"5","billing_info":"free"}',
+        '{"sid":"6","billing_info":[1]}', '{"sid":"7","billing_info":{"tax":1},"billing_info":{"amount":2}}',
+        '{"sid":"8","vendor":null}', '{"sid":"9","billing_info":{}}', "no json", '{"sid":"10","billing_info":{"amount":',
+        '{"sid":"11","billing_info":{"amount":{"a":1}}}',
+    ]
+    texts = spark.createDataFrame([(v,) for v in values], "value string")
+    frame = parsed(texts, F.array("value"), raw_schema("payment"), True, True)
+    assert [r[RESCUED] for r in frame.collect()] == [
+        None, None, None, {"billing_info.tax": '{"rate":2}'}, {"billing_info": "free"}, {"billing_info": "[1]"},
+        {"billing_info.tax": "1"}, {"vendor": None}, None, None, None, None,
+    ]
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "jsonObjectKeys" in plan
+    assert [c for c in frame.columns if c.startswith("__")] == []
+
+
 def test_a_line_is_judged_once(spark, tmp_path):
     folder = tmp_path / "support" / "2025-01-01" / "07"
     folder.mkdir(parents=True)
