@@ -11,7 +11,10 @@ from telmart.functions.casts import to_boolean
 from telmart.plans.jobs import Layout, load_seed_dims, run_silver
 from telmart.schemas import raw_schema
 from telmart.sources.bronze import raw_files, read_bronze
-from telmart.sources.records import RESCUED, cut_records, file_records, line_records, parsed, scanner
+from telmart.sources import records
+from telmart.sources.records import (
+    RESCUED, cut_records, file_records, line_records, parsed, piecewise_cutter, scanner,
+)
 from telmart.sources.seeds import read_seed
 from telmart.streaming.ingest import read_bronze_stream, stream_silver
 
@@ -77,6 +80,66 @@ def test_scanner_is_linear_in_broken_lines():
     assert scanner()(deep) == [deep]
 
 
+@pytest.mark.parametrize("step", [1, 2, 7])
+@pytest.mark.parametrize("whole", [True, False])
+def test_pieces_give_the_records_of_the_whole(step, whole):
+    odd = [
+        '  {"a": oops\n    {"b": 1}\n  {"c": 2}', '{"a": "x \\\\" } y", oops} {"b": "}"}\n', '12 , 13\n1.5, tru\n"x",{"a":1}',
+        '[{"a": oops "}, {"b": 1}]\n{"c": [1,\n2]}', '\t {"a": {"b": [}\n\t [{"c": 1}]', '{"a": "\\ud83d\\ude00"}{', "-Infinity]12",
+    ]
+    for text in [*odd, *(t for t, _ in LAYOUTS.values()), "".join(t for t, _ in LAYOUTS.values())]:
+        cut, found = piecewise_cutter(whole), []
+        for at in range(0, len(text), step):
+            found += cut(text[at : at + step], False)
+        found += cut("", True)
+        parts = [text] if whole else text.replace("\r\n", "\n").split("\n")
+        assert found == [r for part in parts for r in scanner()(part)], text
+
+
+def test_pieces_are_held_no_longer_than_their_values():
+    cut = piecewise_cutter(True)
+    assert sum(len(cut(piece, False)) for piece in ['[{"sid": oops},', *[TWO + ","] * 50]) >= 49
+    cut = piecewise_cutter(True)
+    assert cut(PRETTY[:40], False) == [] and len(cut(PRETTY[40:] + "\n" + PRETTY[:10], False)) == 1
+    deep = piecewise_cutter(True)
+    assert sum(len(deep('{"a": [', False)) for _ in range(20_000)) == 0 and len(deep("", True)) == 1
+
+
+@pytest.mark.parametrize("mode", ["lines", "whole", "every file"])
+def test_large_files_and_lines_are_cut_in_pieces(spark, tmp_path, monkeypatch, mode):
+    monkeypatch.setattr(records, "LONGEST_TEXT", 200)
+    folder = tmp_path / "support" / "2025-01-01" / "07"
+    folder.mkdir(parents=True)
+    many = [f'{{"sid": "{k}", "channel": "é}}{{"}}' for k in range(40)]
+    layouts = {
+        "line": "".join(many), "line and end": "".join(many) + "\n", "array": f'[{{"sid": oops}},{",".join(many)}]',
+        "lines": "\n".join(many), "mark": "\ufeff" + " ".join(many), "cut": "\r\n".join([" ".join(many), '{"sid": "cut', many[0]]),
+        "open": "".join(many) + '{"sid": "cut', "text": "x" * 300, "small": "\n".join(many[:3]), "one value": json.dumps({"sid": "v", "reason": "y" * 500}),
+    }
+    if mode != "lines":
+        layouts |= {"pretty": "\n".join(json.dumps(json.loads(m), indent=2) for m in many), "small pretty": PRETTY}
+    for name, text in layouts.items():
+        (folder / f"{name}.json").write_text(text)
+    found = read_bronze(
+        spark, f"{tmp_path}/support", "support", multi_line=mode != "lines", keep_malformed=True, every_file=mode == "every file"
+    )
+    if mode == "lines":
+        texts = [line for text in layouts.values() for line in text.split("\n")]
+    else:
+        texts = list(layouts.values())
+    wanted = [r for text in texts for r in scanner()(text)]
+    rows = found.collect()
+    assert sorted(r["malformed_text"] for r in rows if r["malformed_text"]) == sorted(
+        r for r in wanted if not isinstance(bare(r), dict)
+    )
+    assert sorted(r["sid"] or "" for r in rows if not r["malformed_text"]) == sorted(
+        bare(r)["sid"] for r in wanted if isinstance(bare(r), dict)
+    )
+    assert {(r["event_date"], r["event_hour"]) for r in rows} == {("2025-01-01", "07")}
+    assert {r["source_file"] for r in rows} == {r["source_file"] for r in raw_files(spark, f"{tmp_path}/support").collect()}
+    assert "MapInPandas" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_clean_texts_do_not_reach_the_scanner(spark):
     texts = spark.createDataFrame([(f"{ONE}\n{THREE}",), (f"[{ONE},{THREE}]",), (PRETTY,)], "value string")
     plan = texts.select(file_records())._jdf.queryExecution().optimizedPlan().toString()
