@@ -175,18 +175,15 @@ def _write_texts(
 def bronze_scan_multiline(spark: SparkSession, sf: str) -> DataFrame:
     """Arrays, pretty-printed objects and JSON lines side by side, each file read whole."""
     root = scratch_path(spark, "landing")
-    events = b.raw_support(spark, sf).withColumn("value", F.to_json(F.struct("*")))
     number = F.substring("sid", 3, 20).cast("bigint")
-    kinds = {
-        "lines": events.filter(number % 4 < 2).select("value"),
-        "array": events.filter(number % 4 >= 2)
-        .groupBy(F.pmod(number, F.lit(64)).alias("file"))
-        .agg(F.array_join(F.collect_list("value"), ",\n").alias("items"))
-        .select("file", F.concat(F.lit("[\n"), "items", F.lit("\n]")).alias("value")),
-    }
-    kinds["lines"].write.text(f"{root}/support/2025-01-01/03/lines")
-    kinds["array"].write.partitionBy("file").text(f"{root}/support/2025-01-01/03/array")
-    bronze = read_bronze(spark, f"{root}/support", "support", keep_malformed=True)
+    events = b.raw_support(spark, sf).withColumn("file", F.pmod(number, F.lit(64)))
+    flat = events.withColumn("value", F.to_json(F.struct(*[c for c in events.columns if c != "file"])))
+    pretty = F.to_json(F.struct(*[c for c in events.columns if c != "file"]), {"pretty": "true"})
+    folder = f"{root}/support/2025-01-01/03"
+    flat.filter("file % 4 = 0").select("value").write.text(f"{folder}/lines")
+    events.filter("file % 4 = 1").select(pretty.alias("value")).write.text(f"{folder}/pretty")
+    _write_texts(flat.filter("file % 4 >= 2"), "value", f"{folder}/array", "[\n", ",", "\n]")
+    bronze = read_bronze(spark, f"{root}/support", "support", keep_malformed=True, every_file=True)
     return _counted(bronze.filter("malformed_text is null"), "event_date", "channel")
 
 

@@ -140,6 +140,20 @@ def test_large_files_and_lines_are_cut_in_pieces(spark, tmp_path, monkeypatch, m
     assert "MapInPandas" in found._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_every_file_can_be_read_whole(spark, tmp_path):
+    folder = tmp_path / "support" / "2025-01-01" / "07"
+    folder.mkdir(parents=True)
+    for name, text in (("lines", f"{ONE}\n{THREE}"), ("list", f"[\n{ONE},\n{THREE}\n]"), ("pretty", PRETTY)):
+        (folder / f"{name}.json").write_text(text)
+    found = read_bronze(spark, f"{tmp_path}/support", "support", every_file=True)
+    assert sorted(r["sid"] for r in found.collect()) == ["1", "1", "1", "3", "3"]
+    # No file is read by lines: each is one text.
+    texts = [t for t, _ in records.texts_of(
+        lambda o: spark.read.format(o.get("format", "text")).options(**o).load(str(folder)), True, lambda t: t, every_file=True
+    )]
+    assert [t.count() for t in texts] == [3, 0]
+
+
 def test_clean_texts_do_not_reach_the_scanner(spark):
     texts = spark.createDataFrame([(f"{ONE}\n{THREE}",), (f"[{ONE},{THREE}]",), (PRETTY,)], "value string")
     plan = texts.select(file_records())._jdf.queryExecution().optimizedPlan().toString()
